@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Multiplier of the polynomial word hash, and of the window hash over words.
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -134,3 +135,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4
 
 def to_batch(rows: dict[str, list | np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def schema_of(fields: list[StructField], ddl: str) -> StructType:
+    """The fields given and those of the DDL text."""
+    return StructType([*fields, *StructType.fromDDL(ddl).fields])

@@ -26,7 +26,7 @@ WEIGHTS = (5, 2, 1)
 #: A source is taken at most this many times over.
 MOST_COPIES = 3
 #: Rows that share one range of the shuffle order, about.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_000
 
 
 def n_words(text: Column) -> Column:

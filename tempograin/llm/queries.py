@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, mixing, quality, toxicity, urls
+from . import decontaminate, lines, lm, mixing, neardup, paragraphs, pii, quality, toxicity, urls
 from .common import mod_of_id, table
 from .sql import SQL
 
@@ -17,10 +16,24 @@ RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 BLOCKED_HOSTS = ["ads-track.example.com", "adult-x.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org"]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *n, F.sha2(pii.span_text("base").cast("binary"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("__row")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(*r, 1) for r in RULES] + [(h, "/", "block", 0) for h in BLOCKED_HOSTS], "host string, path string, verdict string, level int")
     judged = urls.judge_urls(table(spark, sf_dir, "pages"), listed)
@@ -45,6 +58,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs.select("doc_id", "text"), model).drop("text", "quality_score")
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), mod_of_id(F.col("doc_id"), 7) != 2)
+    return scores.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(toxicity.training_rows(docs, table(spark, sf_dir, "labels"), "toxic", mod_of_id(F.col("doc_id"), 3) != 1))
@@ -53,11 +71,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op5_url_filter, op6_decontaminate, op7_mix, op8_quality, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_near_duplicates, op4_paragraphs, op5_url_filter, op6_decontaminate, op7_mix, op8_quality, op9_language_model, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in SQL.items() if k in queries()}
 
-
-_ = pa
