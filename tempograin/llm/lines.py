@@ -193,11 +193,12 @@ def line_digests(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
 
 def lines_removed(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     """docs with their columns, the dropped lines taken out of the texts."""
+    names = docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = b.column("__keep").to_pylist()
             texts = [x if k is None else kept_text(x.encode(), k)[2].decode() for x, k in zip(b.column("text").to_pylist(), keep, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names], names=names)
 
     return with_bitmaps(docs, least).mapInArrow(apply, docs.schema)

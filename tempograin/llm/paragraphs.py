@@ -82,6 +82,7 @@ def repeated_paragraphs(docs: DataFrame, **limits: int) -> DataFrame:
 
 def paragraphs_removed(docs: DataFrame, **limits: int) -> DataFrame:
     """docs with their columns, the repeats taken out of the texts."""
+    names = docs.columns
     gone = repeated_paragraphs(docs.select("doc_id", "text"), **limits).filter("removed").groupBy("doc_id", "__row").agg(F.collect_set("paragraph").alias("__gone"))
     gone = gone.withColumnsRenamed({"doc_id": "__id", "__row": "__text"})
     both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text")), "left").drop("__id", "__text")
@@ -92,6 +93,6 @@ def paragraphs_removed(docs: DataFrame, **limits: int) -> DataFrame:
             for x, lines in zip(b.column("text").to_pylist(), b.column("__gone").to_pylist(), strict=True):
                 out = set(lines or ())
                 texts.append("\n".join(t for i, t in enumerate(x.split("\n")) if i not in out) if out else x)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names], names=names)
 
     return both.mapInArrow(apply, docs.schema)

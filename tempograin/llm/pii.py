@@ -196,6 +196,7 @@ def span_text(spans: str):
 def sanitised(docs: DataFrame) -> DataFrame:
     """docs with their columns; in the text, entities give way to their kind in
     brackets, disclosing terms to [TERM] or, where they are removed, to nothing."""
+    names = docs.columns
     found = find_spans(docs.select("doc_id", "text")).select(F.col("doc_id").alias("__id"), "__row", F.col("spans").alias("__spans")).dropDuplicates(["__id", "__row"])
     both = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__row")))
 
@@ -209,6 +210,6 @@ def sanitised(docs: DataFrame) -> DataFrame:
                         parts += [x[done : sp["start"]], "" if sp["kind"] == len(KINDS) - 1 and sp["removed"] else f"[{KINDS[sp['kind']].upper()}]"]
                         done = sp["end"]
                 texts.append(x if x is None else "".join([*parts, x[done:]]))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names], names=names)
 
     return both.mapInArrow(apply, docs.schema)
