@@ -33,7 +33,7 @@ from .ngrams import char_grams, fit_logistic, fit_platt, lowered, sigmoid
 
 ORDERS, BITS, STRETCH = (4, 5, 6, 7), 20, 24
 #: Labelled rows that the model is fitted on, at most.
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 6_000
 #: A feature counts if so many training texts have it.
 MIN_TEXTS = 4
 #: ... and if its log ratio is so many standard errors from 0.
@@ -65,7 +65,7 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.repeat(starts[1:], np.diff(starts))
         grams = [char_grams(low, k, BITS, ends) for k in ORDERS]
         for i in range(b.num_rows):
-            rows.append(np.unique(np.concatenate([g[starts[i] : starts[i + 1]] for g in grams])))
+            rows.append(np.unique(np.concatenate([g[starts[i] : starts[i + 1]] for g in grams])).astype(np.int32))
         texts.append((data, starts))
         y += b.column("label").to_pylist()
         fold += b.column("fold").to_pylist()
@@ -85,16 +85,17 @@ def _fit_weights(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     weights = np.zeros(1 << BITS, dtype=np.float32)
     if not 0 < y.sum() < len(y):
         return weights
-    cols, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    has = np.bincount(cols, minlength=1 << BITS)
-    with_pos = np.bincount(cols, y[of], minlength=1 << BITS)
+    has, with_pos = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for r, label in zip(rows, y, strict=True):
+        has[r] += 1
+        with_pos[r] += label
     pos, neg = with_pos + 1.0, has - with_pos + 1.0
     ratio = np.log(pos / (y.sum() + 2)) - np.log(neg / (len(y) - y.sum() + 2))
     # Ratios that chance explains are noise, and most of the features.
     ratio[(has < MIN_TEXTS) | (np.abs(ratio) < CLEAR * np.sqrt(1 / pos + 1 / neg))] = 0
     ratio[0] = 0
-    keep = ratio[cols] != 0
-    cols, of = cols[keep], of[keep]
+    clear = [r[ratio[r] != 0] for r in rows]
+    cols, of = np.concatenate(clear), np.repeat(np.arange(len(clear)), [len(r) for r in clear])
     if len(cols):
         names, cols = np.unique(cols, return_inverse=True)
         size = np.sqrt(np.clip(np.bincount(of, minlength=len(y)), 1, 4096))
