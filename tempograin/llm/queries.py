@@ -18,7 +18,8 @@ BLOCKED_HOSTS = ["ads-track.example.com", "adult-x.example.com", "casino-win.exa
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    n = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])]
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
+    n = [count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])]
     return found.select("doc_id", *n, F.sha2(pii.span_text("base").cast("binary"), 256).alias("base_sha256"), pii.span_text("spans").alias("spans"))
 
 
