@@ -6,9 +6,9 @@ class comes with node keys (chosen by the caller: minwise tokens or bands) and a
 sketch of 64 minwise bytes. Classes that share a node are candidates:
 
 * a small node is compared exhaustively, on sketches;
-* in a large node every class is compared with one of them (its hub); what the
-  verified links don't join already is branched further, on minwise tokens that
-  the node chooses, until nodes are small or all of one component;
+* in a large node every class is compared with one of them (its hub), and its
+  classes are branched again by ``PATHS`` longer paths: each node chooses the
+  next minwise tokens, until nodes are small or all of one component;
 * what is still large then is compared in blocks, those outside the node's
   largest component against all, so no candidate is given up.
 
@@ -31,8 +31,11 @@ from .bloom import BlockedBloom
 from .common import cut, mix64, window_hashes
 
 COORDS = 64
-#: Classes in a node that is compared exhaustively, and depth of branching.
-SMALL, DEPTH, BRANCHES = 24, 6, 2
+#: Classes in a node that is compared exhaustively.
+SMALL = 24
+#: Longer paths from the root, and their lengths. A pair of similarity 0.8 shares
+#: one of length 9 with probability 1 - (1 - 0.8**9)**40 = 0.997.
+PATHS, LENGTHS = 40, (3, 5, 7, 9)
 #: Similar bytes of a sketch from which a pair is verified, as a share: four
 #: standard deviations below a similarity of 0.8.
 LIKELY = 0.6
@@ -203,7 +206,16 @@ def _member(label: Column | str = "label") -> Column:
     return F.collect_list(F.struct("cls", "n", "sig", F.col(label).alias("label") if isinstance(label, str) else label.alias("label")))
 
 
-def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int = 80, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
+def _longer(node: Column, steps: int) -> Column:
+    """The node's child for a class: it chooses a coordinate, the class's minwise
+    byte there is the branch; ``steps`` times."""
+    for _ in range(steps):
+        place = F.pmod(F.xxhash64(node, F.lit("place")), F.lit(COORDS)).cast("int") + 1
+        node = F.xxhash64(node, F.substring("sig", place, F.lit(1)))
+    return node
+
+
+def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int = 80, small: int = SMALL, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
     """units (cls, n, sig, keys), a row for each class; fetch: from a DataFrame
     of cls to (cls, grams) -> the cls and label of every class with a link."""
     facts = units.select("cls", "n", "sig")
@@ -223,31 +235,26 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
     edges = check(pairs.filter("first"))
     labels = components(edges)
     # Second round: candidates between what are different components so far.
-    rest = [pairs.filter("not first")]
-    level = _with_label(rows.filter(F.col("size") > small).select("node", "cls", "n", "sig"), labels, "cls", "label")
-    for at in range(depth + 1):
+    rest = pairs.filter("not first").select("a", "b")
+    crowded = rows.filter(F.col("size") > small).groupBy("cls").agg(F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
+    level = _with_label(crowded, labels, "cls", "label").withColumn("root", F.explode(F.sequence(F.lit(1), F.lit(PATHS)))).select(_longer(F.xxhash64("root"), lengths[0]).alias("node"), "cls", "n", "sig", "label")
+    for at, length in enumerate(lengths):
         stats = level.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("node", "size")
         level = cut(level.join(stats, "node"))
         if level.isEmpty():
             break
-        rest.append(level.filter(F.col("size") <= small).groupBy("node").agg(_member().alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS))
+        rest = rest.union(level.filter(F.col("size") <= small).groupBy("node").agg(_member().alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS).select("a", "b"))
         level = level.filter(F.col("size") > small)
-        if at == depth:
-            rest.append(_in_blocks(level, percent))
-            break
-        # The node chooses the coordinates; its classes part by their values there.
-        choose = lambda b: F.pmod(F.xxhash64("node", F.lit(b)), F.lit(COORDS)).cast("int")  # noqa: E731, B023
-        child = [F.xxhash64("node", F.lit(b), choose(b), F.substring("sig", choose(b) + 1, F.lit(1))) for b in range(BRANCHES)]
-        level = level.withColumn("child", F.explode(F.array_distinct(F.array(*child)))).select(F.col("child").alias("node"), "cls", "n", "sig", "label")
-    more = rest[0]
-    for r in rest[1:]:
-        more = more.union(r)
-    more = _with_label(_with_label(more.select("a", "b").distinct(), labels, "a", "la"), labels, "b", "lb").filter("la != lb")
+        if at + 1 == len(lengths):
+            rest = rest.union(_in_blocks(level, percent).select("a", "b"))
+        else:
+            level = level.select(_longer(F.col("node"), lengths[at + 1] - length).alias("node"), "cls", "n", "sig", "label")
+    more = _with_label(_with_label(rest.distinct(), labels, "a", "la"), labels, "b", "lb").filter("la != lb")
     more = cut(more)
     return labels if more.isEmpty() else components(edges.union(check(more)))
 
 
-def _in_blocks(level: DataFrame, percent: int, few: int = 64, many: int = 512) -> DataFrame:
+def _in_blocks(level: DataFrame, percent: int, few: int = 512, many: int = 512) -> DataFrame:
     """Pairs of each node's classes outside its largest component with all of it."""
     sizes = level.groupBy("node", "label").agg(F.count("*").alias("n_label"))
     main = sizes.groupBy("node").agg(F.max(F.struct("n_label", "label")).alias("m"), F.sum("n_label").alias("all"))
