@@ -53,7 +53,7 @@ def _sketch(k: int):
     return sketch
 
 
-def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, **limits: int) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, **limits) -> DataFrame:
     """docs (doc_id, text) -> doc_id, __row (hash of the text), n_shingles,
     component_id (smallest doc_id of the component), kept (doc_id is that id),
     stays (one row of each component)."""

@@ -3,7 +3,7 @@
 A paragraph is a line of at least ``LEAST_WORDS`` words; its set is its distinct
 five-word shingles (A-Z lower-cased). Sets collide in any of ``BANDS`` bands of
 ``ROWS`` minwise values: a pair of similarity 0.8 collides with probability
-1 - (1 - 0.8**3)**12 = 0.9998. Colliding paragraphs are verified by exact Jaccard
+1 - (1 - 0.8**2)**8 = 0.9997. Colliding paragraphs are verified by exact Jaccard
 similarity, and in each component all paragraphs go but the first one of the
 smallest document.
 
@@ -18,13 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
+from .bloom import BlockedBloom
 from .common import LOWER, SPACES, cut, joined, schema_of, slices, word_hashes, word_spans
 
-BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 12, 3, 5, 80, 20
+BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 8, 2, 5, 80, 20
 
 
 def _paragraphs(batch: pa.RecordBatch):
@@ -46,24 +48,46 @@ def _paragraphs(batch: pa.RecordBatch):
     return (h, *similar.classes(h, text, len(long))), (row, number, begins - starts[row], ends[long] - starts[row])
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The band keys of all paragraphs."""
     for b in slices(batches):
-        (h, sizes, found, starts), (row, number, begin, end) = _paragraphs(b)
-        values = similar.minhashes(h, starts) if len(h) else np.zeros((0, similar.COORDS), dtype=np.uint32)
-        sig = (values & 0xFF).astype(np.uint8)
-        keys = similar.node_keys(values[:, : BANDS * ROWS], ROWS)
-        picked = pa.array(row, pa.int64())
-        columns = [pa.array(number, pa.int64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64()), pa.array(found, pa.binary()), pa.array(sizes, pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(list(keys), pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(picked), b.column("__row").take(picked), *columns], names=["doc_id", "__row", "paragraph", "from_byte", "to_byte", "cls", "n", "sig", "keys"])
+        (h, _, _, starts), _ = _paragraphs(b)
+        values = similar.minhashes(h, starts, BANDS * ROWS) if len(h) else np.zeros((0, BANDS * ROWS), dtype=np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(similar.node_keys(values, ROWS).ravel())], names=["node"])
 
 
-def repeated_paragraphs(docs: DataFrame, **limits: int) -> DataFrame:
+def _sketch(shared: Broadcast):
+    """The paragraphs with a key that others may have too, with their sketch and
+    those keys."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            (h, sizes, found, starts), (row, number, begin, end) = _paragraphs(b)
+            values = similar.minhashes(h, starts, BANDS * ROWS) if len(h) else np.zeros((0, BANDS * ROWS), dtype=np.uint32)
+            keys = similar.node_keys(values, ROWS)
+            hit = shared.value.might_contain(keys.ravel()).reshape(keys.shape)
+            use = np.flatnonzero(hit.any(axis=1))
+            grams = h[np.repeat(hit.any(axis=1), sizes)]
+            sig = (similar.minhashes(grams, np.concatenate([[0], np.cumsum(sizes[use])[:-1]])) & 0xFF).astype(np.uint8) if len(use) else []
+            picked = pa.array(row[use], pa.int64())
+            columns = [pa.array(x[use], pa.int64()) for x in (number, begin, end)]
+            columns += [pa.array([found[i] for i in use], pa.binary()), pa.array(sizes[use], pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array([keys[i][hit[i]] for i in use], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(picked), b.column("__row").take(picked), *columns], names=["doc_id", "__row", "paragraph", "from_byte", "to_byte", "cls", "n", "sig", "keys"])
+
+    return sketch
+
+
+def repeated_paragraphs(docs: DataFrame, **limits) -> DataFrame:
     """docs (doc_id, text) -> the paragraphs of every component of two or more:
     doc_id, __row, paragraph (line number from 0), from_byte, to_byte,
     n_shingles, component_id (smallest doc_id with one), n_copies, removed."""
+    spark = docs.sparkSession
     slim = docs.select("doc_id", F.xxhash64("text").alias("__row"), "text")
+    # Most paragraphs share no key with another: they go no further than a count.
+    shared = cut(slim.select("text").mapInArrow(_keys, "node long").groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node"))
+    filter_ = spark.sparkContext.broadcast(BlockedBloom.build(shared, "node", shared.count()))
     schema = schema_of([slim.schema["doc_id"]], "__row long, paragraph long, from_byte long, to_byte long, cls binary, n long, sig binary, keys array<long>")
-    sketched = cut(slim.mapInArrow(_sketch, schema))
+    sketched = cut(slim.mapInArrow(_sketch(filter_), schema))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row", "paragraph")
     units = cut(sketched.groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys")), F.count("*").alias("copies"), F.min(place).alias("first")))
 
@@ -80,7 +104,7 @@ def repeated_paragraphs(docs: DataFrame, **limits: int) -> DataFrame:
     return found.select("doc_id", "__row", "paragraph", "from_byte", "to_byte", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"), "n_copies", (place != F.col("keep")).alias("removed"))
 
 
-def paragraphs_removed(docs: DataFrame, **limits: int) -> DataFrame:
+def paragraphs_removed(docs: DataFrame, **limits) -> DataFrame:
     """docs with their columns, the repeats taken out of the texts."""
     names = docs.columns
     gone = repeated_paragraphs(docs.select("doc_id", "text"), **limits).filter("removed").groupBy("doc_id", "__row").agg(F.collect_set("paragraph").alias("__gone"))

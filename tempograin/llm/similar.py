@@ -77,10 +77,10 @@ def classes(h: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray,
     return sizes, out, starts
 
 
-def minhashes(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A row of COORDS minwise values for each set."""
-    out = np.empty((len(starts), COORDS), dtype=np.uint32)
-    for i in range(COORDS):
+def minhashes(h: np.ndarray, starts: np.ndarray, n: int = COORDS) -> np.ndarray:
+    """A row of the first n minwise values for each set."""
+    out = np.empty((len(starts), n), dtype=np.uint32)
+    for i in range(n):
         out[:, i] = np.minimum.reduceat(((h * _A[i] + _B[i]) >> np.uint64(32)).astype(np.uint32), starts)
     return out
 
