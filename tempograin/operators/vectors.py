@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,17 +42,32 @@ def suppressed_boxes(rows: DataFrame, keys: list[str], most_overlap: float = 0.5
     """Non-maximum suppression: boxes (x0, y0, x1, y1, score) of a key that no
     better kept box overlaps by more. A key is the boxes of one frame and class."""
 
-    def keep(boxes: pd.DataFrame) -> pd.DataFrame:
-        boxes = boxes.sort_values(["score", "x0", "y0"], ascending=[False, True, True], kind="stable")
-        left, kept = boxes, []
+    def best_of(boxes: pd.DataFrame) -> np.ndarray:
+        x0, y0, x1, y1 = (boxes[c].to_numpy() for c in ("x0", "y0", "x1", "y1"))
+        area, kept, left = (x1 - x0) * (y1 - y0), [], np.arange(len(boxes))
         while len(left):
-            best, left = left.iloc[0], left.iloc[1:]
-            kept.append(best.name)
-            w = left.x1.clip(upper=best.x1) - left.x0.clip(lower=best.x0)
-            h = left.y1.clip(upper=best.y1) - left.y0.clip(lower=best.y0)
-            both = w.clip(lower=0) * h.clip(lower=0)
-            either = (left.x1 - left.x0) * (left.y1 - left.y0) + (best.x1 - best.x0) * (best.y1 - best.y0) - both
-            left = left[(both <= most_overlap * either).to_numpy()]
-        return boxes.loc[kept]
-
-    return rows.groupBy(*keys).applyInPandas(keep, rows.schema)
+            i, left = left[0], left[1:]
+            kept.append(i)
+            w = np.minimum(x1[left], x1[i]) - np.maximum(x0[left], x0[i])
+            h = np.minimum(y1[left], y1[i]) - np.maximum(y0[left], y0[i])
+            both = np.maximum(w, 0) * np.maximum(h, 0)
+            left = left[both <= most_overlap * (area[left] + area[i] - both)]
+        return np.array(kept)
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the last key of a batch may go on in the next
+        for batch in chain(batches, [None]):
+            rows = held if batch is None else batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if rows is None or not len(rows):
+                continue
+            number = rows.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            first = np.flatnonzero(np.diff(number, prepend=-1))
+            whole = len(rows) if batch is None else first[-1]
+            held = None if batch is None else rows.iloc[whole:]
+            ends = np.append(first[1:], len(rows))
+            picked = [s + best_of(rows.iloc[s:e]) for s, e in zip(first, ends, strict=True) if e <= whole]
+            if picked:
+                yield rows.iloc[np.concatenate(picked)]
+
+    sorted_ = rows.repartition(*keys).sortWithinPartitions(*keys, F.desc("score"), "x0", "y0")
+    return sorted_.mapInPandas(keep, rows.schema)

@@ -1,0 +1,47 @@
+"""The synthetic panel over driver tables: users' days stand for creatives."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.columns import rnd
+from ..registry import query
+from . import audience
+from .base import signals, table
+
+
+def seconds_of(sig: DataFrame) -> DataFrame:
+    """A user as a creative: events in order are its seconds."""
+    w = Window.partitionBy("user_id").orderBy("t", "event_id")
+    n = F.count("*").over(Window.partitionBy("user_id"))
+    at = F.row_number().over(w) - 1
+    kind = F.col("event_type")
+    return sig.select(
+        F.format_string("C%06d", "user_id").alias("creative_id"), at.alias("second"), rnd(at / n, 4).alias("position_in_ad"), (kind == "signup").cast("long").alias("n_cuts"), (F.col("event_id") % 2 == 0).alias("has_face"), (kind == "view").alias("has_speech"), (F.col("event_id") % 3 == 0).alias("has_screen_text"),
+        F.coalesce(F.col("value"), F.lit(0.0)).alias("motion"), F.when(F.col("value") > 50, 0.6).otherwise(0.2).alias("mean_p_happiness"), F.when(kind == "click", "music").otherwise("ambient").alias("audio_class"), F.lit(0.5).alias("brightness"), F.lit(0).cast("long").alias("modal_shot_index"),
+    )
+
+
+def _panel(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    seconds = seconds_of(signals(spark, sf_dir))
+    return audience.generate(spark, seconds, max(1, table(spark, sf_dir, "customer").count() // 5)), seconds
+
+
+@query()
+def synthetic_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """viewer_seconds of a panel as large as a fifth of the customers."""
+    t, seconds = _panel(spark, sf_dir)
+    return audience.viewer_seconds(t, seconds)
+
+
+@query()
+def panel_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, seconds = _panel(spark, sf_dir)
+    t["biometric_seconds"] = t["biometric_seconds"].cache()
+    return audience.validate(t, seconds)
+
+
+@query()
+def panel_iat_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _panel(spark, sf_dir)[0]["iat_scores"]
