@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -137,6 +137,14 @@ def to_batch(rows: dict[str, list | np.ndarray], schema: pa.Schema) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], type=f.type) for f in schema], schema=schema)
 
 
+def guarded(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], used: tuple[str, ...] = ("doc_id", "text", "source")) -> DataFrame:
+    """The operator's result on docs whose other columns can't clash with names
+    of its own: they are renamed on the way in and back on the way out."""
+    names = {c if c in used else f"__column{i}": c for i, c in enumerate(docs.columns)}
+    out = operator(docs.toDF(*names))
+    return out.toDF(*(names.get(c, c) for c in out.columns))
+
+
 def schema_of(fields: list[StructField], ddl: str) -> StructType:
     """The fields given and those of the DDL text."""
     return StructType([*fields, *StructType.fromDDL(ddl).fields])

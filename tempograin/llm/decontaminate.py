@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import LOWER, cut, joined, raw_texts, slices, window_hashes, word_hashes, word_spans
+from .common import LOWER, cut, guarded, joined, raw_texts, slices, window_hashes, word_hashes, word_spans
 
 WINDOW, BLOCK = 10, 200_000
 #: Bytes of a word: digits, a-z and everything beyond ASCII (after lower-casing).
@@ -108,8 +108,10 @@ def _scan(docs: DataFrame, windows: WindowSet) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """docs, with all its columns, and n_words, hit_words (positions, from 0, of
-    the words inside an occurrence) and items (ids, sorted as texts)."""
+    """docs, with all its columns (n_words, hit_words and items of its own are
+    replaced), and n_words, hit_words (positions, from 0, of the words inside an
+    occurrence) and items (ids, sorted as texts)."""
+    docs = docs.drop("n_words", "hit_words", "items")
     out, names = None, docs.columns
     for windows in window_sets(benchmark, block):
         now = _scan(docs if out is None else out.select(*names, F.struct("hit_words", "items").alias("__before")), windows)
@@ -125,7 +127,7 @@ def items_digest(items: list[str]) -> str:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a verified window, with their columns."""
-    return find_leaks(docs, benchmark).filter(F.size("hit_words") == 0).select(*docs.columns)
+    return guarded(docs, lambda d: find_leaks(d, benchmark).filter(F.size("hit_words") == 0).select(*d.columns))
 
 
 def spans_removed(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -147,4 +149,4 @@ def spans_removed(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 texts.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in b.schema.names if n != "hit_words"], names=[n for n in b.schema.names if n != "hit_words"])
 
-    return find_leaks(docs, benchmark).select(*docs.columns, "hit_words").mapInArrow(removed, docs.schema)
+    return guarded(docs, lambda d: find_leaks(d, benchmark).select(*d.columns, "hit_words").mapInArrow(removed, d.schema))

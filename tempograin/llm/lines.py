@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import cut, parallel, raw_texts, slices
+from .common import cut, guarded, parallel, raw_texts, slices
 
 #: A key has at least so many code points, and so many documents share it.
 LEAST_POINTS, LEAST_DOCS = 40, 5
@@ -193,6 +193,10 @@ def line_digests(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
 
 def lines_removed(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     """docs with their columns, the dropped lines taken out of the texts."""
+    return guarded(docs, lambda d: _lines_removed(d, least))
+
+
+def _lines_removed(docs: DataFrame, least: int) -> DataFrame:
     names = docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

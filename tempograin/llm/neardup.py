@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import similar
-from .common import LOWER, SPACES, cut, joined, schema_of, slices, word_hashes, word_spans
+from .common import LOWER, SPACES, cut, guarded, joined, schema_of, slices, word_hashes, word_spans
 
 TREES, FIRST = 4, 2
 WORDS, PERCENT = 5, 80
@@ -81,6 +81,10 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, **l
 def duplicates_removed(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component, and all those without shingles, with
     their columns."""
+    return guarded(docs, lambda d: _duplicates_removed(d, k, percent))
+
+
+def _duplicates_removed(docs: DataFrame, k: int, percent: int) -> DataFrame:
     kept = near_duplicates(docs.select("doc_id", "text"), k, percent).filter("kept")
     # Almost always one row already; equal ids in a component are told apart by the text.
     first = Window.partitionBy("label", "doc_id").orderBy("__row")

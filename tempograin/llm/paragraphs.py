@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import similar
 from .bloom import BlockedBloom
-from .common import LOWER, SPACES, cut, joined, schema_of, slices, word_hashes, word_spans
+from .common import LOWER, SPACES, cut, guarded, joined, schema_of, slices, word_hashes, word_spans
 
 BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 8, 2, 5, 80, 20
 
@@ -106,6 +106,10 @@ def repeated_paragraphs(docs: DataFrame, **limits) -> DataFrame:
 
 def paragraphs_removed(docs: DataFrame, **limits) -> DataFrame:
     """docs with their columns, the repeats taken out of the texts."""
+    return guarded(docs, lambda d: _paragraphs_removed(d, **limits))
+
+
+def _paragraphs_removed(docs: DataFrame, **limits) -> DataFrame:
     names = docs.columns
     gone = repeated_paragraphs(docs.select("doc_id", "text"), **limits).filter("removed").groupBy("doc_id", "__row").agg(F.collect_set("paragraph").alias("__gone"))
     gone = gone.withColumnsRenamed({"doc_id": "__id", "__row": "__text"})

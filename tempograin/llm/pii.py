@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import BlockedBloom
-from .common import LOWER, cut, joined, schema_of, slices, word_hashes, word_spans
+from .common import LOWER, cut, guarded, joined, schema_of, slices, word_hashes, word_spans
 
 KINDS = ("email", "ip", "card", "phone", "term")
 NEAR, ALPHA, LEAST_JOINT, REMOVE_FROM = 6, 0.9, 3, 0.95
@@ -146,9 +146,10 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
-    """docs, with all its columns but the text, a row hash ``__row``, ``base``
-    and ``spans``: arrays of (start, kind, end, removed), sorted; base spans only
-    and all."""
+    """docs, with all its columns but the text (base and spans of its own are
+    replaced, as is __row), a row hash ``__row``, ``base`` and ``spans``: arrays of (start,
+    kind, end, removed), sorted; base spans only and all."""
+    docs = docs.drop("base", "spans", "__row")
     spark = docs.sparkSession
     terms = cut(disclosing_terms(docs).select("term", (F.col("share") >= REMOVE_FROM).alias("removed")))
     filter_ = spark.sparkContext.broadcast(BlockedBloom.build(terms, "term", terms.count()))
@@ -196,6 +197,10 @@ def span_text(spans: str):
 def sanitised(docs: DataFrame) -> DataFrame:
     """docs with their columns; in the text, entities give way to their kind in
     brackets, disclosing terms to [TERM] or, where they are removed, to nothing."""
+    return guarded(docs, _sanitised)
+
+
+def _sanitised(docs: DataFrame) -> DataFrame:
     names = docs.columns
     found = find_spans(docs.select("doc_id", "text")).select(F.col("doc_id").alias("__id"), "__row", F.col("spans").alias("__spans")).dropDuplicates(["__id", "__row"])
     both = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__row")))

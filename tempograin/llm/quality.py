@@ -134,8 +134,9 @@ def _counted(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def judged(docs: DataFrame, model: tuple, keep_from: float = KEEP_FROM) -> DataFrame:
-    """docs, with all its columns, the counts, the probability of quality 1,
-    base_failed and kept."""
+    """docs, with all its columns, the counts, the probability of quality 1
+    (quality_score), base_failed and kept; such columns of its own are replaced."""
+    docs = docs.drop(*COUNTS, "quality_score", "base_failed", "kept")
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1 +1,37 @@
-SQL: dict[str, str] = {}
+"""DuckDB SQL for the corpus queries that SQL can express."""
+
+from __future__ import annotations
+
+_CASE = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_LINES = f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, {_BLANK}), {_CASE}) AS key FROM l),
+h AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, (h.key IS NOT NULL AND k.doc_id <> h.top) AS gone FROM k LEFT JOIN h ON k.key = h.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
+
+_URLS = f"""WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), {_CASE}), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM r),
+rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+listed(h) AS (VALUES ('ads-track.example.com'), ('adult-x.example.com'), ('casino-win.example.net'), ('cheap-pills.example.net'), ('free-bets.example.net'), ('spam-farm.example.org')),
+f AS (SELECT page_id, rules.h || rules.p AS rule, rules.v, row_number() OVER (PARTITION BY page_id ORDER BY length(rules.h || rules.p) DESC) AS n
+ FROM p JOIN rules ON (host = rules.h OR host LIKE '%.' || rules.h) AND starts_with(path, rules.p))
+SELECT p.page_id, host, path, f.rule, coalesce(f.v, CASE WHEN EXISTS (SELECT 1 FROM listed WHERE (host = listed.h OR host LIKE '%.' || listed.h) AND starts_with(path, '/')) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN f ON f.page_id = p.page_id AND f.n = 1"""
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_CASE}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_LEAKS = f"""WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT item, least(10, len(w)) AS k, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM bw),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k),
+hit AS (SELECT doc_id, item, i, dw.k FROM dw JOIN win ON win.k = dw.k AND win.x = array_to_string(dw.w[i:i + dw.k - 1], ' ')),
+words AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS s FROM hit GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(items.s, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+SQL: dict[str, str] = {"op2_line_dedup": _LINES, "op5_url_filter": _URLS, "op6_decontaminate": _LEAKS}

@@ -122,7 +122,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, where: Column,
 
 
 def scored(docs: DataFrame, model: tuple, name: str = "score") -> DataFrame:
-    """docs, with all its columns, and the score (0 to 1) of every document."""
+    """docs, with all its columns, and the score (0 to 1) of every document; a
+    column of that name is replaced."""
+    docs = docs.drop(name)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
