@@ -40,6 +40,17 @@ _AUDIENCE_DDL = {
 }
 LANDING_DDL = f"session_id string, viewer_id string, creative_id string, second int, attention_index double, gaze_on_screen boolean, face_detected boolean, valence double, arousal double, {_P}, data_source string, batch_id string, received_at string"
 
-RAW = {n: StructType.fromDDL(d) for n, d in _RAW_DDL.items()}
-AUDIENCE = {n: StructType.fromDDL(d) for n, d in _AUDIENCE_DDL.items()}
-LANDING = StructType.fromDDL(LANDING_DDL)
+
+
+def _schema(ddl: str) -> StructType:
+    """Plain types only, so no session is needed to declare a schema."""
+    out = StructType()
+    for column in ddl.split(", "):
+        name, kind = column.split()
+        out = out.add(name, {"int": "integer"}.get(kind, kind))
+    return out
+
+
+RAW = {n: _schema(d) for n, d in _RAW_DDL.items()}
+AUDIENCE = {n: _schema(d) for n, d in _AUDIENCE_DDL.items()}
+LANDING = _schema(LANDING_DDL)
