@@ -42,6 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def few(written: DataFrame, rows: int = 20_000) -> DataFrame:
+    """Rows that were cut, read in tasks of ``rows`` rows or so: a small table
+    doesn't need as many tasks as the shuffle that made it."""
+    return written.coalesce(max(1, -(-written.count() // rows)))
+
+
 def parallel(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

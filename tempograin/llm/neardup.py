@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import similar
-from .common import LOWER, SPACES, cut, guarded, joined, schema_of, slices, word_hashes, word_spans
+from .common import LOWER, SPACES, cut, few, guarded, joined, schema_of, slices, word_hashes, word_spans
 
 TREES, FIRST = 4, 2
 WORDS, PERCENT = 5, 80
@@ -61,7 +61,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, **l
     schema = schema_of([f for f in slim.schema.fields if f.name != "text"], "cls binary, n long, sig binary, keys array<long>")
     rows = cut(slim.mapInArrow(_sketch(k), schema))
     of_class = rows.filter("cls is not null").groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys")), F.min("doc_id").alias("least"), F.min("__row").alias("one"))
-    units = cut(of_class)
+    units = few(cut(of_class))
 
     def scan(batches):
         for b in slices(batches):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import similar
 from .bloom import BlockedBloom
-from .common import LOWER, SPACES, cut, guarded, joined, schema_of, slices, word_hashes, word_spans
+from .common import LOWER, SPACES, cut, few, guarded, joined, schema_of, slices, word_hashes, word_spans
 
 BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 8, 2, 5, 80, 20
 
@@ -89,7 +89,7 @@ def repeated_paragraphs(docs: DataFrame, **limits) -> DataFrame:
     schema = schema_of([slim.schema["doc_id"]], "__row long, paragraph long, from_byte long, to_byte long, cls binary, n long, sig binary, keys array<long>")
     sketched = cut(slim.mapInArrow(_sketch(filter_), schema))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row", "paragraph")
-    units = cut(sketched.groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys")), F.count("*").alias("copies"), F.min(place).alias("first")))
+    units = few(cut(sketched.groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys")), F.count("*").alias("copies"), F.min(place).alias("first"))))
 
     def scan(batches):
         for b in slices(batches):

@@ -28,14 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import BlockedBloom
-from .common import cut, mix64, window_hashes
+from .common import cut, few, mix64, window_hashes
 
 COORDS = 64
 #: Classes in a node that is compared exhaustively.
 SMALL = 24
 #: Longer paths from the root, and their lengths. A pair of similarity 0.8 shares
-#: one of length 9 with probability 1 - (1 - 0.8**9)**40 = 0.997.
-PATHS, LENGTHS = 40, (3, 5, 7, 9)
+#: one of length 5 almost surely, of length 9 with probability
+#: 1 - (1 - 0.8**9)**40 = 0.997.
+PATHS, LENGTHS = 40, (5, 7, 9)
 #: Similar bytes of a sketch from which a pair is verified, as a share: four
 #: standard deviations below a similarity of 0.8.
 LIKELY = 0.6
@@ -185,13 +186,14 @@ def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) -> cls, label (the smallest class of its component), for
     every class with an edge: least labels of neighbours, with pointer jumping,
     until nothing changes."""
-    both = cut(edges.union(edges.select("b", "a")).toDF("cls", "to").distinct())
-    labels = cut(both.groupBy("cls").agg(F.min("to").alias("to")).select("cls", F.least("cls", "to").alias("label")))
+    ways = [F.struct(F.col(x).alias("cls"), F.col(y).alias("to")) for x in "ab" for y in "ab"]
+    both = edges.select(F.explode(F.array(*ways)).alias("e")).select("e.cls", "e.to")
+    both = few(cut(both.distinct()))
+    labels = few(cut(both.groupBy("cls").agg(F.min("to").alias("label"))))
     while True:
-        told = both.join(labels.select(F.col("cls").alias("to"), F.col("label").alias("of")), "to").groupBy("cls").agg(F.min("of").alias("of"))
-        low = labels.join(told, "cls").select("cls", F.col("label").alias("old"), F.least("label", "of").alias("low"))
-        jump = low.select(F.col("cls").alias("low"), F.col("low").alias("far"))
-        now = cut(low.join(jump, "low").select("cls", "old", F.least("low", "far").alias("label")))
+        told = both.join(labels.withColumnRenamed("cls", "to"), "to").groupBy("cls").agg(F.min("label").alias("low"), F.max(F.when(F.col("to") == F.col("cls"), F.col("label"))).alias("old"))
+        jump = told.select(F.col("cls").alias("low"), F.col("low").alias("far"))
+        now = few(cut(told.join(jump, "low").select("cls", "old", F.least("low", "far").alias("label"))))
         labels = now.select("cls", "label")
         if now.filter("label != old").isEmpty():
             return labels
@@ -221,16 +223,17 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
     facts = units.select("cls", "n", "sig")
     nodes = units.select("cls", F.explode("keys").alias("node"))
     shared = nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("cls").alias("hub")).filter("size > 1")
-    rows = cut(nodes.join(shared, "node").join(facts, "cls"))
+    rows = few(cut(nodes.join(shared, "node").join(facts, "cls")))
     pairs = rows.filter(F.col("size") <= small).groupBy("node").agg(_member("cls").alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS)
     hubs = facts.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
     wide = rows.filter((F.col("size") > small) & (F.col("cls") != F.col("hub")))
     pairs = pairs.union(wide.select("cls", "n", "sig", "hub").distinct().join(hubs, "hub").mapInArrow(_likely_rows(percent), _PAIRS))
-    pairs = cut(pairs.groupBy("a", "b").agg(F.max("first").alias("first")))
+    pairs = few(cut(pairs.groupBy("a", "b").agg(F.max("first").alias("first"))))
 
     def check(some: DataFrame) -> DataFrame:
-        ids = some.select(F.col("a").alias("cls")).union(some.select("b")).distinct()
-        return cut(_verified(some.select("a", "b"), cut(fetch(ids)), percent))
+        ids = some.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        sets = few(cut(fetch(few(cut(ids)))), 2_000)
+        return few(cut(_verified(some.select("a", "b"), sets, percent)))
 
     edges = check(pairs.filter("first"))
     labels = components(edges)
@@ -240,7 +243,7 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
     level = _with_label(crowded, labels, "cls", "label").withColumn("root", F.explode(F.sequence(F.lit(1), F.lit(PATHS)))).select(_longer(F.xxhash64("root"), lengths[0]).alias("node"), "cls", "n", "sig", "label")
     for at, length in enumerate(lengths):
         stats = level.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("node", "size")
-        level = cut(level.join(stats, "node"))
+        level = few(cut(level.join(stats, "node")))
         if level.isEmpty():
             break
         rest = rest.union(level.filter(F.col("size") <= small).groupBy("node").agg(_member().alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS).select("a", "b"))
@@ -250,7 +253,7 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
         else:
             level = level.select(_longer(F.col("node"), lengths[at + 1] - length).alias("node"), "cls", "n", "sig", "label")
     more = _with_label(_with_label(rest.distinct(), labels, "a", "la"), labels, "b", "lb").filter("la != lb")
-    more = cut(more)
+    more = few(cut(more))
     return labels if more.isEmpty() else components(edges.union(check(more)))
 
 
