@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.lineage import cut
+
 
 def islands(rows: DataFrame, keys: list[str], time: str, gap: Column | float, name: str = "span_id") -> DataFrame:
     """Numbers runs whose neighbours are at most ``gap`` apart, from 1 in each key."""
@@ -19,9 +21,10 @@ def first_in(keys: list[str], order: str) -> Column:
 
 def global_number(rows: DataFrame, order: list[Column | str], name: str, ranges: int | None = None) -> DataFrame:
     """Numbers all rows from 1 in an order, without one task for all: rows are
-    dealt to sorted ranges, numbered inside, and moved by the counts before."""
+    dealt to sorted ranges, numbered inside, and moved by the counts before.
+    Ranges come from a sample, so they are written before they are counted."""
     n = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id())
+    dealt = cut(rows.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()))
     counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__part", before.alias("__before"))

@@ -19,6 +19,17 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def against(rows: DataFrame, few: DataFrame, key: str, most: int = 4096) -> DataFrame:
+    """Every row with every row of a reference set, such as one centroid for
+    each label: the set is broadcast in blocks of about ``most`` rows."""
+    blocks = max(1, -(-few.count() // most))
+    out = None
+    for i in range(blocks):
+        part = rows.join(F.broadcast(few.filter(F.pmod(F.xxhash64(key), F.lit(blocks)) == i)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def centroids(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """The mean vector of each key: sums of places, then one array."""
     places = rows.select(key, F.posexplode(vector).alias("at", "v")).groupBy(key, "at").agg(F.avg(F.col("v").cast("double")).alias("v"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import band, ratio, rnd
 from ..operators.sequences import latest_per_key
-from ..operators.vectors import centroids, cosine, largest, softmax_ranks, suppressed_boxes
+from ..operators.vectors import against, centroids, cosine, largest, softmax_ranks, suppressed_boxes
 from ..registry import query
 from ..sources.raw import union_by_name
 from .base import SIGNALS, signals, table
@@ -47,12 +47,10 @@ s AS (SELECT vec_id, centre, sum(CAST(v AS DOUBLE) * m) / (sqrt(sum(CAST(v AS DO
 p AS (SELECT vec_id, centre, exp(100 * cs) / sum(exp(100 * cs)) OVER (PARTITION BY vec_id) AS score, row_number() OVER (PARTITION BY vec_id ORDER BY cs DESC, centre) - 1 AS rank FROM s)
 SELECT vec_id, centre, round(score, 4) AS score, rank, rank = 0 AS is_top FROM p""")
 def cosine_softmax_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector against every label's centroid: cosine times 100, softmax,
-    rank. The centroids are a row for each label, so the join multiplies the
-    vectors by the number of labels."""
+    """Each vector against every label's centroid: cosine times 100, softmax, rank."""
     rows = table(spark, sf_dir, "embeddings")
-    centres = centroids(rows, "label", "embedding").withColumnRenamed("label", "centre").withColumn("one", F.lit(1))
-    pairs = rows.select("vec_id", "embedding", F.lit(1).alias("one")).join(centres, "one")
+    centres = centroids(rows, "label", "embedding").withColumnRenamed("label", "centre")
+    pairs = against(rows.select("vec_id", "embedding"), centres, "centre")
     scored = pairs.select("vec_id", "centre", (cosine("embedding", "centroid") * 100).alias("logit"), F.lit("label").alias("axis"))
     return softmax_ranks(scored, ["vec_id"], "axis", "centre", "logit").select("vec_id", "centre", rnd("score", 4).alias("score"), "rank", "is_top")
 
