@@ -29,7 +29,7 @@ from .ngrams import char_grams, fit_logistic, fit_platt, lowered, sigmoid, word_
 BITS, CHAR_ORDERS, WORD_ORDERS = 18, (1, 2, 3), (1, 2)
 TRAIN_ROWS = 6_000
 #: A text is kept if its probability of quality 1 is at least this.
-KEEP_FROM = 0.35
+KEEP_FROM = 0.25
 #: The base rule: fewer words, or a larger share of repeated words, fail.
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 20, 30, 8
 _SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
