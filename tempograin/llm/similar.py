@@ -150,19 +150,61 @@ def _likely_rows(percent: int):
     return pairs
 
 
-def _block_pairs(percent: int):
-    """Groups of a block's classes and of those outside the main component."""
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for ids, n, sig, labels, few in ((*g, f) for g, f in zip(_members(b.column("members")), _members(b.column("few")), strict=True)):
-                label, out = np.array([bytes(x) for x in labels], dtype=object), []
-                for x, xn, xs, xl in zip(*few, strict=True):
-                    use = (_agree(sig, xs) >= LIKELY) & (100 * np.minimum(n, xn) >= percent * np.maximum(n, xn)) & (label != xl)
-                    out += [(min(x, ids[k]), max(x, ids[k])) for k in np.flatnonzero(use)]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.binary()), pa.array([p[1] for p in out], pa.binary()), pa.array([False] * len(out), pa.bool_())], names=["a", "b", "first"])
-
-    return pairs
+def _block_links(percent: int):
+    """A group: classes of a node (cls, label, grams), and some of those outside
+    its largest component (query). -> links between the two that hold on the full
+    sets, as many as join their components."""
+
+    def links(group: pa.Table) -> pa.Table:
+        ids, grams = group.column("cls").to_pylist(), [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group.column("grams")]
+        labels, query = group.column("label").to_pylist(), group.column("query").to_numpy(zero_copy_only=False).astype(bool)
+        size = np.array([len(g) for g in grams])
+        values, place = np.unique(np.concatenate(grams), return_inverse=True)
+        row = np.repeat(np.arange(len(ids)), size)
+        both = np.zeros((int((~query).sum()), int(query.sum())), dtype=np.float32)
+        step = max(1, 8_000_000 // len(ids))
+        for low in range(0, len(values), step):  # the sets as 0 and 1, some shingles at a time
+            here = (place >= low) & (place < low + step)
+            has = np.zeros((len(ids), min(step, len(values) - low)), dtype=np.float32)
+            has[row[here], place[here] - low] = 1
+            both += has[~query] @ has[query].T
+        x, y = np.flatnonzero(~query), np.flatnonzero(query)
+        either = size[x][:, None] + size[y][None, :] - both
+        out, parent = [], {}
+
+        def find(label: bytes) -> bytes:
+            while parent.get(label, label) != label:
+                label = parent[label]
+            return label
+
+        for i, j in zip(*np.nonzero(100 * both >= percent * either), strict=True):
+            one, other = find(labels[x[i]]), find(labels[y[j]])
+            if one != other:
+                parent[one] = other
+                out.append((ids[x[i]], ids[y[j]]))
+        return pa.table([pa.array([p[0] for p in out], pa.binary()), pa.array([p[1] for p in out], pa.binary())], names=["a", "b"])
+
+    return links
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links -> each class they name with the smallest that they join it to."""
+    parent: dict[bytes, bytes] = {}
+
+    def find(c: bytes) -> bytes:
+        root = c
+        while parent.setdefault(root, root) != root:
+            root = parent[root]
+        while parent[c] != root:
+            parent[c], c = root, parent[c]
+        return root
+
+    for b in batches:
+        for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True):
+            x, y = find(x), find(y)
+            parent[max(x, y)] = min(x, y)
+    names = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([find(c) for c in names], pa.binary())], names=["a", "b"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -184,8 +226,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) -> cls, label (the smallest class of its component), for
-    every class with an edge: least labels of neighbours, with pointer jumping,
-    until nothing changes."""
+    every class with an edge: what a task's edges join is joined at once, then
+    least labels of neighbours, with pointer jumping, until nothing changes."""
+    edges = edges.mapInArrow(_forest, "a binary, b binary")
     ways = [F.struct(F.col(x).alias("cls"), F.col(y).alias("to")) for x in "ab" for y in "ab"]
     both = edges.select(F.explode(F.array(*ways)).alias("e")).select("e.cls", "e.to")
     both = few(cut(both.distinct()))
@@ -249,24 +292,28 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
         rest = rest.union(level.filter(F.col("size") <= small).groupBy("node").agg(_member().alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS).select("a", "b"))
         level = level.filter(F.col("size") > small)
         if at + 1 == len(lengths):
-            rest = rest.union(_in_blocks(level, percent).select("a", "b"))
+            edges = edges.union(_in_blocks(few(cut(level)), fetch, percent))
         else:
             level = level.select(_longer(F.col("node"), lengths[at + 1] - length).alias("node"), "cls", "n", "sig", "label")
     more = _with_label(_with_label(rest.distinct(), labels, "a", "la"), labels, "b", "lb").filter("la != lb")
     more = few(cut(more))
-    return labels if more.isEmpty() else components(edges.union(check(more)))
+    return components(edges.union(check(more)))
 
 
-def _in_blocks(level: DataFrame, percent: int, few: int = 512, many: int = 512) -> DataFrame:
-    """Pairs of each node's classes outside its largest component with all of it."""
+def _in_blocks(level: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, block: int = 256) -> DataFrame:
+    """Links of each node's classes outside its largest component with all of
+    it, on full sets, block by block."""
     sizes = level.groupBy("node", "label").agg(F.count("*").alias("n_label"))
     main = sizes.groupBy("node").agg(F.max(F.struct("n_label", "label")).alias("m"), F.sum("n_label").alias("all"))
-    main = main.select("node", F.col("m.label").alias("main"), F.ceil((F.col("all") - F.col("m.n_label")) / few).cast("int").alias("n_few"), F.ceil(F.col("all") / many).cast("int").alias("n_many"))
-    rows = level.drop("size").join(main, "node")
+    main = main.select("node", F.col("m.label").alias("main"), F.ceil((F.col("all") - F.col("m.n_label")) / block).cast("int").alias("n_few"), F.ceil(F.col("all") / block).cast("int").alias("n_many"))
+    sets = few(cut(fetch(few(cut(level.select("cls").distinct())))), 2_000)
+    rows = level.select("node", "cls", "label").join(main, "node").join(sets, "cls")
     deal = lambda seed, n: F.pmod(F.xxhash64("cls", F.lit(seed)), F.col(n)).cast("int")
-    blocks = rows.withColumn("few_at", F.explode(F.sequence(F.lit(0), F.col("n_few") - 1))).withColumn("many_at", deal(1, "n_many")).groupBy("node", "few_at", "many_at").agg(_member().alias("members"))
-    queries = rows.filter(F.col("label") != F.col("main")).groupBy("node", deal(2, "n_few").alias("few_at")).agg(_member().alias("few"))
-    return blocks.join(queries, ["node", "few_at"]).select("members", "few").mapInArrow(_block_pairs(percent), _PAIRS)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["node", "few_at", "many_at", "cls", "label", "grams", "query"]
+    members = rows.withColumns({"many_at": deal(1, "n_many"), "query": F.lit(False)}).withColumn("few_at", every("n_few")).select(*columns)
+    queries = rows.filter("label != main").withColumns({"few_at": deal(2, "n_few"), "query": F.lit(True)}).withColumn("many_at", every("n_many")).select(*columns)
+    return members.union(queries).groupBy("node", "few_at", "many_at").applyInArrow(_block_links(percent), "a binary, b binary")
 
 
 def fetcher(scan: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[list[bytes | None], np.ndarray, np.ndarray]]], texts: DataFrame) -> Callable[[DataFrame], DataFrame]:
