@@ -25,10 +25,9 @@ class BlockedBloom:
         blocks = min(most_blocks, max(1, -(-keys * bits_per_key // 512)))
         low = F.col(column).bitwiseAND(F.lit(_LOW))
         bits = [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(low * F.lit(s), 25).bitwiseAND(F.lit(63)).cast("int"))).alias(f"w{i}") for i, s in enumerate(_SALTS)]
-        rows = hashes.filter(F.col(column).isNotNull()).groupBy((F.shiftrightunsigned(column, 31) % blocks).alias("block")).agg(*bits).toLocalIterator()
+        filled = hashes.filter(F.col(column).isNotNull()).groupBy((F.shiftrightunsigned(column, 31) % blocks).alias("block")).agg(*bits).toArrow()
         words = np.zeros((blocks, 8), dtype=np.uint64)
-        for r in rows:
-            words[r["block"]] = np.array([r[f"w{i}"] for i in range(8)], dtype=np.int64).view(np.uint64)
+        words[filled.column("block").to_numpy()] = np.stack([filled.column(f"w{i}").to_numpy().view(np.uint64) for i in range(8)], axis=1)
         return BlockedBloom(words)
 
     def might_contain(self, hashes: np.ndarray) -> np.ndarray:

@@ -90,7 +90,7 @@ def window_sets(benchmark: DataFrame, block: int = BLOCK) -> Iterator[WindowSet]
     rows = cut(rows.groupBy("window", "size").agg(F.collect_set("item_id").alias("items")))
     n = -(-rows.count() // block) or 1
     for i in range(n):
-        yield WindowSet([(r["size"], bytes(r["window"]), list(r["items"])) for r in rows.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == i).toLocalIterator()])
+        yield WindowSet([(r["size"], bytes(r["window"]), list(r["items"])) for r in rows.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == i).collect()])
 
 
 def _scan(docs: DataFrame, windows: WindowSet) -> DataFrame:
