@@ -226,9 +226,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) -> cls, label (the smallest class of its component), for
-    every class with an edge: what a task's edges join is joined at once, then
-    least labels of neighbours, with pointer jumping, until nothing changes."""
-    edges = edges.mapInArrow(_forest, "a binary, b binary")
+    every class with an edge. What a task's edges join is joined at once; only
+    where tasks differ on a class are their answers joined in turn."""
+    stars = few(cut(edges.mapInArrow(_forest, "a binary, b binary")))
+    least = few(cut(stars.groupBy("a").agg(F.min("b").alias("low"))))
+    differ = few(cut(stars.join(least, "a").filter("b != low").select(F.col("low").alias("a"), "b").distinct()))
+    if differ.isEmpty():
+        return least.toDF("cls", "label")
+    roots = _propagated(differ).toDF("low", "label")
+    return few(cut(least.join(roots, "low", "left").select(F.col("a").alias("cls"), F.coalesce("label", "low").alias("label"))))
+
+
+def _propagated(edges: DataFrame) -> DataFrame:
+    """The same, by least labels of neighbours with pointer jumping, until
+    nothing changes."""
     ways = [F.struct(F.col(x).alias("cls"), F.col(y).alias("to")) for x in "ab" for y in "ab"]
     both = edges.select(F.explode(F.array(*ways)).alias("e")).select("e.cls", "e.to")
     both = few(cut(both.distinct()))
