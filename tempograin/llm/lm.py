@@ -9,11 +9,13 @@ probability averaged over the last ``SAMPLES`` sweeps.
 Tokens are dealt once, packed, to groups by dish (the word), so a group holds
 all customers of its dishes in every restaurant and their tables in the parent.
 Very frequent dishes are dealt by dish and context. What groups must share are
-totals: tables of each context, customers and tables of the parent. They are
-summed after a first pass; a second replays the same seatings and scores with
-the exact totals. Within a pass totals are held still, as parallel Gibbs
-samplers do. Contexts with a share of at least 1 / ``CONTEXTS`` of all tokens
-have restaurants of their own, at most that many; rarer ones share one.
+totals: customers and tables of each context, customers and tables of the
+parent. Those of contexts are rows keyed by the word's hash, which Spark joins to
+the groups that hold the context; tables are summed after a first pass, and a
+second replays the same seatings and scores with the exact totals. Within a pass
+totals are held still, as parallel Gibbs samplers do. Every word has a restaurant
+of its own, whose customers are as many as its occurrences; the start of a text
+is the context of the end token.
 
 Defined cases: a null or empty text is one token, the end; repeated rows are
 trained on and scored each; without training rows every token is unknown; an
@@ -27,37 +29,39 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, cut, joined, mix64, slices, word_hashes, word_spans
 
-CONTEXTS, GROUP_TOKENS, SLICE = 500_000, 2_000_000, 8 << 20
+GROUP_TOKENS, SLICE = 2_000_000, 8 << 20
 BURN_IN, SAMPLES, BLOCKS = 2, 2, 4
 #: Discount and strength of the context restaurants, and of the parent.
 D, THETA, D0, THETA0 = 0.75, 2.0, 0.6, 10.0
+#: Tables of n customers are about n to this power.
+TABLES = 0.85
+#: Columns of the facts of contexts, beside the blobs of a group.
+_FACTS = ["context", "customers", *(f"tables{s}" for s in range(SAMPLES))]
 _END = np.uint64(0x9D39247E33776D41)
 _ZSTD = pa.Codec("zstd", 1)
 
 
 class Shared(NamedTuple):
-    """What every task knows: sizes, frequent contexts and frequent dishes."""
+    """What every task knows: sizes and frequent dishes."""
 
     tokens: int
     vocabulary: int
-    texts: int
     groups: int
-    contexts: np.ndarray  # sorted hashes of words with restaurants of their own
-    customers: np.ndarray  # of each context: start, own ones, shared one
+    tables: float  # of all contexts, before any are counted
     hot: np.ndarray  # sorted hashes of the dishes dealt by context too
     hot_count: np.ndarray
 
 
 class Totals(NamedTuple):
-    """Of each sample: tables of each context; customers and tables of the parent; customers and tables of the hot dishes in it."""
+    """Of each sample: customers and tables of the parent; customers and tables of the hot dishes in it."""
 
-    tables: np.ndarray
     parent: np.ndarray
     hot: np.ndarray
 
@@ -99,16 +103,43 @@ def _lookup(known: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(known[at] == x, at, -1)
 
 
+def _dealt(shared: Shared, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens: hash, hash of the context, text and group."""
+    token, of = _tokens(b)
+    before = np.full(len(token), _END, dtype=np.uint64)
+    before[1:] = token[:-1]
+    hot = _lookup(shared.hot, token) >= 0
+    group = (np.where(hot, mix64(token + mix64(before)), token) % np.uint64(shared.groups)).astype(np.int64)
+    return token, before, of, group
+
+
+def _contexts(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, context), each once for about a million of them."""
+    names = ["group", "context"]
+    held = np.zeros(0, dtype=[("group", np.int64), ("context", np.uint64)])
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held["group"].copy()), pa.array(held["context"].copy().view(np.int64))], names=names)
+
+    for b in slices(batches, most=SLICE):
+        _, before, _, group = _dealt(shared, b)
+        u, g = np.concatenate([held["context"], before]), np.concatenate([held["group"], group])
+        order = np.lexsort((u, g))
+        u, g = u[order], g[order]
+        new = np.ones(len(u), dtype=bool)
+        new[1:] = (u[1:] != u[:-1]) | (g[1:] != g[:-1])
+        held = np.empty(int(new.sum()), dtype=held.dtype)
+        held["group"], held["context"] = g[new], u[new]
+        if len(held) > 1_000_000:
+            yield out()
+            held = held[:0]
+    yield out()
+
+
 def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each group a blob: dishes, contexts, texts and counts, sorted."""
     for b in slices(batches, most=SLICE):
-        token, of = _tokens(b)
-        own = _lookup(shared.contexts, token)
-        context = np.where(own >= 0, own + 1, len(shared.contexts) + 1).astype(np.uint32)
-        before = np.zeros(len(token), dtype=np.uint32)
-        before[1:] = np.where(of[1:] == of[:-1], context[:-1], 0)
-        hot = _lookup(shared.hot, token) >= 0
-        group = (np.where(hot, mix64(token + before.astype(np.uint64)), token) % np.uint64(shared.groups)).astype(np.int64)
+        token, before, of, group = _dealt(shared, b)
         order = np.argsort(before, kind="stable")
         order = order[np.argsort(token[order], kind="stable")]
         order = order[np.argsort(group[order].astype(np.uint16 if shared.groups < 65536 else np.int64), kind="stable")]
@@ -130,8 +161,9 @@ def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             high = first_entry[bounds[i + 1]] if bounds[i + 1] < len(pair) else len(entry)
             docs, local = np.unique(d[entry[low:high]], return_inverse=True)
             dish = np.flatnonzero(np.diff(w[p], prepend=~w[p][:1]) != 0)
-            parts = [w[p][dish], np.diff(np.append(dish, len(p))).astype(np.uint32), u[p], np.diff(np.append(first_entry[bounds[i] : bounds[i + 1]], high)).astype(np.uint32), local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], rid[docs], train[docs]]
-            raw = np.array([len(x) for x in parts] + [parts[4].itemsize], dtype=np.int64).tobytes() + b"".join(x.tobytes() for x in parts)
+            known, context = np.unique(u[p], return_inverse=True)
+            parts = [w[p][dish], np.diff(np.append(dish, len(p))).astype(np.uint32), known, context.astype(np.uint32), np.diff(np.append(first_entry[bounds[i] : bounds[i + 1]], high)).astype(np.uint32), local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], rid[docs], train[docs]]
+            raw = np.array([len(x) for x in parts] + [parts[5].itemsize], dtype=np.int64).tobytes() + b"".join(x.tobytes() for x in parts)
             groups.append(i)
             blobs.append(len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True))
         yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
@@ -139,25 +171,40 @@ def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
     raw = _ZSTD.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
-    *lengths, width = np.frombuffer(raw, dtype=np.int64, count=9).tolist()
-    kinds, out, at = ("u8", "u4", "u4", "u4", f"u{width}", "u4", "i8", "u1"), [], 72
+    *lengths, width = np.frombuffer(raw, dtype=np.int64, count=10).tolist()
+    kinds, out, at = ("u8", "u4", "u8", "u4", "u4", f"u{width}", "u4", "i8", "u1"), [], 80
     for n, kind in zip(lengths, kinds, strict=True):
         out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
         at += out[-1].nbytes
     return out
 
 
+class Facts(NamedTuple):
+    """What is known of a group's contexts: sorted hashes, customers, tables in each sample."""
+
+    known: np.ndarray
+    customers: np.ndarray
+    tables: np.ndarray
+
+    def of(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables; a context that was not trained on has none."""
+        at = _lookup(self.known, contexts)
+        if not len(self.known):
+            return np.zeros(len(at)), np.zeros((SAMPLES, len(at)))
+        return np.where(at >= 0, self.customers[at], 0), np.where(at >= 0, self.tables[:, at], 0)
+
+
 class Group:
     """All tokens of a group's dishes: pairs (dish, context) with the training
     customers, and entries (pair, text, times)."""
 
-    def __init__(self, shared: Shared, blobs: Iterator[bytes]):
+    def __init__(self, shared: Shared, blobs: Iterator[bytes], facts: Facts):
         dish, context, count, entry_pair, text, times, rids, n_pairs, n_docs = [], [], [], [], [], [], [], 0, 0
         for blob in blobs:
-            w, w_n, u, n, doc, tf, rid, train = _unpack(blob)
+            w, w_n, known, u, n, doc, tf, rid, train = _unpack(blob)
             pair = np.repeat(np.arange(len(u)), n)
             dish.append(np.repeat(w, w_n))
-            context.append(u)
+            context.append(known[u])
             count.append(np.bincount(pair, tf * train[doc], minlength=len(u)).astype(np.int64))
             entry_pair.append(pair + n_pairs)
             text.append(doc.astype(np.int64) + n_docs)
@@ -167,6 +214,8 @@ class Group:
         self.rids, self.text, self.times = np.concatenate(rids), np.concatenate(text), np.concatenate(times).astype(np.int64)
         w, u = np.concatenate(dish), np.concatenate(context)
         self.dishes, w = np.unique(w, return_inverse=True)
+        self.contexts, u = np.unique(u, return_inverse=True)
+        self.customers, self.context_tables = facts.of(self.contexts)
         key, inverse = np.unique(w.astype(np.int64) << 32 | u, return_inverse=True)
         self.dish, self.context = key >> 32, key & 0xFFFFFFFF
         self.count = np.bincount(inverse, np.concatenate(count), minlength=len(key)).astype(np.int64)
@@ -235,8 +284,8 @@ def _parent_tables(rng: np.random.Generator, guests: np.ndarray, mass: float) ->
 def _chain(shared: Shared, group: Group, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Samples: tables of the pairs; customers and tables of the dishes in the parent."""
     rng = np.random.default_rng(seed)
-    expected = shared.customers.astype(float) ** 0.85  # tables of a context, before any are counted
-    all_tables = expected.sum()
+    expected = group.customers.astype(float) ** TABLES  # tables of a context, before any are counted
+    all_tables = shared.tables
     parent_tables = max(shared.vocabulary, 1) * 1.5
     uniform = 1.0 / (shared.vocabulary + 1)
     mass0 = (THETA0 + D0 * parent_tables) * uniform
@@ -253,58 +302,73 @@ def _chain(shared: Shared, group: Group, seed: int) -> Iterator[tuple[np.ndarray
             yield tables, guests, _parent_tables(rng, guests, mass0)
 
 
-def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """The blobs of each group, from rows sorted by group."""
-    now, held = None, []
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], Facts]]:
+    """The blobs and facts of each group, from rows sorted by group."""
+    now, blobs, facts = None, [], []
+
+    def whole() -> tuple[int, list[bytes], Facts]:
+        rows = [np.concatenate(x) for x in zip(*facts, strict=True)] or [np.zeros(0, dtype=np.int64)] * (2 + SAMPLES)
+        known = rows[0].view(np.uint64)
+        order = np.argsort(known)
+        return now, blobs, Facts(known[order], rows[1][order], np.stack(rows[2:])[:, order])
+
     for b in batches:
-        for group, blob in zip(b.column("group").to_pylist(), b.column("blob"), strict=True):
-            if group != now:
-                if held:
-                    yield now, held
-                now, held = group, []
-            held.append(blob.as_py())
-    if held:
-        yield now, held
-
-
-def _totals(held: Broadcast, rows: DataFrame) -> Totals:
-    """First pass: sums over all groups of what each sample's seating counts."""
+        group, is_fact = b.column("group").to_numpy(), b.column("blob").is_null().to_numpy(zero_copy_only=False)
+        columns = [pc.fill_null(b.column(c), 0).to_numpy() for c in _FACTS]
+        bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)] if len(group) else [0]
+        for i, j in zip(bounds, bounds[1:], strict=False):
+            if group[i] != now:
+                if blobs:
+                    yield whole()
+                now, blobs, facts = int(group[i]), [], []
+            of = i + np.flatnonzero(is_fact[i:j])
+            if len(of):
+                facts.append([c[of] for c in columns])
+            blobs += [b.column("blob")[k].as_py() for k in (i + np.flatnonzero(~is_fact[i:j])).tolist()]
+    if blobs:
+        yield whole()
+
+
+def _totals(held: Broadcast, rows: DataFrame) -> tuple[Totals, DataFrame]:
+    """First pass: sums over all groups of what each sample's seating counts;
+    those of contexts as rows (context, tables of each sample)."""
     shared = held.value
 
-    def count(number: int, blobs: list[bytes]) -> pa.RecordBatch:
-        group, kind, who, n, sample = Group(held.value, blobs), [], [], [], []
+    def count(number: int, blobs: list[bytes], facts: Facts) -> pa.RecordBatch:
+        group, kind, who, n, sample = Group(held.value, blobs, facts), [], [], [], []
         for s, (tables, guests, seated) in enumerate(_chain(held.value, group, number)):
             by_context = np.bincount(group.context, tables)
             used = np.flatnonzero(by_context)
             own = group.hot < 0
             hot = np.flatnonzero(~own & (guests > 0))
             # What a hot dish's parts count of its tables in the parent, added up, would be too many: one share for all.
-            for k, w, v in ((0, used, by_context[used]), (1, [0], [guests.sum()]), (2, [0], [seated[own].sum()]), (3, group.hot[hot], guests[hot])):
-                kind += [k] * len(w)
-                who += list(w)
-                n += list(v)
-                sample += [s] * len(w)
-        return pa.RecordBatch.from_arrays([pa.array(sample, pa.int32()), pa.array(kind, pa.int32()), pa.array(np.array(who, dtype=np.int64)), pa.array(np.array(n, dtype=np.int64))], names=["sample", "kind", "who", "n"])
-
-    sums = rows.mapInArrow(lambda it: (count(*g) for g in _by_group(it)), "sample int, kind int, who long, n long").groupBy("sample", "kind", "who").agg(F.sum("n").alias("n")).toArrow()
-    sample, kind, who, n = (sums.column(c).to_numpy() for c in ("sample", "kind", "who", "n"))
-    out = Totals(np.zeros((SAMPLES, len(shared.contexts) + 2)), np.zeros((SAMPLES, 2)), np.zeros((SAMPLES, len(shared.hot), 2)))
-    for k, into in ((0, out.tables), (3, out.hot[:, :, 0])):
-        into[sample[kind == k], who[kind == k]] = n[kind == k]
-    for k in (1, 2):
-        out.parent[sample[kind == k], k - 1] = n[kind == k]
-    for s in range(SAMPLES):
+            for k, w, v in ((0, group.contexts[used].view(np.int64), by_context[used]), (1, [0], [guests.sum()]), (2, [0], [seated[own].sum()]), (3, group.hot[hot], guests[hot])):
+                kind.append(np.full(len(w), k, dtype=np.int32))
+                who.append(np.asarray(w, dtype=np.int64))
+                n.append(np.asarray(v, dtype=np.int64))
+                sample.append(np.full(len(w), s, dtype=np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sample, kind, who, n)], names=["sample", "kind", "who", "n"])
+
+    sums = cut(rows.mapInArrow(lambda it: (count(*g) for g in _by_group(it)), "sample int, kind int, who long, n long").groupBy("kind", "who").agg(*(F.sum(F.when(F.col("sample") == s, F.col("n"))).alias(c) for s, c in enumerate(_FACTS[2:]))))
+    few = sums.filter("kind > 0").toArrow()
+    kind, who = few.column("kind").to_numpy(), few.column("who").to_numpy()
+    out = Totals(np.zeros((SAMPLES, 2)), np.zeros((SAMPLES, len(shared.hot), 2)))
+    for s, c in enumerate(_FACTS[2:]):
+        n = pc.fill_null(few.column(c), 0).to_numpy()
+        out.hot[s, who[kind == 3], 0] = n[kind == 3]
+        for k in (1, 2):
+            out.parent[s, k - 1] = n[kind == k].sum()
         out.hot[s, :, 1] = _parent_tables(np.random.default_rng(s), out.hot[s, :, 0].astype(np.int64), (THETA0 + D0 * max(out.parent[s, 1], 1)) / (shared.vocabulary + 1))
         out.parent[s, 1] += out.hot[s, :, 1].sum()
-    return out
+    return out, sums.filter("kind = 0").select(F.col("who").alias("context"), *_FACTS[2:])
 
 
 def _score(held: Broadcast, held_totals: Broadcast, rows: DataFrame) -> DataFrame:
     """Second pass: rid, tokens, known, base and score, summed in each task."""
 
-    def score(number: int, blobs: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    def score(number: int, blobs: list[bytes], facts: Facts) -> tuple[np.ndarray, list[np.ndarray]]:
         shared, totals = held.value, held_totals.value
-        group = Group(shared, blobs)
+        group = Group(shared, blobs, facts)
         uniform = 1.0 / (shared.vocabulary + 1)
         p = np.zeros(len(group.count))
         for s, (tables, guests, seated) in enumerate(_chain(shared, group, number)):
@@ -312,8 +376,8 @@ def _score(held: Broadcast, held_totals: Broadcast, rows: DataFrame) -> DataFram
                 hot = group.hot >= 0
                 guests, seated = (np.where(hot, totals.hot[s][np.maximum(group.hot, 0), k], x) for k, x in ((0, guests), (1, seated)))
             parent = (guests - D0 * seated + (THETA0 + D0 * totals.parent[s, 1]) * uniform) / (THETA0 + totals.parent[s, 0])
-            back = THETA + D * totals.tables[s][group.context]
-            p += (group.count - D * tables + back * parent[group.dish]) / (THETA + shared.customers[group.context])
+            back = THETA + D * group.context_tables[s][group.context]
+            p += (group.count - D * tables + back * parent[group.dish]) / (THETA + group.customers[group.context])
         log_p = np.log10(p / SAMPLES)
         seen = group.dish_count[group.dish] > 0
         base = np.log10((group.dish_count + 1.0) / (shared.tokens + shared.vocabulary + 1))[group.dish]
@@ -326,8 +390,8 @@ def _score(held: Broadcast, held_totals: Broadcast, rows: DataFrame) -> DataFram
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(held), *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x) for x in sums[2:])], names=["rid", "n_tokens", "n_known", "base_score", "score"])
 
-        for number, blobs in _by_group(batches):
-            rids, columns = score(number, blobs)
+        for number, blobs, facts in _by_group(batches):
+            rids, columns = score(number, blobs, facts)
             held, inverse = np.unique(np.concatenate([held, rids]), return_inverse=True)
             sums = [np.bincount(inverse, np.concatenate(x), minlength=len(held)) for x in zip(sums, columns, strict=True)]
             if len(held) > 1_000_000:
@@ -338,31 +402,34 @@ def _score(held: Broadcast, held_totals: Broadcast, rows: DataFrame) -> DataFram
     return rows.mapInArrow(summed, "rid long, n_tokens long, n_known long, base_score double, score double").groupBy("rid").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
 
 
-def score_texts(docs: DataFrame, train: Column, contexts: int = CONTEXTS, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """docs (doc_id, text) and which of them to learn from -> doc_id, train,
     n_tokens, n_known, train_tokens, base_score (unigrams with one added) and
     score: log10 probabilities of each whole text."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", train.alias("train"), F.xxhash64("doc_id", "text").alias("rid"))
     counts = cut(rows.filter("train").select("text").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
-    n, v, end = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("token") == int(_END.view(np.int64)), F.col("n"))), F.lit(0))).first()
+    n, v, tables = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.pow("n", F.lit(TABLES))), F.lit(0.0))).first()
     groups = max(1, -(-n // group_tokens))
-    # Words of a share of 1 / contexts or more: no more than ``contexts`` of them.
-    frequent = counts.filter(F.col("n") * contexts >= n).toArrow()
+    # Words of a share of 1 / (4 * groups) or more: no more than 4 * groups of them.
+    frequent = counts.filter((F.col("n") * 4 * groups >= n) & F.lit(groups > 1)).toArrow()
     word, count = frequent.column("token").to_numpy().view(np.uint64), frequent.column("n").to_numpy()
     order = np.argsort(word)
-    word, count = word[order], count[order]
-    own = word != _END
-    hot = count * 4 * groups >= n if groups > 1 else np.zeros(len(word), dtype=bool)
-    customers = np.concatenate([[end], count[own], [n - end - count[own].sum()]])
-    shared = Shared(int(n), int(v), int(end), int(groups), word[own], customers, word[hot], count[hot])
+    shared = Shared(int(n), int(v), int(groups), float(tables), word[order], count[order])
     held = spark.sparkContext.broadcast(shared)
-    packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, blob binary")
     # A task has a few groups, whose sums for a text then travel as one row.
     tasks = max(min(shared.groups, 2 * spark.sparkContext.defaultParallelism), shared.groups // 4)
-    packed = cut(packed.repartition(tasks, "group").sortWithinPartitions("group"))
-    totals = spark.sparkContext.broadcast(_totals(held, packed))
-    sums = _score(held, totals, packed)
+    needed = rows.select("text").mapInArrow(lambda it: _contexts(held.value, it), "group long, context long").distinct()
+    facts = cut(needed.join(counts.select(F.col("token").alias("context"), F.col("n").alias("customers")), "context"))
+    # Packed again for each pass: a copy on disk beside both shuffles would be more than they are.
+    packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, blob binary")
+
+    def dealt(known: DataFrame) -> DataFrame:
+        both = packed.unionByName(known.select("group", *_FACTS), allowMissingColumns=True)
+        return both.repartition(tasks, "group").sortWithinPartitions("group")
+
+    totals, told = _totals(held, dealt(facts.select("*", *(F.lit(0).cast("long").alias(c) for c in _FACTS[2:]))))
+    sums = _score(held, spark.sparkContext.broadcast(totals), dealt(facts.join(told, "context", "left")))
     ids = rows.groupBy("rid").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("train").alias("train"), F.count("*").alias("rows"))
     out = ids.join(sums, "rid").withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     whole = [(F.col(c) / F.col("rows")).cast("long").alias(c) for c in ("n_tokens", "n_known")]

@@ -208,3 +208,14 @@ def test_classifiers(spark):
     assert len({r["score"] for r in toxicity.scored(test, toxicity.train(train.filter("label = 0"))).collect()}) == 1
     judged = {r["doc_id"]: (r["n_words"], r["base_failed"], r["kept"]) for r in quality.judged(test, quality.train(train)).collect()}
     assert judged[3] == (0, True, False) and judged[1] == (5, True, False)
+
+
+def test_language_model_rare_contexts(spark):
+    """A word seen twice among a million has a restaurant of its own: what follows it is told apart."""
+    words = spark.range(300_000).select(F.concat_ws(" ", F.concat(F.lit("u"), "id"), F.concat(F.lit("w"), "id")).alias("text"), (F.col("id") % 500).alias("doc_id"))
+    train = words.groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("text")).alias("text"))
+    train = train.union(train.select(F.col("doc_id") + 500, "text"))
+    ask = spark.createDataFrame([(2000 + i, f"u{i} w{i + k}") for i in range(20) for k in (0, 1)], "doc_id long, text string")
+    ask = ask.withColumn("doc_id", F.col("doc_id") * 2 + F.col("text").rlike("^u(\\d+) w\\1$").cast("long"))
+    got = {r["doc_id"]: r["score"] for r in lm.score_texts(train.union(ask), F.col("doc_id") < 1000).collect()}
+    assert min(got[2 * i + 1] - got[2 * i] for i in range(2000, 2020)) > 1
