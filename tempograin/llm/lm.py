@@ -8,7 +8,9 @@ probability averaged over the last ``SAMPLES`` sweeps.
 
 Tokens are dealt once, packed, to groups by dish (the word), so a group holds
 all customers of its dishes in every restaurant and their tables in the parent.
-Very frequent dishes are dealt by dish and context. What groups must share are
+Very frequent dishes are dealt by dish and context, and such a pair whose context
+is very frequent too by the text as well: its parts are seated each on its own
+and their customers and tables added up. What groups must share are
 totals: customers and tables of each context, customers and tables of the
 parent. Those of contexts are rows keyed by the word's hash, which Spark joins to
 the groups that hold the context; tables are summed after a first pass, and a
@@ -57,6 +59,22 @@ class Shared(NamedTuple):
     tables: float  # of all contexts, before any are counted
     hot: np.ndarray  # sorted hashes of the dishes dealt by context too
     hot_count: np.ndarray
+    most: int  # training tokens of a group
+
+    def parts(self, dish: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """In how many parts the pairs are dealt: of a quarter of a group at most, were all
+        of the rarer word in the pair."""
+        w = _lookup(self.hot, dish)
+        out = np.ones(len(w), dtype=np.int64)
+        i = np.flatnonzero(w >= 0)
+        u = _lookup(self.hot, context[i])
+        i, u = i[u >= 0], u[u >= 0]
+        out[i] = -(-4 * np.minimum(self.hot_count[w[i]], self.hot_count[u]) // self.most)
+        return out
+
+
+def _pair_key(dish: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return mix64(mix64(dish ^ np.uint64(0xA5A5A5A5A5A5A5A5)) + context)
 
 
 class Totals(NamedTuple):
@@ -103,43 +121,36 @@ def _lookup(known: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(known[at] == x, at, -1)
 
 
-def _dealt(shared: Shared, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all tokens: hash, hash of the context, text and group."""
+def _dealt(shared: Shared, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens: hash, hash of the context, text and group, and in how many parts the pair is."""
     token, of = _tokens(b)
     before = np.full(len(token), _END, dtype=np.uint64)
     before[1:] = token[:-1]
     hot = _lookup(shared.hot, token) >= 0
-    group = (np.where(hot, mix64(token + mix64(before)), token) % np.uint64(shared.groups)).astype(np.int64)
-    return token, before, of, group
+    parts = shared.parts(token, before)
+    part = mix64(b.column("rid").to_numpy().view(np.uint64))[of] % parts.astype(np.uint64)
+    group = (np.where(hot, mix64(token + mix64(before + part)), token) % np.uint64(shared.groups)).astype(np.int64)
+    return token, before, of, group, parts
 
 
 def _contexts(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, context), each once for about a million of them."""
-    names = ["group", "context"]
-    held = np.zeros(0, dtype=[("group", np.int64), ("context", np.uint64)])
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(held["group"].copy()), pa.array(held["context"].copy().view(np.int64))], names=names)
-
-    for b in slices(batches, most=SLICE):
-        _, before, _, group = _dealt(shared, b)
-        u, g = np.concatenate([held["context"], before]), np.concatenate([held["group"], group])
-        order = np.lexsort((u, g))
+    """(group, context), each once for a few megabytes of text; keys of pairs in parts as well."""
+    for b in slices(batches, most=SLICE // 4):
+        token, before, _, group, parts = _dealt(shared, b)
+        split = parts > 1
+        u = np.concatenate([before, _pair_key(token[split], before[split])])
+        g = np.concatenate([group, group[split]])
+        order = np.lexsort((g, u))
         u, g = u[order], g[order]
         new = np.ones(len(u), dtype=bool)
         new[1:] = (u[1:] != u[:-1]) | (g[1:] != g[:-1])
-        held = np.empty(int(new.sum()), dtype=held.dtype)
-        held["group"], held["context"] = g[new], u[new]
-        if len(held) > 1_000_000:
-            yield out()
-            held = held[:0]
-    yield out()
+        yield pa.RecordBatch.from_arrays([pa.array(g[new]), pa.array(u[new].view(np.int64))], names=["group", "context"])
 
 
 def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each group a blob: dishes, contexts, texts and counts, sorted."""
     for b in slices(batches, most=SLICE):
-        token, before, of, group = _dealt(shared, b)
+        token, before, of, group, _ = _dealt(shared, b)
         order = np.argsort(before, kind="stable")
         order = order[np.argsort(token[order], kind="stable")]
         order = order[np.argsort(group[order].astype(np.uint16 if shared.groups < 65536 else np.int64), kind="stable")]
@@ -220,6 +231,9 @@ class Group:
         self.dish, self.context = key >> 32, key & 0xFFFFFFFF
         self.count = np.bincount(inverse, np.concatenate(count), minlength=len(key)).astype(np.int64)
         self.pair = inverse[np.concatenate(entry_pair)]
+        self.split = np.flatnonzero(shared.parts(self.dishes[self.dish], self.contexts[self.context]) > 1)
+        self.split_key = _pair_key(self.dishes[self.dish[self.split]], self.contexts[self.context[self.split]])
+        self.split_count, self.split_tables = facts.of(self.split_key)
         self.dish_count = np.bincount(self.dish, self.count, minlength=len(self.dishes)).astype(np.int64)
         self.hot = _lookup(shared.hot, self.dishes)
         if len(shared.hot):
@@ -331,7 +345,8 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[byt
 
 def _totals(held: Broadcast, rows: DataFrame) -> tuple[Totals, DataFrame]:
     """First pass: sums over all groups of what each sample's seating counts;
-    those of contexts as rows (context, tables of each sample)."""
+    those of contexts, and of pairs in parts, as rows (context, tables of each
+    sample, customers of a pair)."""
     shared = held.value
 
     def count(number: int, blobs: list[bytes], facts: Facts) -> pa.RecordBatch:
@@ -342,14 +357,16 @@ def _totals(held: Broadcast, rows: DataFrame) -> tuple[Totals, DataFrame]:
             own = group.hot < 0
             hot = np.flatnonzero(~own & (guests > 0))
             # What a hot dish's parts count of its tables in the parent, added up, would be too many: one share for all.
-            for k, w, v in ((0, group.contexts[used].view(np.int64), by_context[used]), (1, [0], [guests.sum()]), (2, [0], [seated[own].sum()]), (3, group.hot[hot], guests[hot])):
+            split = group.split_key.view(np.int64)
+            counted = [(s, 0, group.contexts[used].view(np.int64), by_context[used]), (s, 0, split, tables[group.split]), (s, 1, [0], [guests.sum()]), (s, 2, [0], [seated[own].sum()]), (s, 3, group.hot[hot], guests[hot])]
+            for at, k, w, v in [*counted, *([(SAMPLES, 0, split, group.count[group.split])] if s == 0 else [])]:
                 kind.append(np.full(len(w), k, dtype=np.int32))
                 who.append(np.asarray(w, dtype=np.int64))
                 n.append(np.asarray(v, dtype=np.int64))
-                sample.append(np.full(len(w), s, dtype=np.int32))
+                sample.append(np.full(len(w), at, dtype=np.int32))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sample, kind, who, n)], names=["sample", "kind", "who", "n"])
 
-    sums = cut(rows.mapInArrow(lambda it: (count(*g) for g in _by_group(it)), "sample int, kind int, who long, n long").groupBy("kind", "who").agg(*(F.sum(F.when(F.col("sample") == s, F.col("n"))).alias(c) for s, c in enumerate(_FACTS[2:]))))
+    sums = cut(rows.mapInArrow(lambda it: (count(*g) for g in _by_group(it)), "sample int, kind int, who long, n long").groupBy("kind", "who").agg(*(F.sum(F.when(F.col("sample") == s, F.col("n"))).alias(c) for s, c in enumerate([*_FACTS[2:], "own"]))))
     few = sums.filter("kind > 0").toArrow()
     kind, who = few.column("kind").to_numpy(), few.column("who").to_numpy()
     out = Totals(np.zeros((SAMPLES, 2)), np.zeros((SAMPLES, len(shared.hot), 2)))
@@ -360,7 +377,7 @@ def _totals(held: Broadcast, rows: DataFrame) -> tuple[Totals, DataFrame]:
             out.parent[s, k - 1] = n[kind == k].sum()
         out.hot[s, :, 1] = _parent_tables(np.random.default_rng(s), out.hot[s, :, 0].astype(np.int64), (THETA0 + D0 * max(out.parent[s, 1], 1)) / (shared.vocabulary + 1))
         out.parent[s, 1] += out.hot[s, :, 1].sum()
-    return out, sums.filter("kind = 0").select(F.col("who").alias("context"), *_FACTS[2:])
+    return out, sums.filter("kind = 0").select(F.col("who").alias("context"), *_FACTS[2:], "own")
 
 
 def _score(held: Broadcast, held_totals: Broadcast, rows: DataFrame) -> DataFrame:
@@ -377,7 +394,9 @@ def _score(held: Broadcast, held_totals: Broadcast, rows: DataFrame) -> DataFram
                 guests, seated = (np.where(hot, totals.hot[s][np.maximum(group.hot, 0), k], x) for k, x in ((0, guests), (1, seated)))
             parent = (guests - D0 * seated + (THETA0 + D0 * totals.parent[s, 1]) * uniform) / (THETA0 + totals.parent[s, 0])
             back = THETA + D * group.context_tables[s][group.context]
-            p += (group.count - D * tables + back * parent[group.dish]) / (THETA + group.customers[group.context])
+            count, tables = group.count.astype(float), tables.astype(float)
+            count[group.split], tables[group.split] = group.split_count, group.split_tables[s]
+            p += (count - D * tables + back * parent[group.dish]) / (THETA + group.customers[group.context])
         log_p = np.log10(p / SAMPLES)
         seen = group.dish_count[group.dish] > 0
         base = np.log10((group.dish_count + 1.0) / (shared.tokens + shared.vocabulary + 1))[group.dish]
@@ -415,12 +434,12 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
     frequent = counts.filter((F.col("n") * 4 * groups >= n) & F.lit(groups > 1)).toArrow()
     word, count = frequent.column("token").to_numpy().view(np.uint64), frequent.column("n").to_numpy()
     order = np.argsort(word)
-    shared = Shared(int(n), int(v), int(groups), float(tables), word[order], count[order])
+    shared = Shared(int(n), int(v), int(groups), float(tables), word[order], count[order], int(group_tokens))
     held = spark.sparkContext.broadcast(shared)
     # A task has a few groups, whose sums for a text then travel as one row.
     tasks = max(min(shared.groups, 2 * spark.sparkContext.defaultParallelism), shared.groups // 4)
-    needed = rows.select("text").mapInArrow(lambda it: _contexts(held.value, it), "group long, context long").distinct()
-    facts = cut(needed.join(counts.select(F.col("token").alias("context"), F.col("n").alias("customers")), "context"))
+    needed = rows.select("rid", "text").mapInArrow(lambda it: _contexts(held.value, it), "group long, context long").repartition("context").distinct()
+    facts = cut(needed.join(counts.select(F.col("token").alias("context"), F.col("n").alias("customers")), "context", "left"))
     # Packed again for each pass: a copy on disk beside both shuffles would be more than they are.
     packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, blob binary")
 
@@ -429,7 +448,7 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
         return both.repartition(tasks, "group").sortWithinPartitions("group")
 
     totals, told = _totals(held, dealt(facts.select("*", *(F.lit(0).cast("long").alias(c) for c in _FACTS[2:]))))
-    sums = _score(held, spark.sparkContext.broadcast(totals), dealt(facts.join(told, "context", "left")))
+    sums = _score(held, spark.sparkContext.broadcast(totals), dealt(facts.join(told, "context", "left").withColumn("customers", F.coalesce("customers", "own"))))
     ids = rows.groupBy("rid").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("train").alias("train"), F.count("*").alias("rows"))
     out = ids.join(sums, "rid").withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     whole = [(F.col(c) / F.col("rows")).cast("long").alias(c) for c in ("n_tokens", "n_known")]

@@ -219,3 +219,17 @@ def test_language_model_rare_contexts(spark):
     ask = ask.withColumn("doc_id", F.col("doc_id") * 2 + F.col("text").rlike("^u(\\d+) w\\1$").cast("long"))
     got = {r["doc_id"]: r["score"] for r in lm.score_texts(train.union(ask), F.col("doc_id") < 1000).collect()}
     assert min(got[2 * i + 1] - got[2 * i] for i in range(2000, 2020)) > 1
+
+
+def test_language_model_hot_pair(spark):
+    """One pair with most of the tokens is dealt to many groups, and scores as it does whole."""
+    docs = spark.createDataFrame([(i, f"over and over {'again ' * 50}x{i % 7}") for i in range(400)], "doc_id long, text string")
+    b = docs.select("text", F.xxhash64("doc_id").alias("rid"), F.lit(True).alias("train")).toArrow().combine_chunks().to_batches()[0]
+    word, n = np.unique(lm._tokens(b)[0], return_counts=True)
+    hot = n * 4 * 11 >= n.sum()
+    shared = lm.Shared(int(n.sum()), len(word), 11, 1.0, word[hot], n[hot], 2000)
+    none = lm.Facts(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros((lm.SAMPLES, 0)))
+    sizes = [int(lm.Group(shared, [x.as_py()], none).count.sum()) for out in lm._pack(shared, iter([b])) for x in out.column("blob")]
+    assert sum(sizes) == n.sum() and max(sizes) <= 3 * 2000
+    whole, parts = ({r["doc_id"]: r["score"] for r in lm.score_texts(docs, F.lit(True), group_tokens=g).collect()} for g in (lm.GROUP_TOKENS, 2000))
+    assert max(abs(whole[i] - parts[i]) for i in range(400)) < 1.5
