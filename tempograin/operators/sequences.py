@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,15 +48,42 @@ def first_crossing(rows: DataFrame, keys: list[str], time: str, crosses: Column)
     return rows.groupBy(*keys).agg(F.min(F.when(crosses, F.col(time))).alias("stopped_at"))
 
 
-def autoregressive(rows: DataFrame, keys: list[str], time: str, noise: str, rho: float, name: str) -> DataFrame:
-    """x_t = rho x_(t-1) + noise_t along each key (x_0 = noise_0), as a fold over
-    the key's noise in order: a key's series is bounded by its session."""
-    series = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(noise).alias("e")))).alias("s"))
-    zero = F.struct(F.lit(0.0).alias("x"), F.array().cast("array<double>").alias("out"))
-
-    def step(acc: Column, e: Column) -> Column:
-        x = acc["x"] * F.lit(rho) + e["e"]
-        return F.struct(x.alias("x"), F.concat(acc["out"], F.array(x)).alias("out"))
-
-    folded = series.withColumn("__x", F.aggregate("s", zero, step)["out"])
-    return folded.select(*keys, F.explode(F.arrays_zip(F.col("s.t").alias("t"), F.col("__x").alias("x"))).alias("z")).select(*keys, F.col("z.t").alias(time), F.col("z.x").alias(name))
+def autoregressive(rows: DataFrame, keys: list[str], time: str, noise: str, rho: float, name: str, ranges: int | None = None) -> DataFrame:
+    """x_t = rho x_(t-1) + noise_t along each key (x_0 = noise_0), ties in time
+    by noise. A key may be longer than a task holds: rows are dealt to sorted
+    ranges of all keys, each folded from zero by its own, and what is carried
+    into a range, rho**k times the end of the one before, is added to its k-th row."""
+    n = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    slim = rows.select(*(F.col(c).alias(k) for c, k in zip(keys, names, strict=True)), F.col(time).alias("__t"), F.col(noise).cast("double").alias("__e"))
+    # Rows of one key, time and noise are alike, so a random number may part them.
+    dealt = slim.repartitionByRange(n, *names, "__t", "__e", F.rand(17)).sortWithinPartitions(*names, "__t", "__e")
+    schema = f"{', '.join(f'{k} {t}' for k, t in slim.dtypes)}, __x double, __n long, __part int"
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, now, x, k = TaskContext.get().partitionId(), None, 0.0, 0
+        for b in batches:
+            at, xs, ks = list(zip(*(b.column(c).to_pylist() for c in names), strict=True)), [], []
+            for key, e in zip(at, b.column("__e").to_pylist(), strict=True):
+                if key != now:
+                    now, x, k = key, 0.0, 0
+                x = None if x is None or e is None else rho * x + e
+                k += 1
+                xs.append(x)
+                ks.append(k)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(xs, pa.float64()), pa.array(ks, pa.int64()), pa.array([part] * len(xs), pa.int32())], names=[*b.schema.names, "__x", "__n", "__part"])
+
+    folded = cut(dealt.mapInArrow(fold, schema))
+    ends = folded.groupBy(*names, "__part").agg(F.max_by("__x", "__n").alias("x"), F.max("__n").alias("n"))
+    # A key has an end in each range it reaches, so these rows are as few as ranges.
+    parts = F.array_sort(F.collect_list(F.struct("__part", "x", "n")))
+    step = lambda acc, r: F.struct(F.concat(acc["out"], F.array(F.struct(r["__part"].alias("__part"), acc["x"].alias("carry")))).alias("out"), (r["x"] + acc["x"] * F.pow(F.lit(rho), r["n"])).alias("x"))
+    zero = F.struct(F.array().cast("array<struct<__part: int, carry: double>>").alias("out"), F.lit(0.0).alias("x"))
+    many = ends.groupBy(*names).agg(parts.alias("p")).filter(F.size("p") > 1)
+    carried = many.select(*names, F.explode(F.aggregate("p", zero, step)["out"]).alias("c")).select(*(F.col(k).alias(f"{k}c") for k in names), F.col("c.__part").alias("__in"), "c.carry").filter("carry is null or carry != 0")
+    same = F.col("__part") == F.col("__in")
+    for k in names:
+        same &= F.col(k).eqNullSafe(F.col(f"{k}c"))
+    x = F.when(F.col("__in").isNull(), F.col("__x")).otherwise(F.col("__x") + F.col("carry") * F.pow(F.lit(rho), "__n"))
+    out = folded.join(F.broadcast(carried), same, "left")
+    return out.select(*(F.col(k).alias(c) for k, c in zip(names, keys, strict=True)), F.col("__t").alias(time), x.alias(name))

@@ -138,3 +138,17 @@ def test_extractors(spark, tmp_path):
     assert manifest.status(runs).first()["errors"] == 1
     shots = extract.shots_from_cuts(spark.createDataFrame([("a", i, i / 4, (i + 1) / 4, 30.0 if i == 2 else 1.0) for i in range(5)], "creative_id string, frame_index int, t_start_s double, t_end_s double, change double"))
     assert [(r["shot_index"], r["start_s"], r["end_s"]) for r in shots.orderBy("shot_index").collect()] == [(0, 0.0, 0.5), (1, 0.5, 1.25)]
+
+
+def test_long_series(spark):
+    """A key with most rows is folded in several tasks, none of which holds it whole."""
+    rng = random.Random(5)
+    rows = [("long" if i % 10 else f"k{i % 7}", i, rng.uniform(-1, 1)) for i in range(6000)]
+    want, last = {}, {}
+    for k, t, e in rows:
+        last[k] = want[k, t] = 0.9 * last.get(k, 0.0) + e
+    df = spark.createDataFrame(rows, "k string, t int, e double").repartition(5)
+    out = sequences.autoregressive(df, ["k"], "t", "e", 0.9, "x", ranges=6).withColumn("task", F.spark_partition_id())
+    got = out.collect()
+    assert {(r["k"], r["t"]): round(r["x"], 9) for r in got} == {k: round(x, 9) for k, x in want.items()} and len(got) == len(rows)
+    assert len({r["task"] for r in got if r["k"] == "long"}) >= 5
