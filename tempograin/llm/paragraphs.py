@@ -7,6 +7,14 @@ five-word shingles (A-Z lower-cased). Sets collide in any of ``BANDS`` bands of
 similarity, and in each component all paragraphs go but the first one of the
 smallest document.
 
+Passages repeat whatever the line breaks: of every ``STEP`` consecutive windows
+of ``WINDOW`` words one is sampled (the smallest hash), so that any run of ``RUN``
+words that occurs twice shares a sample. Around the samples that repeat the windows at
+the ends are looked up in all texts, and windows that overlap are joined; joined runs of
+``RUN`` words or more are passages. A passage of over 50 words with a copy of
+Jaccard similarity 0.8 has such a run unchanged. Windows of fewer than
+``DISTINCT`` different words (junk, rules of tables) are none.
+
 Defined cases: null and empty texts have no paragraph; a paragraph repeated in
 one document counts as a repeat; rows that share a doc_id are told apart by a
 hash of the text; an empty table gives an empty result.
@@ -19,14 +27,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import similar
 from .bloom import BlockedBloom
-from .common import LOWER, SPACES, cut, few, guarded, joined, schema_of, slices, word_hashes, word_spans
+from .common import LOWER, SPACES, cut, few, guarded, joined, schema_of, slices, window_hashes, word_hashes, word_spans
 
 BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 8, 2, 5, 80, 20
+WINDOW, STEP, DISTINCT = 16, 10, 8
+RUN = WINDOW + STEP - 1
 
 
 def _paragraphs(batch: pa.RecordBatch):
@@ -124,3 +134,120 @@ def _paragraphs_removed(docs: DataFrame, **limits) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names], names=names)
 
     return both.mapInArrow(apply, docs.schema)
+
+
+def _windows(batch: pa.RecordBatch):
+    """Hashes of all windows; the samples among them; hash, text, start and end
+    of the words; starts of the texts."""
+    data, starts = joined(batch.column("text"))
+    low = LOWER[data]
+    s, e = word_spans(~SPACES[low])
+    of = np.searchsorted(starts, s, side="right") - 1
+    words = word_hashes(low, s, e)
+    h = window_hashes(words, WINDOW)
+    if len(words) < RUN:
+        return h, np.zeros(0, dtype=np.int64), words, of, s, e, starts
+    first = np.flatnonzero(of[: len(of) - RUN + 1] == of[RUN - 1 :])
+    least = np.lib.stride_tricks.sliding_window_view(h, STEP).argmin(axis=1)
+    return h, np.unique(first + least[first]), words, of, s, e, starts
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches):
+        h, at, *_ = _windows(b)
+        yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64))], names=["node"])
+
+
+def _around(n: int, of: np.ndarray, ways: tuple[tuple[int, np.ndarray], ...]) -> np.ndarray:
+    """The windows up to the next sample, before (-1) or after (1) those given."""
+    near = np.zeros(n + 2 * STEP, dtype=bool)
+    for way, found in ways:
+        for k in range(1, STEP):
+            near[found + way * k + STEP] = True
+    return near[STEP : n + STEP] & (of[:n] == of[len(of) - n :])
+
+
+def _ends(shared: Broadcast):
+    """Hashes of the windows before and after each stretch of samples that
+    others may have too."""
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            h, at, _, of, *_ = _windows(b)
+            hit = shared.value.might_contain(h[at].view(np.int64))
+            next_too = hit[1:] & hit[:-1] & (of[at[1:]] == of[at[:-1]])
+            near = _around(len(h), of, ((-1, at[hit & ~np.append(False, next_too)[: len(at)]]), (1, at[hit & ~np.append(next_too, False)[: len(at)]])))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(h[near]).view(np.int64))], names=["node"])
+
+    return ends
+
+
+def _occurrences(shared: Broadcast, sought: Broadcast):
+    """The samples that others may have too, and of the windows around them
+    those that may be an end somewhere."""
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            h, at, words, of, s, e, starts = _windows(b)
+            hit = at[shared.value.might_contain(h[at].view(np.int64))]
+            i = np.flatnonzero(_around(len(h), of, ((-1, hit), (1, hit))))
+            i = np.union1d(hit, i[sought.value.might_contain(h[i].view(np.int64))]).astype(np.int64)
+            sorted_ = np.sort(words[i[:, None] + np.arange(WINDOW)], axis=1)
+            i = i[(np.diff(sorted_, axis=1) != 0).sum(axis=1) + 1 >= DISTINCT]
+            row, picked = of[i], pa.array(of[i], pa.int64())
+            number = i - np.searchsorted(of, row)
+            columns = [pa.array(x, pa.int32()) for x in (number, s[i] - starts[row], e[i + WINDOW - 1] - starts[row])]
+            yield pa.RecordBatch.from_arrays([pa.array(h[i].view(np.int64)), b.column("doc_id").take(picked), b.column("__row").take(picked), *columns], names=["h", "doc_id", "__row", "word", "from_byte", "to_byte"])
+
+    return occurrences
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> the runs of at least ``RUN`` words whose windows
+    occur again: doc_id, __row, word (number of the first, from 0), n_words,
+    from_byte, to_byte, component_id (smallest doc_id with one of the windows),
+    n_copies (of the most frequent window), removed (all but the first)."""
+    spark = docs.sparkSession
+    slim = docs.select("doc_id", F.xxhash64("text").alias("__row"), "text")
+    shared = cut(slim.select("text").mapInArrow(_samples, "node long").groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node"))
+    filter_ = spark.sparkContext.broadcast(BlockedBloom.build(shared, "node", shared.count()))
+    ends = cut(slim.select("text").mapInArrow(_ends(filter_), "node long").distinct())
+    sought = spark.sparkContext.broadcast(BlockedBloom.build(ends, "node", ends.count()))
+    schema = schema_of([*schema_of([], "h long").fields, slim.schema["doc_id"]], "__row long, word int, from_byte int, to_byte int")
+    found = cut(slim.mapInArrow(_occurrences(filter_, sought), schema))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row", "word")
+    again = found.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("keep")).filter("n > 1")
+    rows = found.join(again, "h").withColumn("removed", place != F.col("keep"))
+    w = Window.partitionBy("doc_id", "__row").orderBy("word")
+    joins = (F.col("word") - F.lag("word").over(w) <= WINDOW) & (F.col("removed") == F.lag("removed").over(w))
+    rows = rows.withColumn("new", F.when(joins, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
+    least = F.min(F.struct("keep.last", "keep.doc_id"))["doc_id"]
+    runs = rows.groupBy("doc_id", "__row", "run").agg(F.min("word").cast("long").alias("word"), (F.max("word") - F.min("word") + WINDOW).cast("long").alias("n_words"), F.min("from_byte").cast("long").alias("from_byte"), F.max("to_byte").cast("long").alias("to_byte"), least.alias("component_id"), F.max("n").alias("n_copies"), F.any_value("removed").alias("removed"))
+    return runs.filter(F.col("n_words") >= RUN).drop("run")
+
+
+def passages_removed(docs: DataFrame) -> DataFrame:
+    """docs with their columns, the repeated passages taken out of the texts."""
+    return guarded(docs, _passages_removed)
+
+
+def _passages_removed(docs: DataFrame) -> DataFrame:
+    names = docs.columns
+    gone = repeated_passages(docs.select("doc_id", "text")).filter("removed").groupBy("doc_id", "__row").agg(F.array_sort(F.collect_list(F.struct("from_byte", "to_byte"))).alias("__gone"))
+    gone = gone.withColumnsRenamed({"doc_id": "__id", "__row": "__text"})
+    both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text")), "left").drop("__id", "__text")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for x, spans in zip(b.column("text").to_pylist(), b.column("__gone").to_pylist(), strict=True):
+                if spans:
+                    raw, parts, done = x.encode(), [], 0
+                    for sp in spans:
+                        parts.append(raw[done : max(done, sp["from_byte"])])
+                        done = max(done, sp["to_byte"])
+                    x = b"".join([*parts, raw[done:]]).decode()
+                texts.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names], names=names)
+
+    return both.mapInArrow(apply, docs.schema)

@@ -35,6 +35,10 @@ def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("__row")
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, sf_dir, "documents")).drop("__row")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(*r, 1) for r in RULES] + [(h, "/", "block", 0) for h in BLOCKED_HOSTS], "host string, path string, verdict string, level int")
     judged = urls.judge_urls(table(spark, sf_dir, "pages"), listed)
@@ -72,7 +76,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_near_duplicates, op4_paragraphs, op5_url_filter, op6_decontaminate, op7_mix, op8_quality, op9_language_model, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_near_duplicates, op4_paragraphs, op4_passages, op5_url_filter, op6_decontaminate, op7_mix, op8_quality, op9_language_model, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

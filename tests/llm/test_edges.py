@@ -233,3 +233,20 @@ def test_language_model_hot_pair(spark):
     assert sum(sizes) == n.sum() and max(sizes) <= 3 * 2000
     whole, parts = ({r["doc_id"]: r["score"] for r in lm.score_texts(docs, F.lit(True), group_tokens=g).collect()} for g in (lm.GROUP_TOKENS, 2000))
     assert max(abs(whole[i] - parts[i]) for i in range(400)) < 1.5
+
+
+def test_passages_across_lines(spark):
+    """Passages that no line shows: inside longer lines that differ, wrapped into short lines, with a word changed."""
+    rng = np.random.default_rng(4)
+    own = lambda n: " ".join(f"o{x}" for x in rng.integers(0, 10**9, n))
+    words = [f"passage{i}" for i in range(51)]
+    wrapped = "\n".join(" ".join(words[i : i + 7]) for i in range(0, 51, 7))
+    changed = [*words[:25], "other", *words[26:]]
+    texts = [f"{own(90)} {' '.join(words)} {own(70)}", f"{own(40)}\n{own(5)} {wrapped} {own(60)}", f"{own(33)} {' '.join(changed)} {own(33)}", own(200), f"{own(30)} {' '.join(words[:24])} {own(30)}", "junk " * 80, "junk " * 90, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["word"], r["n_words"], r["component_id"], r["removed"]) for r in paragraphs.repeated_passages(df).collect())
+    assert got == [(0, 90, 51, 0, False), (1, 45, 51, 0, True), (2, 33, 25, 0, True), (2, 59, 25, 0, True)]
+    assert paragraphs.repeated_paragraphs(df).filter("doc_id < 5").count() == 0
+    out = {r["doc_id"]: r["text"] for r in paragraphs.passages_removed(df).collect()}
+    assert out[0] == texts[0] and "passage" not in out[1] and out[1].startswith(texts[1][:300]) and len(brute.WORD.findall(out[1])) == 105
+    assert all(out[i] == texts[i] for i in range(3, 9))
