@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import similar
@@ -56,7 +56,7 @@ def _sketch(k: int):
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, **limits) -> DataFrame:
     """docs (doc_id, text) -> doc_id, __row (hash of the text), n_shingles,
     component_id (smallest doc_id of the component), kept (doc_id is that id),
-    stays (one row of each component)."""
+    label (of the component; null without shingles)."""
     slim = docs.select("doc_id", F.xxhash64("text").alias("__row"), "text")
     schema = schema_of([f for f in slim.schema.fields if f.name != "text"], "cls binary, n long, sig binary, keys array<long>")
     rows = cut(slim.mapInArrow(_sketch(k), schema))
@@ -85,13 +85,11 @@ def duplicates_removed(docs: DataFrame, k: int = WORDS, percent: int = PERCENT)
 
 
 def _duplicates_removed(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    kept = near_duplicates(docs.select("doc_id", "text"), k, percent).filter("kept")
+    words = F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    kept = near_duplicates(docs.filter(words).select("doc_id", "text"), k, percent).filter("kept")
     # Almost always one row already; equal ids in a component are told apart by the text.
-    first = Window.partitionBy("label", "doc_id").orderBy("__row")
-    grouped = kept.filter("label is not null").withColumn("at", F.row_number().over(first)).filter("at = 1")
-    stays = grouped.select("doc_id", "__row", F.lit(True).alias("__once")).union(kept.filter("label is null").select("doc_id", "__row", F.lit(False)).distinct())
-    stays = stays.select(F.col("doc_id").alias("__id"), "__row", "__once")
-    both = docs.withColumn("__text", F.xxhash64("text")).join(stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__row")))
+    stays = kept.groupBy("label", "doc_id").agg(F.min("__row").alias("__row")).select(F.col("doc_id").alias("__id"), "__row")
+    both = docs.filter(words).join(stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__row")))
     # Rows repeated whole: one of them stays.
-    again = Window.partitionBy("__id", "__row").orderBy("__text")
-    return both.withColumn("__at", F.row_number().over(again)).filter(~F.col("__once") | (F.col("__at") == 1)).select(*(docs[c] for c in docs.columns))
+    once = both.groupBy("__id", "__row").agg(F.any_value(F.struct(*docs.columns)).alias("one")).select("one.*")
+    return once.union(docs.filter(~words))

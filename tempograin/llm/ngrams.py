@@ -19,14 +19,17 @@ def char_grams(data: np.ndarray, n: int, bits: int, ends: np.ndarray) -> np.ndar
     return out
 
 
-def word_grams(data: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of the runs of n words, and the byte at which each starts."""
+def word_grams(data: np.ndarray, n: int, bits: int, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of the runs of n words inside a text, and the byte at which
+    each starts. ``texts``: where the texts start."""
     starts, ends = word_spans(~SPACES[data])
     words = word_hashes(data, starts, ends)
     code = words[: max(0, len(words) - n + 1)].copy()
     for i in range(1, n):
         code = code * np.uint64(0xD6E8FEB86659FD93) + words[i : i + len(code)]
-    return (mix64(code + np.uint64(n)) >> np.uint64(64 - bits)).astype(np.int32), starts[: len(code)]
+    of = np.searchsorted(texts, starts, side="right")
+    inside = of[: len(code)] == of[n - 1 :]
+    return (mix64(code[inside] + np.uint64(n)) >> np.uint64(64 - bits)).astype(np.int32), starts[: len(code)][inside]
 
 
 def lowered(data: np.ndarray) -> np.ndarray:

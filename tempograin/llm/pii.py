@@ -95,22 +95,32 @@ def _terms(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word_hashes(data, s, e).view(np.int64), s, e
 
 
+def _near(text: str, spans: list[tuple[int, int, int]]) -> Iterator[list[int]]:
+    """For each span the terms among the ``NEAR`` before and after it, however
+    long they are; a term that any span touches is none."""
+    raw = np.frombuffer(text.encode(), dtype=np.uint8)
+    h, s, e = _terms(LOWER[raw])
+    byte = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+    bounds = [(byte[start], byte[end]) for start, _, end in spans]
+    free = np.ones(len(h), dtype=bool)
+    for low, high in bounds:
+        free[np.searchsorted(e, low, side="right") : np.searchsorted(s, high)] = False
+    h, s, e = h[free], s[free], e[free]
+    for low, high in bounds:
+        i, j = np.searchsorted(e, low, side="right"), np.searchsorted(s, high)
+        yield [*h[max(0, i - NEAR) : i].tolist(), *h[j : j + NEAR].tolist()]
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entity, term) once for each document; term 0 stands for the entity itself."""
-    for b in batches:
+    for b in slices(batches):
         entity, term = [], []
         for text in b.column("text").to_pylist():
             found: dict[int, set[int]] = {}
             spans = base_spans(text) if text else []
-            for start, kind, end in spans:
+            for (start, kind, end), near in zip(spans, _near(text, spans), strict=True) if spans else ():
                 of = found.setdefault(_hash(f"{kind}:{re.sub(r'[ ().-]', '', text[start:end]).lower() if kind > 1 else text[start:end].lower()}".encode()), set())
-                # 30 characters a word are plenty; what a cut splits or a span covers is no term.
-                for side, last in ((text[max(0, start - 30 * NEAR) : start], True), (text[end : end + 30 * NEAR], False)):
-                    raw = LOWER[np.frombuffer(side.encode(), dtype=np.uint8)]
-                    h, s, e = _terms(raw)
-                    whole = (s > 0) | (start <= 30 * NEAR) if last else (e < len(raw)) | (end + 30 * NEAR >= len(text))
-                    h = h[whole]
-                    of.update((h[-NEAR:] if last else h[:NEAR]).tolist())
+                of.update(near)
             for x, terms in found.items():
                 entity += [x] * (len(terms) + 1)
                 term += [0, *terms]

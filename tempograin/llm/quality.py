@@ -42,7 +42,7 @@ def _features(data: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np
     low, ends, every = lowered(data), np.repeat(starts[1:], np.diff(starts)), np.arange(len(data))
     out = [(char_grams(data, k, BITS, ends), every) for k in CHAR_ORDERS]
     for k in WORD_ORDERS:
-        out.append(word_grams(low, k, BITS))
+        out.append(word_grams(low, k, BITS, starts))
     return out
 
 

@@ -113,12 +113,14 @@ def train(labelled: DataFrame) -> tuple[np.ndarray, float, float]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, where: Column, rows: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, text, label of at most ``rows`` labelled documents: the ids with
-    the smallest hashes among those that ``where`` (on doc_id) admits."""
+    """doc_id, text, label of at most ``rows`` labelled documents, repeated ones
+    counted: the ids with the smallest hashes among those that ``where`` (on
+    doc_id) admits."""
     ids = labels.select(F.col("doc_id").alias("id"), F.col(label).alias("label")).filter(F.col("label").isin(0, 1) & F.col("id").isNotNull())
     ids = ids.withColumn("doc_id", F.col("id")).filter(where).drop("doc_id").orderBy(F.xxhash64("id"), "id", "label").limit(rows)
     # At most ``rows`` ids and labels: a few hundred kilobytes.
-    return docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id"))
+    return found.orderBy(F.xxhash64("id"), "id", F.xxhash64("text"), "label").limit(rows).select("doc_id", "text", "label")
 
 
 def scored(docs: DataFrame, model: tuple, name: str = "score") -> DataFrame:
