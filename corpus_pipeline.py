@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempograin.llm import decontaminate, lines, mixing, neardup, toxicity
-from tempograin.llm.common import ensure_checkpoint_dir, mod_of_id, table
+from tempograin.llm.common import ensure_checkpoint_dir, gone_at_exit, guarded, mod_of_id, table
 
 #: From this score on, a document is rejected as toxic.
 TOXIC_FROM = 0.7
@@ -35,7 +35,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(toxicity.training_rows(docs, table(spark, sf_dir, "labels"), "toxic", mod_of_id(F.col("doc_id"), 3) != 1))
-    return toxicity.scored(docs, model, "__toxicity").filter(F.col("__toxicity") < TOXIC_FROM).select(*docs.columns)
+    return guarded(docs, lambda d: toxicity.scored(d, model, "__toxicity").filter(F.col("__toxicity") < TOXIC_FROM).select(*d.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +67,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written to the shared checkpoint folder and read again."""
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    gone_at_exit(spark, folder)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
