@@ -6,22 +6,28 @@ base is uniform over the vocabulary and one unknown word. Seatings are sampled
 by Gibbs moves of single customers, and the score of a token is its predictive
 probability averaged over the last ``SAMPLES`` sweeps.
 
-Tokens are dealt once, packed, to groups by dish (the word), so a group holds
-all customers of its dishes in every restaurant and their tables in the parent.
-Very frequent dishes are dealt by dish and context, and such a pair whose context
-is very frequent too by the text as well: its parts are seated each on its own
-and their customers and tables added up. What groups must share are
-totals: customers and tables of each context, customers and tables of the
-parent. Those of contexts are rows keyed by the word's hash, which Spark joins to
-the groups that hold the context; tables are summed after a first pass, and a
-second replays the same seatings and scores with the exact totals. Within a pass
-totals are held still, as parallel Gibbs samplers do. Every word has a restaurant
-of its own, whose customers are as many as its occurrences; the start of a text
-is the context of the end token.
+Tokens are dealt once, packed, to groups by context, so a group has whole
+restaurants. Very frequent contexts are dealt by context and dish, and a pair
+of two very frequent words by the text as well. The parent is dealt by dish.
+Restaurants and parent are sampled in turn, each given the other:
+
+1. With one table for each pair, the groups tell the parent how many tables a
+   dish has; the parent seats these customers and answers with its totals.
+2. Given the parent, the groups move their customers and tell the tables of each
+   sample; the parent seats again, once for each sample.
+3. The groups replay their seatings and score with the parent's totals.
+
+What is told is one number for a dish, a group and a sample, so no word is too
+frequent for a task. The same channel adds up what no group has whole: tables of
+contexts dealt by dish, customers and tables of pairs dealt by text. Within a
+pass the totals of others are held still, as parallel Gibbs samplers do. Every
+word has a restaurant of its own; the start of a text is the context of the end
+token.
 
 Defined cases: a null or empty text is one token, the end; repeated rows are
-trained on and scored each; without training rows every token is unknown; an
-empty table gives an empty result.
+trained on and scored each; without training rows every token is unknown; very
+long texts are cut nowhere; further columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -31,57 +37,64 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACES, cut, joined, mix64, slices, word_hashes, word_spans
+from .common import LOWER, SPACES, joined, mix64, slices, stored, word_hashes, word_spans
 
 GROUP_TOKENS, SLICE = 2_000_000, 8 << 20
 BURN_IN, SAMPLES, BLOCKS = 2, 2, 4
 #: Discount and strength of the context restaurants, and of the parent.
 D, THETA, D0, THETA0 = 0.75, 2.0, 0.6, 10.0
-#: Tables of n customers are about n to this power.
-TABLES = 0.85
-#: Columns of the facts of contexts, beside the blobs of a group.
-_FACTS = ["context", "customers", *(f"tables{s}" for s in range(SAMPLES))]
 _END = np.uint64(0x9D39247E33776D41)
 _ZSTD = pa.Codec("zstd", 1)
 
 
+def _squeeze(*arrays: np.ndarray) -> bytes:
+    """The arrays, with their types, compressed."""
+    kinds = ",".join(f"{x.dtype.str}:{len(x)}" for x in arrays).encode()
+    raw = b"".join([len(kinds).to_bytes(4, "little"), kinds, *(np.ascontiguousarray(x).tobytes() for x in arrays)])
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+
+
+def _spread(blob: bytes) -> list[np.ndarray]:
+    raw = _ZSTD.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+    at = 4 + int.from_bytes(raw[:4], "little")
+    out = []
+    for kind, n in (x.split(":") for x in raw[4:at].decode().split(",")):
+        out.append(np.frombuffer(raw, dtype=kind, count=int(n), offset=at))
+        at += out[-1].nbytes
+    return out
+
+
 class Shared(NamedTuple):
-    """What every task knows: sizes and frequent dishes."""
+    """What every task knows: sizes and frequent words."""
 
     tokens: int
     vocabulary: int
     groups: int
-    tables: float  # of all contexts, before any are counted
-    hot: np.ndarray  # sorted hashes of the dishes dealt by context too
+    hot: np.ndarray  # sorted hashes of the contexts dealt by dish too
     hot_count: np.ndarray
     most: int  # training tokens of a group
 
     def parts(self, dish: np.ndarray, context: np.ndarray) -> np.ndarray:
         """In how many parts the pairs are dealt: of a quarter of a group at most, were all
         of the rarer word in the pair."""
-        w = _lookup(self.hot, dish)
-        out = np.ones(len(w), dtype=np.int64)
-        i = np.flatnonzero(w >= 0)
-        u = _lookup(self.hot, context[i])
-        i, u = i[u >= 0], u[u >= 0]
-        out[i] = -(-4 * np.minimum(self.hot_count[w[i]], self.hot_count[u]) // self.most)
+        u = _lookup(self.hot, context)
+        out = np.ones(len(u), dtype=np.int64)
+        i = np.flatnonzero(u >= 0)
+        w = _lookup(self.hot, dish[i])
+        i, w = i[w >= 0], w[w >= 0]
+        out[i] = -(-4 * np.minimum(self.hot_count[u[i]], self.hot_count[w]) // self.most)
         return out
 
 
-def _pair_key(dish: np.ndarray, context: np.ndarray) -> np.ndarray:
-    return mix64(mix64(dish ^ np.uint64(0xA5A5A5A5A5A5A5A5)) + context)
-
+def _context_key(context: np.ndarray) -> np.ndarray:
+    return mix64(context ^ np.uint64(0x5A5A5A5A5A5A5A5A))
 
-class Totals(NamedTuple):
-    """Of each sample: customers and tables of the parent; customers and tables of the hot dishes in it."""
 
-    parent: np.ndarray
-    hot: np.ndarray
+def _pair_key(dish: np.ndarray, context: np.ndarray) -> np.ndarray:
+    return mix64(mix64(dish ^ np.uint64(0xA5A5A5A5A5A5A5A5)) + context)
 
 
 def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -121,40 +134,27 @@ def _lookup(known: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(known[at] == x, at, -1)
 
 
-def _dealt(shared: Shared, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all tokens: hash, hash of the context, text and group, and in how many parts the pair is."""
+def _dealt(shared: Shared, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens: hash, hash of the context, text and group."""
     token, of = _tokens(b)
     before = np.full(len(token), _END, dtype=np.uint64)
     before[1:] = token[:-1]
-    hot = _lookup(shared.hot, token) >= 0
-    parts = shared.parts(token, before)
-    part = mix64(b.column("rid").to_numpy().view(np.uint64))[of] % parts.astype(np.uint64)
-    group = (np.where(hot, mix64(token + mix64(before + part)), token) % np.uint64(shared.groups)).astype(np.int64)
-    return token, before, of, group, parts
-
-
-def _contexts(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, context), each once for a few megabytes of text; keys of pairs in parts as well."""
-    for b in slices(batches, most=SLICE // 4):
-        token, before, _, group, parts = _dealt(shared, b)
-        split = parts > 1
-        u = np.concatenate([before, _pair_key(token[split], before[split])])
-        g = np.concatenate([group, group[split]])
-        order = np.lexsort((g, u))
-        u, g = u[order], g[order]
-        new = np.ones(len(u), dtype=bool)
-        new[1:] = (u[1:] != u[:-1]) | (g[1:] != g[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(g[new]), pa.array(u[new].view(np.int64))], names=["group", "context"])
+    hot = np.flatnonzero(_lookup(shared.hot, before) >= 0)
+    key = before.copy()
+    parts = shared.parts(token[hot], before[hot]).astype(np.uint64)
+    part = mix64(b.column("rid").to_numpy().view(np.uint64))[of[hot]] % parts
+    key[hot] = mix64(before[hot] + mix64(token[hot] + part))
+    return token, before, of, (key % np.uint64(shared.groups)).astype(np.int64)
 
 
 def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each group a blob: dishes, contexts, texts and counts, sorted."""
+    """For each group a blob: contexts, dishes, texts and counts, sorted."""
     for b in slices(batches, most=SLICE):
-        token, before, of, group, _ = _dealt(shared, b)
-        order = np.argsort(before, kind="stable")
-        order = order[np.argsort(token[order], kind="stable")]
+        token, before, of, group = _dealt(shared, b)
+        order = np.argsort(token, kind="stable")
+        order = order[np.argsort(before[order], kind="stable")]
         order = order[np.argsort(group[order].astype(np.uint16 if shared.groups < 65536 else np.int64), kind="stable")]
-        w, u, d, g = token[order], before[order], of[order], group[order]
+        u, w, d, g = before[order], token[order], of[order], group[order]
         new_pair = np.ones(len(w), dtype=bool)
         new_pair[1:] = (w[1:] != w[:-1]) | (u[1:] != u[:-1]) | (g[1:] != g[:-1])
         new_entry = new_pair.copy()
@@ -171,89 +171,91 @@ def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             low = first_entry[bounds[i]]
             high = first_entry[bounds[i + 1]] if bounds[i + 1] < len(pair) else len(entry)
             docs, local = np.unique(d[entry[low:high]], return_inverse=True)
-            dish = np.flatnonzero(np.diff(w[p], prepend=~w[p][:1]) != 0)
-            known, context = np.unique(u[p], return_inverse=True)
-            parts = [w[p][dish], np.diff(np.append(dish, len(p))).astype(np.uint32), known, context.astype(np.uint32), np.diff(np.append(first_entry[bounds[i] : bounds[i + 1]], high)).astype(np.uint32), local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], rid[docs], train[docs]]
-            raw = np.array([len(x) for x in parts] + [parts[5].itemsize], dtype=np.int64).tobytes() + b"".join(x.tobytes() for x in parts)
+            new = np.flatnonzero(np.diff(u[p], prepend=~u[p][:1]) != 0)
+            known, dish = np.unique(w[p], return_inverse=True)
+            entries = np.diff(np.append(first_entry[bounds[i] : bounds[i + 1]], high)).astype(np.uint32)
             groups.append(i)
-            blobs.append(len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True))
+            blobs.append(_squeeze(u[p][new], np.diff(np.append(new, len(p))).astype(np.uint32), known, dish.astype(np.uint32), entries, local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], rid[docs], train[docs]))
         yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
 
 
-def _unpack(blob: bytes) -> list[np.ndarray]:
-    raw = _ZSTD.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
-    *lengths, width = np.frombuffer(raw, dtype=np.int64, count=10).tolist()
-    kinds, out, at = ("u8", "u4", "u8", "u4", "u4", f"u{width}", "u4", "i8", "u1"), [], 80
-    for n, kind in zip(lengths, kinds, strict=True):
-        out.append(np.frombuffer(raw, dtype=kind, count=n, offset=at))
-        at += out[-1].nbytes
-    return out
-
-
-class Facts(NamedTuple):
-    """What is known of a group's contexts: sorted hashes, customers, tables in each sample."""
-
-    known: np.ndarray
-    customers: np.ndarray
-    tables: np.ndarray
-
-    def of(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Customers and tables; a context that was not trained on has none."""
-        at = _lookup(self.known, contexts)
-        if not len(self.known):
-            return np.zeros(len(at)), np.zeros((SAMPLES, len(at)))
-        return np.where(at >= 0, self.customers[at], 0), np.where(at >= 0, self.tables[:, at], 0)
-
-
 class Group:
-    """All tokens of a group's dishes: pairs (dish, context) with the training
+    """All tokens of a group's contexts: pairs (context, dish) with the training
     customers, and entries (pair, text, times)."""
 
-    def __init__(self, shared: Shared, blobs: Iterator[bytes], facts: Facts):
+    def __init__(self, shared: Shared, blobs: list[bytes]):
         dish, context, count, entry_pair, text, times, rids, n_pairs, n_docs = [], [], [], [], [], [], [], 0, 0
         for blob in blobs:
-            w, w_n, known, u, n, doc, tf, rid, train = _unpack(blob)
-            pair = np.repeat(np.arange(len(u)), n)
-            dish.append(np.repeat(w, w_n))
-            context.append(known[u])
-            count.append(np.bincount(pair, tf * train[doc], minlength=len(u)).astype(np.int64))
-            entry_pair.append(pair + n_pairs)
-            text.append(doc.astype(np.int64) + n_docs)
+            u, u_n, known, w, n, doc, tf, rid, train = _spread(blob)
+            pair = np.repeat(np.arange(len(w), dtype=np.int32), n)
+            context.append(np.repeat(u, u_n))
+            dish.append(known[w])
+            count.append(np.bincount(pair, tf * train[doc], minlength=len(w)).astype(np.int64))
+            entry_pair.append(pair + np.int32(n_pairs))
+            text.append(doc.astype(np.int32) + np.int32(n_docs))
             times.append(tf)
             rids.append(rid)
-            n_pairs, n_docs = n_pairs + len(u), n_docs + len(rid)
-        self.rids, self.text, self.times = np.concatenate(rids), np.concatenate(text), np.concatenate(times).astype(np.int64)
-        w, u = np.concatenate(dish), np.concatenate(context)
-        self.dishes, w = np.unique(w, return_inverse=True)
-        self.contexts, u = np.unique(u, return_inverse=True)
-        self.customers, self.context_tables = facts.of(self.contexts)
-        key, inverse = np.unique(w.astype(np.int64) << 32 | u, return_inverse=True)
-        self.dish, self.context = key >> 32, key & 0xFFFFFFFF
+            n_pairs, n_docs = n_pairs + len(w), n_docs + len(rid)
+        self.rids, self.text, self.times = np.concatenate(rids), np.concatenate(text), np.concatenate(times)
+        self.dishes, w = np.unique(np.concatenate(dish), return_inverse=True)
+        self.contexts, u = np.unique(np.concatenate(context), return_inverse=True)
+        key, inverse = np.unique(u << 32 | w, return_inverse=True)
+        self.context, self.dish = (key >> 32).astype(np.int32), (key & 0xFFFFFFFF).astype(np.int32)
         self.count = np.bincount(inverse, np.concatenate(count), minlength=len(key)).astype(np.int64)
-        self.pair = inverse[np.concatenate(entry_pair)]
+        self.pair = inverse.astype(np.int32)[np.concatenate(entry_pair)]
+        # What other groups have parts of: contexts dealt by dish, pairs dealt by text.
+        hot = _lookup(shared.hot, self.contexts)
+        self.hot = np.flatnonzero(hot >= 0)
+        self.customers = np.bincount(self.context, self.count, minlength=len(self.contexts))
+        self.customers[self.hot] = shared.hot_count[hot[self.hot]]
         self.split = np.flatnonzero(shared.parts(self.dishes[self.dish], self.contexts[self.context]) > 1)
-        self.split_key = _pair_key(self.dishes[self.dish[self.split]], self.contexts[self.context[self.split]])
-        self.split_count, self.split_tables = facts.of(self.split_key)
-        self.dish_count = np.bincount(self.dish, self.count, minlength=len(self.dishes)).astype(np.int64)
-        self.hot = _lookup(shared.hot, self.dishes)
-        if len(shared.hot):
-            self.dish_count = np.where(self.hot >= 0, shared.hot_count[self.hot], self.dish_count)
+        self.told = np.concatenate([self.dishes, _context_key(self.contexts[self.hot]), _pair_key(self.dishes[self.dish[self.split]], self.contexts[self.context[self.split]])])
+        self.kind = np.repeat(np.arange(3, dtype=np.uint8), [len(self.dishes), len(self.hot), len(self.split)])
+        to = (mix64(self.told) % np.uint64(shared.groups)).astype(np.int64)
+        self.deal = np.argsort(to, kind="stable")
+        self.bounds = np.searchsorted(to[self.deal], np.arange(shared.groups + 1))
         # Customers of the pairs with two or more; the table of each, named by a seat of the pair.
         self.many = np.flatnonzero(self.count > 1)
         self.size = self.count[self.many]
         self.offset = np.concatenate([[0], np.cumsum(self.size)]).astype(np.int64)
-        self.who = np.repeat(np.arange(len(self.many)), self.size)
+        self.who = np.repeat(np.arange(len(self.many), dtype=np.int32), self.size)
         self.seat = np.zeros(len(self.who), dtype=np.int64)
 
+    def summed(self, of_pairs: np.ndarray) -> np.ndarray:
+        """A number of each pair, added up for all that others are told of."""
+        by_dish = np.bincount(self.dish, of_pairs, minlength=len(self.dishes))
+        by_context = np.bincount(self.context, of_pairs, minlength=len(self.contexts))
+        return np.concatenate([by_dish, by_context[self.hot], of_pairs[self.split]]).astype(np.int64)
+
+    def messages(self, *columns: np.ndarray) -> list[bytes]:
+        """What each group of dishes is told, in a fixed order."""
+        return [_squeeze(*(c[self.deal[i:j]] for c in columns)) for i, j in zip(self.bounds, self.bounds[1:], strict=False)]
+
+    def answers(self, blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The answers of all groups of dishes: columns in the order of ``told``, and their sums added up."""
+        rows = [_spread(x) for x in blobs]
+        columns = []
+        for k in range(len(rows[0]) - 1):
+            c = np.empty(len(self.told), dtype=np.int64)
+            c[self.deal] = np.concatenate([r[k] for r in rows])
+            columns.append(c)
+        return columns, np.sum([r[-1] for r in rows], axis=0)
+
+    def tables_of_contexts(self, tables: np.ndarray, told: np.ndarray) -> np.ndarray:
+        """Tables of each context: counted here, or told where others have parts."""
+        out = np.bincount(self.context, tables, minlength=len(self.contexts))
+        out[self.hot] = told[self.kind == 1]
+        return out
+
     def sweep(self, rng: np.random.Generator, open_mass: np.ndarray) -> np.ndarray:
         """Moves every customer once; returns the tables of the pairs. A block's
         customers move at a time, by the seating before it. open_mass: of a new
         table, for each pair of ``many``."""
         base = self.offset[:-1]
-        block = rng.integers(0, BLOCKS, len(self.who))
+        block = rng.integers(0, BLOCKS, len(self.who), dtype=np.uint8)
         for k in range(BLOCKS):
-            at = np.bincount(base[self.who] + self.seat, minlength=len(self.who))
-            tables = np.add.reduceat(at > 0, base) if len(base) else at
+            at = np.bincount(base[self.who] + self.seat, minlength=len(self.who)).astype(np.int32)
+            tables = np.add.reduceat(at > 0, base, dtype=np.int32) if len(base) else at
             i = np.flatnonzero(block == k)
             p, seat = self.who[i], self.seat[i]
             start, alone = base[p], at[base[p] + seat] == 1
@@ -282,143 +284,112 @@ class Group:
 
 def _parent_tables(rng: np.random.Generator, guests: np.ndarray, mass: float) -> np.ndarray:
     """Tables of the parent's dishes, its customers seated one after another;
-    those numbered 2**j to 2**(j+1) by the tables before them."""
+    from the sixteenth on, some at a time by the tables before them."""
     tables = np.minimum(guests, 1)
     m = 1
     while (more := np.flatnonzero(guests > m)).size:
-        n = np.minimum(guests[more], 2 * m) - m
-        number = np.repeat(m - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        of = np.repeat(np.arange(len(more)), n)
-        opens = rng.random(len(of)) * (mass + number - D0 * tables[more][of]) < mass
-        tables[more] += np.bincount(of, opens, minlength=len(more)).astype(tables.dtype)
-        m *= 2
+        step = max(1, m // 8)
+        n = np.minimum(guests[more] - m, step)
+        tables[more] += rng.binomial(n, mass / (mass + m + (n - 1) / 2 - D0 * tables[more]))
+        m += step
     return tables
 
 
-def _chain(shared: Shared, group: Group, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Samples: tables of the pairs; customers and tables of the dishes in the parent."""
-    rng = np.random.default_rng(seed)
-    expected = group.customers.astype(float) ** TABLES  # tables of a context, before any are counted
-    all_tables = shared.tables
-    parent_tables = max(shared.vocabulary, 1) * 1.5
-    uniform = 1.0 / (shared.vocabulary + 1)
-    mass0 = (THETA0 + D0 * parent_tables) * uniform
-    tables = np.minimum(group.count, 1)
-    hot_share = shared.hot_count[np.maximum(group.hot, 0)] / max(shared.tokens, 1) if len(shared.hot) else 0.0
+def _parent(shared: Shared, tables: np.ndarray, seated: np.ndarray, all_tables: float, all_seated: float) -> np.ndarray:
+    """The parent's predictive probabilities."""
+    return (tables - D0 * seated + (THETA0 + D0 * all_seated) / (shared.vocabulary + 1)) / (THETA0 + all_tables)
+
+
+def _tell_first(shared: Shared, group: Group) -> list[bytes]:
+    one = np.minimum(group.count, 1)
+    return group.messages(group.told, group.kind, group.summed(group.count), group.summed(one))
+
+
+def _seatings(shared: Shared, group: Group, number: int, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[np.ndarray]:
+    """The samples: tables of the pairs, given the parent's first answer."""
+    _, tables, seated = columns[:3]
+    own = group.kind == 0
+    parent = _parent(shared, tables[own], seated[own], sums[0], sums[1])
+    opened = group.tables_of_contexts(np.minimum(group.count, 1), tables)
+    mass = (THETA + D * opened[group.context[group.many]]) * parent[group.dish[group.many]]
+    rng = np.random.default_rng(number)
+    group.seat[:] = 0
     for n in range(BURN_IN + SAMPLES):
-        guests = np.bincount(group.dish, tables, minlength=len(group.dishes)).astype(np.int64)
-        seated = _parent_tables(rng, guests, mass0)
-        p = (guests - D0 * seated + mass0) / (THETA0 + all_tables)
-        p = np.where(group.hot >= 0, hot_share, p)
-        tables = group.sweep(rng, (THETA + D * expected[group.context[group.many]]) * p[group.dish[group.many]])
+        now = group.sweep(rng, mass)
         if n >= BURN_IN:
-            guests = np.bincount(group.dish, tables, minlength=len(group.dishes)).astype(np.int64)
-            yield tables, guests, _parent_tables(rng, guests, mass0)
-
-
-def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], Facts]]:
-    """The blobs and facts of each group, from rows sorted by group."""
-    now, blobs, facts = None, [], []
-
-    def whole() -> tuple[int, list[bytes], Facts]:
-        rows = [np.concatenate(x) for x in zip(*facts, strict=True)] or [np.zeros(0, dtype=np.int64)] * (2 + SAMPLES)
-        known = rows[0].view(np.uint64)
-        order = np.argsort(known)
-        return now, blobs, Facts(known[order], rows[1][order], np.stack(rows[2:])[:, order])
-
-    for b in batches:
-        group, is_fact = b.column("group").to_numpy(), b.column("blob").is_null().to_numpy(zero_copy_only=False)
-        columns = [pc.fill_null(b.column(c), 0).to_numpy() for c in _FACTS]
-        bounds = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)] if len(group) else [0]
-        for i, j in zip(bounds, bounds[1:], strict=False):
-            if group[i] != now:
-                if blobs:
-                    yield whole()
-                now, blobs, facts = int(group[i]), [], []
-            of = i + np.flatnonzero(is_fact[i:j])
-            if len(of):
-                facts.append([c[of] for c in columns])
-            blobs += [b.column("blob")[k].as_py() for k in (i + np.flatnonzero(~is_fact[i:j])).tolist()]
-    if blobs:
-        yield whole()
-
-
-def _totals(held: Broadcast, rows: DataFrame) -> tuple[Totals, DataFrame]:
-    """First pass: sums over all groups of what each sample's seating counts;
-    those of contexts, and of pairs in parts, as rows (context, tables of each
-    sample, customers of a pair)."""
-    shared = held.value
-
-    def count(number: int, blobs: list[bytes], facts: Facts) -> pa.RecordBatch:
-        group, kind, who, n, sample = Group(held.value, blobs, facts), [], [], [], []
-        for s, (tables, guests, seated) in enumerate(_chain(held.value, group, number)):
-            by_context = np.bincount(group.context, tables)
-            used = np.flatnonzero(by_context)
-            own = group.hot < 0
-            hot = np.flatnonzero(~own & (guests > 0))
-            # What a hot dish's parts count of its tables in the parent, added up, would be too many: one share for all.
-            split = group.split_key.view(np.int64)
-            counted = [(s, 0, group.contexts[used].view(np.int64), by_context[used]), (s, 0, split, tables[group.split]), (s, 1, [0], [guests.sum()]), (s, 2, [0], [seated[own].sum()]), (s, 3, group.hot[hot], guests[hot])]
-            for at, k, w, v in [*counted, *([(SAMPLES, 0, split, group.count[group.split])] if s == 0 else [])]:
-                kind.append(np.full(len(w), k, dtype=np.int32))
-                who.append(np.asarray(w, dtype=np.int64))
-                n.append(np.asarray(v, dtype=np.int64))
-                sample.append(np.full(len(w), at, dtype=np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sample, kind, who, n)], names=["sample", "kind", "who", "n"])
-
-    sums = cut(rows.mapInArrow(lambda it: (count(*g) for g in _by_group(it)), "sample int, kind int, who long, n long").groupBy("kind", "who").agg(*(F.sum(F.when(F.col("sample") == s, F.col("n"))).alias(c) for s, c in enumerate([*_FACTS[2:], "own"]))))
-    few = sums.filter("kind > 0").toArrow()
-    kind, who = few.column("kind").to_numpy(), few.column("who").to_numpy()
-    out = Totals(np.zeros((SAMPLES, 2)), np.zeros((SAMPLES, len(shared.hot), 2)))
-    for s, c in enumerate(_FACTS[2:]):
-        n = pc.fill_null(few.column(c), 0).to_numpy()
-        out.hot[s, who[kind == 3], 0] = n[kind == 3]
-        for k in (1, 2):
-            out.parent[s, k - 1] = n[kind == k].sum()
-        out.hot[s, :, 1] = _parent_tables(np.random.default_rng(s), out.hot[s, :, 0].astype(np.int64), (THETA0 + D0 * max(out.parent[s, 1], 1)) / (shared.vocabulary + 1))
-        out.parent[s, 1] += out.hot[s, :, 1].sum()
-    return out, sums.filter("kind = 0").select(F.col("who").alias("context"), *_FACTS[2:], "own")
-
-
-def _score(held: Broadcast, held_totals: Broadcast, rows: DataFrame) -> DataFrame:
-    """Second pass: rid, tokens, known, base and score, summed in each task."""
-
-    def score(number: int, blobs: list[bytes], facts: Facts) -> tuple[np.ndarray, list[np.ndarray]]:
-        shared, totals = held.value, held_totals.value
-        group = Group(shared, blobs, facts)
-        uniform = 1.0 / (shared.vocabulary + 1)
-        p = np.zeros(len(group.count))
-        for s, (tables, guests, seated) in enumerate(_chain(shared, group, number)):
-            if len(shared.hot):
-                hot = group.hot >= 0
-                guests, seated = (np.where(hot, totals.hot[s][np.maximum(group.hot, 0), k], x) for k, x in ((0, guests), (1, seated)))
-            parent = (guests - D0 * seated + (THETA0 + D0 * totals.parent[s, 1]) * uniform) / (THETA0 + totals.parent[s, 0])
-            back = THETA + D * group.context_tables[s][group.context]
-            count, tables = group.count.astype(float), tables.astype(float)
-            count[group.split], tables[group.split] = group.split_count, group.split_tables[s]
-            p += (count - D * tables + back * parent[group.dish]) / (THETA + group.customers[group.context])
-        log_p = np.log10(p / SAMPLES)
-        seen = group.dish_count[group.dish] > 0
-        base = np.log10((group.dish_count + 1.0) / (shared.tokens + shared.vocabulary + 1))[group.dish]
-        columns = [np.bincount(group.text, group.times * x[group.pair], minlength=len(group.rids)) for x in (np.ones(len(p)), seen, base, log_p)]
-        return group.rids, columns
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sums = np.zeros(0, dtype=np.int64), [np.zeros(0)] * 4
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(held), *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x) for x in sums[2:])], names=["rid", "n_tokens", "n_known", "base_score", "score"])
-
-        for number, blobs, facts in _by_group(batches):
-            rids, columns = score(number, blobs, facts)
-            held, inverse = np.unique(np.concatenate([held, rids]), return_inverse=True)
-            sums = [np.bincount(inverse, np.concatenate(x), minlength=len(held)) for x in zip(sums, columns, strict=True)]
-            if len(held) > 1_000_000:
-                yield out()
-                held, sums = held[:0], [x[:0] for x in sums]
-        yield out()
-
-    return rows.mapInArrow(summed, "rid long, n_tokens long, n_known long, base_score double, score double").groupBy("rid").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
+            yield now
+
+
+def _tell_second(shared: Shared, group: Group, number: int, first: list[bytes]) -> list[bytes]:
+    return group.messages(*(group.summed(t) for t in _seatings(shared, group, number, *group.answers(first))))
+
+
+def _answer(shared: Shared, number: int, first: dict[int, bytes], second: dict[int, bytes] | None) -> dict[int, bytes]:
+    """A group of dishes answers each group: customers, tables and the parent's
+    tables of what it told; with its second message those of every sample too. Last
+    the sums over all dishes here."""
+    told = {i: _spread(x) for i, x in sorted(first.items())}
+    keys, inverse = np.unique(np.concatenate([x[0] for x in told.values()]), return_inverse=True)
+    total = lambda rows: np.bincount(inverse, np.concatenate(rows), minlength=len(keys)).astype(np.int64)
+    own = np.zeros(len(keys), dtype=bool)
+    own[inverse] = np.concatenate([x[1] for x in told.values()]) == 0
+    rng, mass = np.random.default_rng(number), (THETA0 + D0 * 1.5 * max(shared.vocabulary, 1)) / (shared.vocabulary + 1)
+    columns, sums = [total([x[2] for x in told.values()])], []
+    samples = [[x[3] for x in told.values()]]
+    if second is not None:
+        later = [_spread(second[i]) for i in told]
+        samples += [[x[s] for x in later] for s in range(SAMPLES)]
+    for rows in samples:
+        tables = total(rows)
+        seated = np.zeros(len(keys), dtype=np.int64)
+        seated[own] = _parent_tables(rng, tables[own], mass)
+        columns += [tables, seated]
+        sums += [tables[own].sum(), seated.sum()]
+    bounds = np.concatenate([[0], np.cumsum([len(x[0]) for x in told.values()])])
+    return {i: _squeeze(*(c[inverse[a:b]] for c in columns), np.array(sums, dtype=np.int64)) for i, a, b in zip(told, bounds, bounds[1:], strict=False)}
+
+
+def _predictive(shared: Shared, group: Group, number: int, answers: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs: the predictive probability, averaged over the samples; of
+    the dishes: training customers everywhere."""
+    columns, sums = group.answers(answers)
+    own, p = group.kind == 0, np.zeros(len(group.count))
+    count = group.count.copy()
+    count[group.split] = columns[0][group.kind == 2]
+    for s, tables in enumerate(_seatings(shared, group, number, columns, sums)):
+        told, seated = columns[3 + 2 * s : 5 + 2 * s]
+        parent = _parent(shared, told[own], seated[own], *sums[2 + 2 * s : 4 + 2 * s])
+        opened = group.tables_of_contexts(tables, told)
+        tables = tables.copy()
+        tables[group.split] = told[group.kind == 2]
+        back = THETA + D * opened[group.context]
+        p += (count - D * tables + back * parent[group.dish]) / (THETA + group.customers[group.context])
+    return p / SAMPLES, columns[0][own]
+
+
+def _scores(shared: Shared, group: Group, number: int, answers: list[bytes]) -> list[bytes]:
+    """For each block of texts: rid, tokens, known, base and score of the group's tokens."""
+    p, dish_count = _predictive(shared, group, number, answers)
+    base = np.log10((dish_count + 1.0) / (shared.tokens + shared.vocabulary + 1))[group.dish]
+    of_pairs = (np.ones(len(p)), dish_count[group.dish] > 0, base, np.log10(p))
+    sums = [np.bincount(group.text, group.times * x[group.pair], minlength=len(group.rids)) for x in of_pairs]
+    block = (mix64(group.rids.view(np.uint64)) % np.uint64(shared.groups)).astype(np.int64)
+    order = np.argsort(block, kind="stable")
+    bounds = np.searchsorted(block[order], np.arange(shared.groups + 1))
+    columns = [group.rids, sums[0].astype(np.uint32), sums[1].astype(np.uint32), sums[2], sums[3]]
+    return [_squeeze(*(c[order[i:j]] for c in columns)) for i, j in zip(bounds, bounds[1:], strict=False)]
+
+
+def _blobs(table: pa.Table, key: str) -> dict[int, bytes]:
+    return dict(sorted(zip(table.column(key).to_pylist(), table.column("blob").to_pylist(), strict=True)))
+
+
+def _rows(blobs: dict[int, bytes] | list[bytes], **columns: int) -> pa.Table:
+    """A row for each blob, numbered by ``to`` or the key of the dict; other columns are constant."""
+    to = list(blobs) if isinstance(blobs, dict) else list(range(len(blobs)))
+    rows = list(blobs.values()) if isinstance(blobs, dict) else blobs
+    names = {"to": pa.array(to, pa.int64())} | {c: pa.array([x] * len(to), pa.int64()) for c, x in columns.items()}
+    return pa.table({**names, "blob": pa.array(rows, pa.binary())})
 
 
 def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS) -> DataFrame:
@@ -427,30 +398,55 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
     score: log10 probabilities of each whole text."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", train.alias("train"), F.xxhash64("doc_id", "text").alias("rid"))
-    counts = cut(rows.filter("train").select("text").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
-    n, v, tables = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.pow("n", F.lit(TABLES))), F.lit(0.0))).first()
+    counts = stored(rows.filter("train").select("text").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     groups = max(1, -(-n // group_tokens))
     # Words of a share of 1 / (4 * groups) or more: no more than 4 * groups of them.
     frequent = counts.filter((F.col("n") * 4 * groups >= n) & F.lit(groups > 1)).toArrow()
     word, count = frequent.column("token").to_numpy().view(np.uint64), frequent.column("n").to_numpy()
     order = np.argsort(word)
-    shared = Shared(int(n), int(v), int(groups), float(tables), word[order], count[order], int(group_tokens))
-    held = spark.sparkContext.broadcast(shared)
-    # A task has a few groups, whose sums for a text then travel as one row.
-    tasks = max(min(shared.groups, 2 * spark.sparkContext.defaultParallelism), shared.groups // 4)
-    needed = rows.select("rid", "text").mapInArrow(lambda it: _contexts(held.value, it), "group long, context long").repartition("context").distinct()
-    facts = cut(needed.join(counts.select(F.col("token").alias("context"), F.col("n").alias("customers")), "context", "left"))
-    # Packed again for each pass: a copy on disk beside both shuffles would be more than they are.
-    packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, blob binary")
+    held = spark.sparkContext.broadcast(Shared(int(n), int(v), int(groups), word[order], count[order], int(group_tokens)))
+
+    def group_of(table: pa.Table) -> tuple[int, Group]:
+        return table.column("group")[0].as_py(), Group(held.value, table.column("blob").to_pylist())
+
+    def tell_first(table: pa.Table) -> pa.Table:
+        number, group = group_of(table)
+        return _rows(_tell_first(held.value, group), of=number)
+
+    def answer_first(told: pa.Table) -> pa.Table:
+        number = told.column("to")[0].as_py()
+        return _rows(_answer(held.value, number, _blobs(told, "of"), None), of=number)
 
-    def dealt(known: DataFrame) -> DataFrame:
-        both = packed.unionByName(known.select("group", *_FACTS), allowMissingColumns=True)
-        return both.repartition(tasks, "group").sortWithinPartitions("group")
+    def tell_second(table: pa.Table, answers: pa.Table) -> pa.Table:
+        number, group = group_of(table)
+        return _rows(_tell_second(held.value, group, number, list(_blobs(answers, "of").values())), of=number)
 
-    totals, told = _totals(held, dealt(facts.select("*", *(F.lit(0).cast("long").alias(c) for c in _FACTS[2:]))))
-    sums = _score(held, spark.sparkContext.broadcast(totals), dealt(facts.join(told, "context", "left").withColumn("customers", F.coalesce("customers", "own"))))
+    def answer_second(first: pa.Table, second: pa.Table) -> pa.Table:
+        number = first.column("to")[0].as_py()
+        return _rows(_answer(held.value, number, _blobs(first, "of"), _blobs(second, "of")), of=number)
+
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        number, group = group_of(table)
+        return _rows(_scores(held.value, group, number, list(_blobs(answers, "of").values())))
+
+    def summed(table: pa.Table) -> pa.Table:
+        columns = [np.concatenate(c) for c in zip(*(_spread(x) for x in table.column("blob").to_pylist()), strict=True)]
+        rid, inverse = np.unique(columns[0], return_inverse=True)
+        sums = [np.bincount(inverse, c, minlength=len(rid)) for c in columns[1:]]
+        return pa.table([pa.array(rid), *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x.astype(float)) for x in sums[2:])], names=["rid", "n_tokens", "n_known", "base_score", "score"])
+
+    # One plan: the shuffles of packed tokens and first messages are read again by what comes later.
+    packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, blob binary")
+    message = "to long, of long, blob binary"
+    first = packed.groupBy("group").applyInArrow(tell_first, message)
+    answers = first.groupBy("to").applyInArrow(answer_first, message)
+    second = packed.groupBy("group").cogroup(answers.groupBy("to")).applyInArrow(tell_second, message)
+    answers = first.groupBy("to").cogroup(second.groupBy("to")).applyInArrow(answer_second, message)
+    parts = packed.groupBy("group").cogroup(answers.groupBy("to")).applyInArrow(score, "to long, blob binary")
+    sums = parts.groupBy("to").applyInArrow(summed, "rid long, n_tokens long, n_known long, base_score double, score double")
     ids = rows.groupBy("rid").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("train").alias("train"), F.count("*").alias("rows"))
     out = ids.join(sums, "rid").withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     whole = [(F.col(c) / F.col("rows")).cast("long").alias(c) for c in ("n_tokens", "n_known")]
-    parts = [(F.col(c) / F.col("rows")).alias(c) for c in ("base_score", "score")]
-    return out.select("doc_id", "train", *whole, F.lit(int(n)).cast("long").alias("train_tokens"), *parts)
+    shares = [(F.col(c) / F.col("rows")).alias(c) for c in ("base_score", "score")]
+    return out.select("doc_id", "train", *whole, F.lit(int(n)).cast("long").alias("train_tokens"), *shares)

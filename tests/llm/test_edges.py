@@ -185,15 +185,59 @@ def test_language_model(spark, docs):
     assert seven["base_score"] == pytest.approx(sum(brute.math.log10((want[x] + 1) / (n + v + 1)) for x in ["one", "two", "three", None]))
 
 
-def test_language_model_probabilities(spark):
-    """The predictive probabilities after a context sum to one over the vocabulary and one unknown word."""
-    words = ["a", "b", "c", "d"]
-    train = [(i, " ".join(np.random.default_rng(i).choice(words, 30))) for i in range(20)]
-    ask = [(100 + i, f"a {w}") for i, w in enumerate([*words, "", "zzz"])] + [(200, "a")]
-    got = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(train + ask, "doc_id long, text string"), F.col("doc_id") < 100).collect()}
-    base = {r["doc_id"]: r for r in lm.score_texts(spark.createDataFrame(train + [(300, "a")], "doc_id long, text string"), F.col("doc_id") < 100).collect()}
-    assert got[200] == pytest.approx(base[300]["score"])
-    assert all(s < 0 for s in got.values())
+def _in_process(rows, groups, most):
+    """The passes of the model on (rid, text, train), without Spark: shared facts, and (number, group, answers) of each group."""
+    import pyarrow as pa
+
+    b = pa.RecordBatch.from_pydict({"rid": [r[0] for r in rows], "text": [r[1] for r in rows], "train": [r[2] for r in rows]})
+    known = pa.RecordBatch.from_pydict({"text": [r[1] for r in rows if r[2]]})
+    word, n = np.unique(lm._tokens(known)[0], return_counts=True)
+    hot = (n * 4 * groups >= n.sum()) & (groups > 1)
+    shared = lm.Shared(int(n.sum()), len(word), groups, word[hot], n[hot], most)
+    blobs = {}
+    for out in lm._pack(shared, iter([b.slice(i, 40) for i in range(0, b.num_rows, 40)])):
+        for g, x in zip(out.column("group").to_pylist(), out.column("blob").to_pylist(), strict=True):
+            blobs.setdefault(g, []).append(x)
+    group = {g: lm.Group(shared, x) for g, x in sorted(blobs.items())}
+    first = {g: lm._tell_first(shared, x) for g, x in group.items()}
+    to = lambda told, j: {g: x[j] for g, x in told.items()}
+    said = [lm._answer(shared, j, to(first, j), None) for j in range(groups)]
+    second = {g: lm._tell_second(shared, x, g, [a[g] for a in said]) for g, x in group.items()}
+    said = [lm._answer(shared, j, to(first, j), to(second, j)) for j in range(groups)]
+    return shared, [(g, x, [a[g] for a in said]) for g, x in group.items()]
+
+
+@pytest.mark.parametrize(("groups", "most"), [(1, 10**6), (3, 700), (11, 100)])
+def test_language_model_probabilities(groups, most):
+    """The predictive probabilities after every context sum to one over the
+    vocabulary and one unknown word, however the tokens are dealt."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(12)]
+    train = [(i, " ".join(rng.choice(words, 40, p=np.arange(12, 0, -1) / 78)), True) for i in range(50)]
+    pairs = [f"{u} {w}" for u in words for w in [*words, "unknown"]] + [*words, "unknown", ""]
+    rows = train + [(100 + i, x, False) for i, x in enumerate(pairs)]
+    shared, groups_ = _in_process(rows, groups, most)
+    total, once = {}, {}
+    for number, group, answers in groups_:
+        p, _ = lm._predictive(shared, group, number, answers)
+        for u, w, x in zip(group.contexts[group.context].tolist(), group.dishes[group.dish].tolist(), p.tolist(), strict=True):
+            assert once.setdefault((u, w), x) == pytest.approx(x)  # a pair dealt in parts is scored alike
+            total[u, w] = x
+    sums = {}
+    for (u, _), x in total.items():
+        sums[u] = sums.get(u, 0.0) + x
+    full = [x for u, x in sums.items() if sum(k[0] == u for k in total) == 14]
+    assert len(full) == 13  # twelve words and the start of a text
+    assert full == pytest.approx([1.0] * 13)
+
+
+def test_language_model_groups_agree(spark):
+    """Scores don't hang on how many groups the tokens are dealt to."""
+    rng = np.random.default_rng(6)
+    words = np.array([f"w{i}" for i in range(300)])
+    docs = spark.createDataFrame([(i, " ".join(words[np.minimum(rng.zipf(1.3, 60), 300) - 1])) for i in range(200)], "doc_id long, text string")
+    whole, parts = ({r["doc_id"]: r["score"] for r in lm.score_texts(docs, F.col("doc_id") % 5 != 0, group_tokens=g).collect()} for g in (lm.GROUP_TOKENS, 1500))
+    assert all(abs(whole[i] - parts[i]) < 0.02 * abs(whole[i]) for i in whole)
 
 
 def test_classifiers(spark):
@@ -224,13 +268,9 @@ def test_language_model_rare_contexts(spark):
 def test_language_model_hot_pair(spark):
     """One pair with most of the tokens is dealt to many groups, and scores as it does whole."""
     docs = spark.createDataFrame([(i, f"over and over {'again ' * 50}x{i % 7}") for i in range(400)], "doc_id long, text string")
-    b = docs.select("text", F.xxhash64("doc_id").alias("rid"), F.lit(True).alias("train")).toArrow().combine_chunks().to_batches()[0]
-    word, n = np.unique(lm._tokens(b)[0], return_counts=True)
-    hot = n * 4 * 11 >= n.sum()
-    shared = lm.Shared(int(n.sum()), len(word), 11, 1.0, word[hot], n[hot], 2000)
-    none = lm.Facts(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros((lm.SAMPLES, 0)))
-    sizes = [int(lm.Group(shared, [x.as_py()], none).count.sum()) for out in lm._pack(shared, iter([b])) for x in out.column("blob")]
-    assert sum(sizes) == n.sum() and max(sizes) <= 3 * 2000
+    rows = [(r["rid"], r["text"], True) for r in docs.select("text", F.xxhash64("doc_id").alias("rid")).collect()]
+    sizes = [int(group.count.sum()) for _, group, _ in _in_process(rows, 11, 2000)[1]]
+    assert sum(sizes) == 400 * 55 and max(sizes) <= 3 * 2000
     whole, parts = ({r["doc_id"]: r["score"] for r in lm.score_texts(docs, F.lit(True), group_tokens=g).collect()} for g in (lm.GROUP_TOKENS, 2000))
     assert max(abs(whole[i] - parts[i]) for i in range(400)) < 1.5
 
