@@ -1,4 +1,5 @@
-"""Substring dedup: paragraphs that repeat, by MinHash banding.
+"""Substring dedup: paragraphs that repeat, by MinHash banding, and passages of
+them that repeat whatever the line breaks.
 
 A paragraph is a line of at least ``LEAST_WORDS`` words; its set is its distinct
 five-word shingles (A-Z lower-cased). Sets collide in any of ``BANDS`` bands of
@@ -11,18 +12,28 @@ Passages repeat whatever the line breaks: of every ``STEP`` consecutive windows
 of ``WINDOW`` words one is sampled (the smallest hash), so that any run of ``RUN``
 words that occurs twice shares a sample. Around the samples that repeat the windows at
 the ends are looked up in all texts, and windows that overlap are joined; joined runs of
-``RUN`` words or more are passages. A passage of over 50 words with a copy of
-Jaccard similarity 0.8 has such a run unchanged. Windows of fewer than
-``DISTINCT`` different words (junk, rules of tables) are none.
+``RUN`` words or more are passages. Windows of fewer than ``DISTINCT`` different words
+(junk, rules of tables) are none.
+
+Only paragraphs with a sample that repeats are banded; that loses none. With e words
+changed, n words keep a similarity of 0.8 only if n - 4 >= 45 e, so some run of
+24 words or more is unchanged, and an unchanged run of ``RUN`` words has a sample. The
+same holds for passages: one of over 50 words with a copy of similarity 0.8 has
+such a run unchanged.
 
 Defined cases: null and empty texts have no paragraph; a paragraph repeated in
 one document counts as a repeat; rows that share a doc_id are told apart by a
-hash of the text; an empty table gives an empty result.
+hash of the text, and rows repeated whole are one place, so the first of them
+keeps its paragraphs in each; of paragraphs in one component the first line of the
+smallest id stays, null ids last; very long texts and lines are compared whole;
+further columns of the input pass through the removals untouched, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,88 +43,115 @@ from pyspark.sql import functions as F
 
 from . import similar
 from .bloom import BlockedBloom
-from .common import LOWER, SPACES, cut, few, guarded, joined, schema_of, slices, window_hashes, word_hashes, word_spans
+from .common import LOWER, SPACES, guarded, joined, schema_of, slices, stored, window_hashes, word_hashes, word_spans
 
 BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 8, 2, 5, 80, 20
-WINDOW, STEP, DISTINCT = 16, 10, 8
+WINDOW, STEP, DISTINCT = 12, 9, 6
 RUN = WINDOW + STEP - 1
 
 
-def _paragraphs(batch: pa.RecordBatch):
-    """(shingles, sizes, classes, starts of the sets), and for each paragraph
-    the row, the number of its line, and its bytes from and to."""
+class Words(NamedTuple):
+    """Of a batch: the starts of its texts; of each word its hash, text, start and end;
+    hashes of all windows, and the samples among them."""
+
+    starts: np.ndarray
+    ends_of_lines: np.ndarray
+    words: np.ndarray
+    of: np.ndarray
+    s: np.ndarray
+    e: np.ndarray
+    windows: np.ndarray
+    samples: np.ndarray
+
+
+def _words(batch: pa.RecordBatch) -> Words:
     data, starts = joined(batch.column("text"))
     low = LOWER[data]
     s, e = word_spans(~SPACES[low])
-    ends = np.flatnonzero(data == 10)  # of all lines: a text ends in one more newline
-    line = np.searchsorted(ends, s)
-    words = np.bincount(line, minlength=len(ends))
-    long = np.flatnonzero(words >= LEAST_WORDS)
-    use = words[line] >= LEAST_WORDS
-    of = np.searchsorted(long, line[use])
-    h, text = similar.shingles(word_hashes(low, s[use], e[use]), of, len(long), WORDS)
-    begins = np.concatenate([[0], ends[:-1] + 1])[long] if len(ends) else long
-    row = np.searchsorted(starts, begins, side="right") - 1
-    number = long - np.searchsorted(ends, starts)[row] if len(long) else long
-    return (h, *similar.classes(h, text, len(long))), (row, number, begins - starts[row], ends[long] - starts[row])
-
-
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The band keys of all paragraphs."""
+    of = np.searchsorted(starts, s, side="right") - 1
+    words = word_hashes(low, s, e)
+    h, at = window_hashes(words, WINDOW), np.zeros(0, dtype=np.int64)
+    if len(words) >= RUN:
+        first = np.flatnonzero(of[: len(of) - RUN + 1] == of[RUN - 1 :])
+        least = np.lib.stride_tricks.sliding_window_view(h, STEP).argmin(axis=1)
+        at = np.unique(first + least[first])
+    return Words(starts, np.flatnonzero(data == 10), words, of, s, e, h, at)  # a text ends in one more newline
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        (h, _, _, starts), _ = _paragraphs(b)
-        values = similar.minhashes(h, starts, BANDS * ROWS) if len(h) else np.zeros((0, BANDS * ROWS), dtype=np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array(similar.node_keys(values, ROWS).ravel())], names=["node"])
+        x = _words(b)
+        yield pa.RecordBatch.from_arrays([pa.array(x.windows[x.samples].view(np.int64))], names=["node"])
+
+
+def _shared(slim: DataFrame) -> Broadcast:
+    """A Bloom filter (of bounded size) of the samples that repeat."""
+    found = stored(slim.select("text").mapInArrow(_samples, "node long").groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node"))
+    return slim.sparkSession.sparkContext.broadcast(BlockedBloom.build(found, "node", found.count()))
 
 
 def _sketch(shared: Broadcast):
-    """The paragraphs with a key that others may have too, with their sketch and
-    those keys."""
+    """The paragraphs with a sample that others may have too: where they are,
+    their class, band keys, sketch and set."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            (h, sizes, found, starts), (row, number, begin, end) = _paragraphs(b)
-            values = similar.minhashes(h, starts, BANDS * ROWS) if len(h) else np.zeros((0, BANDS * ROWS), dtype=np.uint32)
-            keys = similar.node_keys(values, ROWS)
-            hit = shared.value.might_contain(keys.ravel()).reshape(keys.shape)
-            use = np.flatnonzero(hit.any(axis=1))
-            grams = h[np.repeat(hit.any(axis=1), sizes)]
-            sig = (similar.minhashes(grams, np.concatenate([[0], np.cumsum(sizes[use])[:-1]])) & 0xFF).astype(np.uint8) if len(use) else []
-            picked = pa.array(row[use], pa.int64())
-            columns = [pa.array(x[use], pa.int64()) for x in (number, begin, end)]
-            columns += [pa.array([found[i] for i in use], pa.binary()), pa.array(sizes[use], pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array([keys[i][hit[i]] for i in use], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(picked), b.column("__row").take(picked), *columns], names=["doc_id", "__row", "paragraph", "from_byte", "to_byte", "cls", "n", "sig", "keys"])
+            x = _words(b)
+            line = np.searchsorted(x.ends_of_lines, x.s)
+            words = np.bincount(line, minlength=len(x.ends_of_lines))
+            hit = x.samples[shared.value.might_contain(x.windows[x.samples].view(np.int64))]
+            use = np.zeros(len(words), dtype=bool)
+            use[line[hit][line[hit] == line[hit + WINDOW - 1]]] = True
+            long = np.flatnonzero(use & (words >= LEAST_WORDS))
+            of = np.searchsorted(long, line)
+            mine = np.flatnonzero((of < len(long)) & (long[np.minimum(of, len(long) - 1)] == line)) if len(long) else long
+            h, text = similar.shingles(x.words[mine], of[mine], len(long), WORDS)
+            sizes, found, starts = similar.classes(h, text, len(long))
+            values = similar.minhashes(h, starts) if len(h) else np.zeros((0, similar.COORDS), dtype=np.uint32)
+            keys, sig = similar.node_keys(values[:, : BANDS * ROWS], ROWS), (values & 0xFF).astype(np.uint8)
+            begins = np.append(0, x.ends_of_lines + 1)[long]
+            row = np.searchsorted(x.starts, begins, side="right") - 1
+            number = long - np.searchsorted(x.ends_of_lines, x.starts)[row]
+            grams = [g.tobytes() for g in np.split(h, starts[1:])] if len(h) else []
+            picked = pa.array(row, pa.int64())
+            columns = [pa.array(c, pa.int64()) for c in (number, begins - x.starts[row], x.ends_of_lines[long] - x.starts[row])]
+            columns += [pa.array(found, pa.binary()), pa.array(sizes, pa.int64()), pa.array([r.tobytes() for r in sig], pa.binary()), pa.array(list(keys), pa.list_(pa.int64())), pa.array(grams, pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(picked), b.column("__row").take(picked), *columns], names=["doc_id", "__row", "paragraph", "from_byte", "to_byte", "cls", "n", "sig", "keys", "grams"])
 
     return sketch
 
 
-def repeated_paragraphs(docs: DataFrame, **limits) -> DataFrame:
+def _slim(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("__row"), "text")
+
+
+def repeated_paragraphs(docs: DataFrame, shared: Broadcast | None = None, **limits) -> DataFrame:
     """docs (doc_id, text) -> the paragraphs of every component of two or more:
     doc_id, __row, paragraph (line number from 0), from_byte, to_byte,
     n_shingles, component_id (smallest doc_id with one), n_copies, removed."""
-    spark = docs.sparkSession
-    slim = docs.select("doc_id", F.xxhash64("text").alias("__row"), "text")
-    # Most paragraphs share no key with another: they go no further than a count.
-    shared = cut(slim.select("text").mapInArrow(_keys, "node long").groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node"))
-    filter_ = spark.sparkContext.broadcast(BlockedBloom.build(shared, "node", shared.count()))
-    schema = schema_of([slim.schema["doc_id"]], "__row long, paragraph long, from_byte long, to_byte long, cls binary, n long, sig binary, keys array<long>")
-    sketched = cut(slim.mapInArrow(_sketch(filter_), schema))
+    slim = _slim(docs)
+    schema = schema_of([slim.schema["doc_id"]], "__row long, paragraph long, from_byte long, to_byte long, cls binary, n long, sig binary, keys array<long>, grams binary")
+    sketched = stored(slim.mapInArrow(_sketch(shared or _shared(slim)), schema))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row", "paragraph")
-    units = few(cut(sketched.groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys")), F.count("*").alias("copies"), F.min(place).alias("first"))))
-
-    def scan(batches):
-        for b in slices(batches):
-            (h, _, found, starts), _ = _paragraphs(b)
-            yield found, h, starts
-
-    labels = similar.link(units.select("cls", "n", "sig", "keys"), similar.fetcher(scan, docs.select("text")), PERCENT, **limits)
+    units = stored(sketched.groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys", "grams")), F.count("*").alias("copies"), F.min(place).alias("first")))
+    labels = similar.link(units.select("cls", "n", "sig", "keys"), lambda ids: units.select("cls", "grams").join(ids, "cls", "left_semi"), PERCENT, **limits)
     known = units.select("cls", "copies", "first").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     groups = known.groupBy("label").agg(F.sum("copies").alias("n_copies"), F.min("first").alias("keep")).filter("n_copies > 1")
     repeated = known.join(groups, "label").select("cls", "n_copies", "keep")
-    found = sketched.drop("sig", "keys").join(repeated, "cls")
+    found = sketched.drop("sig", "keys", "grams").join(repeated, "cls")
     return found.select("doc_id", "__row", "paragraph", "from_byte", "to_byte", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"), "n_copies", (place != F.col("keep")).alias("removed"))
 
 
+def repeats(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> repeated paragraphs, and repeated passages (whose
+    paragraph is null): doc_id, __row, paragraph, from_byte, to_byte,
+    component_id, n_copies, removed. The samples are counted once for both."""
+    shared = _shared(_slim(docs))
+    columns = ["doc_id", "__row", "paragraph", "from_byte", "to_byte", "component_id", "n_copies", "removed"]
+    passages = repeated_passages(docs, shared).withColumn("paragraph", F.lit(None).cast("long"))
+    return repeated_paragraphs(docs, shared).select(*columns).union(passages.select(*columns))
+
+
 def paragraphs_removed(docs: DataFrame, **limits) -> DataFrame:
     """docs with their columns, the repeats taken out of the texts."""
     return guarded(docs, lambda d: _paragraphs_removed(d, **limits))
@@ -136,28 +174,6 @@ def _paragraphs_removed(docs: DataFrame, **limits) -> DataFrame:
     return both.mapInArrow(apply, docs.schema)
 
 
-def _windows(batch: pa.RecordBatch):
-    """Hashes of all windows; the samples among them; hash, text, start and end
-    of the words; starts of the texts."""
-    data, starts = joined(batch.column("text"))
-    low = LOWER[data]
-    s, e = word_spans(~SPACES[low])
-    of = np.searchsorted(starts, s, side="right") - 1
-    words = word_hashes(low, s, e)
-    h = window_hashes(words, WINDOW)
-    if len(words) < RUN:
-        return h, np.zeros(0, dtype=np.int64), words, of, s, e, starts
-    first = np.flatnonzero(of[: len(of) - RUN + 1] == of[RUN - 1 :])
-    least = np.lib.stride_tricks.sliding_window_view(h, STEP).argmin(axis=1)
-    return h, np.unique(first + least[first]), words, of, s, e, starts
-
-
-def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches):
-        h, at, *_ = _windows(b)
-        yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64))], names=["node"])
-
-
 def _around(n: int, of: np.ndarray, ways: tuple[tuple[int, np.ndarray], ...]) -> np.ndarray:
     """The windows up to the next sample, before (-1) or after (1) those given."""
     near = np.zeros(n + 2 * STEP, dtype=bool)
@@ -173,7 +189,8 @@ def _ends(shared: Broadcast):
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            h, at, _, of, *_ = _windows(b)
+            x = _words(b)
+            h, at, of = x.windows, x.samples, x.of
             hit = shared.value.might_contain(h[at].view(np.int64))
             next_too = hit[1:] & hit[:-1] & (of[at[1:]] == of[at[:-1]])
             near = _around(len(h), of, ((-1, at[hit & ~np.append(False, next_too)[: len(at)]]), (1, at[hit & ~np.append(next_too, False)[: len(at)]])))
@@ -188,7 +205,7 @@ def _occurrences(shared: Broadcast, sought: Broadcast):
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            h, at, words, of, s, e, starts = _windows(b)
+            starts, _, words, of, s, e, h, at = _words(b)
             hit = at[shared.value.might_contain(h[at].view(np.int64))]
             i = np.flatnonzero(_around(len(h), of, ((-1, hit), (1, hit))))
             i = np.union1d(hit, i[sought.value.might_contain(h[i].view(np.int64))]).astype(np.int64)
@@ -202,19 +219,17 @@ def _occurrences(shared: Broadcast, sought: Broadcast):
     return occurrences
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
+def repeated_passages(docs: DataFrame, shared: Broadcast | None = None) -> DataFrame:
     """docs (doc_id, text) -> the runs of at least ``RUN`` words whose windows
     occur again: doc_id, __row, word (number of the first, from 0), n_words,
     from_byte, to_byte, component_id (smallest doc_id with one of the windows),
     n_copies (of the most frequent window), removed (all but the first)."""
-    spark = docs.sparkSession
-    slim = docs.select("doc_id", F.xxhash64("text").alias("__row"), "text")
-    shared = cut(slim.select("text").mapInArrow(_samples, "node long").groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node"))
-    filter_ = spark.sparkContext.broadcast(BlockedBloom.build(shared, "node", shared.count()))
-    ends = cut(slim.select("text").mapInArrow(_ends(filter_), "node long").distinct())
-    sought = spark.sparkContext.broadcast(BlockedBloom.build(ends, "node", ends.count()))
+    slim = _slim(docs)
+    filter_ = shared or _shared(slim)
+    ends = stored(slim.select("text").mapInArrow(_ends(filter_), "node long").distinct())
+    sought = slim.sparkSession.sparkContext.broadcast(BlockedBloom.build(ends, "node", ends.count()))
     schema = schema_of([*schema_of([], "h long").fields, slim.schema["doc_id"]], "__row long, word int, from_byte int, to_byte int")
-    found = cut(slim.mapInArrow(_occurrences(filter_, sought), schema))
+    found = stored(slim.mapInArrow(_occurrences(filter_, sought), schema))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row", "word")
     again = found.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("keep")).filter("n > 1")
     rows = found.join(again, "h").withColumn("removed", place != F.col("keep"))

@@ -32,7 +32,7 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents")).drop("__row")
+    return paragraphs.repeats(table(spark, sf_dir, "documents")).drop("__row")
 
 
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ sketch of 64 minwise bytes. Classes that share a node are candidates:
 * what is still large then is compared in blocks, those outside the node's
   largest component against all, so no candidate is given up.
 
-Candidates are verified on the full sets, fetched once for each class involved.
+Candidates are verified on the full sets, fetched once for each class that any names.
 First the links of a spanning forest of each node, then those candidates that
 still lie in different components: any other link is inside a component.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import BlockedBloom
-from .common import cut, few, mix64, window_hashes
+from .common import cut, few, mix64, stored, window_hashes
 
 COORDS = 64
 #: Classes in a node that is compared exhaustively.
@@ -284,16 +284,17 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
     pairs = pairs.union(wide.select("cls", "n", "sig", "hub").distinct().join(hubs, "hub").mapInArrow(_likely_rows(percent), _PAIRS))
     pairs = few(cut(pairs.groupBy("a", "b").agg(F.max("first").alias("first"))))
 
+    # The sets of all classes that any later candidate can name, fetched once.
+    crowded = stored(rows.filter(F.col("size") > small).groupBy("cls").agg(F.any_value("n").alias("n"), F.any_value("sig").alias("sig")))
+    sets = stored(fetch(stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).union(crowded.select("cls")).distinct())))
+
     def check(some: DataFrame) -> DataFrame:
-        ids = some.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        sets = few(cut(fetch(few(cut(ids)))), 2_000)
         return few(cut(_verified(some.select("a", "b"), sets, percent)))
 
     edges = check(pairs.filter("first"))
     labels = components(edges)
     # Second round: candidates between what are different components so far.
     rest = pairs.filter("not first").select("a", "b")
-    crowded = rows.filter(F.col("size") > small).groupBy("cls").agg(F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
     level = _with_label(crowded, labels, "cls", "label").withColumn("root", F.explode(F.sequence(F.lit(1), F.lit(PATHS)))).select(_longer(F.xxhash64("root"), lengths[0]).alias("node"), "cls", "n", "sig", "label")
     for at, length in enumerate(lengths):
         stats = level.groupBy("node").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("node", "size")
@@ -303,7 +304,7 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
         rest = rest.union(level.filter(F.col("size") <= small).groupBy("node").agg(_member().alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS).select("a", "b"))
         level = level.filter(F.col("size") > small)
         if at + 1 == len(lengths):
-            edges = edges.union(_in_blocks(few(cut(level)), fetch, percent))
+            edges = edges.union(_in_blocks(few(cut(level)), sets, percent))
         else:
             level = level.select(_longer(F.col("node"), lengths[at + 1] - length).alias("node"), "cls", "n", "sig", "label")
     more = _with_label(_with_label(rest.distinct(), labels, "a", "la"), labels, "b", "lb").filter("la != lb")
@@ -311,13 +312,12 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
     return components(edges.union(check(more)))
 
 
-def _in_blocks(level: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, block: int = 256) -> DataFrame:
+def _in_blocks(level: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
     """Links of each node's classes outside its largest component with all of
     it, on full sets, block by block."""
     sizes = level.groupBy("node", "label").agg(F.count("*").alias("n_label"))
     main = sizes.groupBy("node").agg(F.max(F.struct("n_label", "label")).alias("m"), F.sum("n_label").alias("all"))
     main = main.select("node", F.col("m.label").alias("main"), F.ceil((F.col("all") - F.col("m.n_label")) / block).cast("int").alias("n_few"), F.ceil(F.col("all") / block).cast("int").alias("n_many"))
-    sets = few(cut(fetch(few(cut(level.select("cls").distinct())))), 2_000)
     rows = level.select("node", "cls", "label").join(main, "node").join(sets, "cls")
     deal = lambda seed, n: F.pmod(F.xxhash64("cls", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -88,7 +88,8 @@ def test_toxicity(spark, sf_dir, docs):
 
 
 def test_paragraphs(spark, sf_dir, docs):
-    got = rows(spark, sf_dir, "op4_paragraphs", "doc_id", "paragraph", "component_id", "n_copies", "removed")
+    found = queries.queries()["op4_paragraphs"](spark, sf_dir).filter("paragraph is not null")
+    got = sorted(tuple(r[c] for c in ("doc_id", "paragraph", "component_id", "n_copies", "removed")) for r in found.collect())
     units = [((d, i), x) for d, t in docs for i, x in enumerate((t or "").split("\n")) if len(brute.WORD.findall(x)) >= 20]
     want = brute.near_duplicates(units, 5)
     size = {}
@@ -97,6 +98,21 @@ def test_paragraphs(spark, sf_dir, docs):
     assert got == sorted((u[0], u[1], c[0], size[c], not kept) for u, _, c, kept in want if size[c] > 1)
 
 
+def test_passages(spark, sf_dir, docs):
+    """All words of runs that occur twice are in passages, and only words of windows that do."""
+    words = {d: brute.WORD.findall((t or "").translate(brute.LOWER)) for d, t in docs}
+
+    def covered(size):
+        at = {}
+        for d, w in words.items():
+            for i in range(len(w) - size + 1):
+                at.setdefault(tuple(w[i : i + size]), []).append((d, i))
+        return {(d, j) for x, places in at.items() if len(places) > 1 and all(len(set(x[i : i + 12])) >= 6 for i in range(size - 11)) for d, i in places for j in range(i, i + size)}
+
+    got = {(r["doc_id"], j) for r in queries.queries()["op4_passages"](spark, sf_dir).collect() for j in range(r["word"], r["word"] + r["n_words"])}
+    assert covered(20) <= got <= covered(12) and len(got) > 1000
+
+
 def test_urls(spark, sf_dir):
     urls = {r["page_id"]: r["url"] for r in table(spark, sf_dir, "pages").select("page_id", "url").collect()}
     for page, host, path, rule, verdict in rows(spark, sf_dir, "op5_url_filter", "page_id", "host", "path", "rule", "verdict"):
