@@ -53,8 +53,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    queue = mixing.fair_queue(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep_row=False)
-    return mixing.taken(queue).orderBy("finish").select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tempograin.llm import mixing
 from tempograin.llm.common import table
 
 from . import brute
@@ -70,7 +71,8 @@ def test_mix(stages):
     for r in stages[5].collect():
         assert 0 < r["taken"] <= 3 * size[r["doc_id"]]
         got[r["source"]] = got.get(r["source"], 0) + r["taken"]
-    assert all(abs(got.get(s, 0) - t) <= 1 for s, t in brute.targets(total).items())
+    assert all(abs(got.get(s, 0) - t) <= mixing.PACKET for s, t in brute.targets(total).items())
+    assert sum(got.values()) == sum(total.values())
 
 
 def test_run(spark, sf_dir, stages):
