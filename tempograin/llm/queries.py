@@ -12,7 +12,7 @@ from .common import mod_of_id, table
 from .sql import SQL
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
-#: Hosts that a public block list could name; a rule goes before them.
+#: Hosts that a public block list could name; the list has those with many thin pages too. A rule goes before them.
 BLOCKED_HOSTS = ["ads-track.example.com", "adult-x.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org"]
 
 
@@ -41,7 +41,8 @@ def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(*r, 1) for r in RULES] + [(h, "/", "block", 0) for h in BLOCKED_HOSTS], "host string, path string, verdict string, level int")
-    judged = urls.judge_urls(table(spark, sf_dir, "pages"), listed)
+    pages = table(spark, sf_dir, "pages")
+    judged = urls.judge_urls(pages, listed.union(urls.thin_hosts(pages)))
     return judged.select("page_id", "host", "path", F.when(F.col("level") == 1, F.col("rule")).alias("rule"), "verdict")
 
 

@@ -13,14 +13,16 @@ m AS (SELECT k.*, (h.key IS NOT NULL AND k.doc_id <> h.top) AS gone FROM k LEFT
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id"""
 
-_URLS = f"""WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+_URLS = rf"""WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), {_CASE}), '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM r),
 rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
-listed(h) AS (VALUES ('ads-track.example.com'), ('adult-x.example.com'), ('casino-win.example.net'), ('cheap-pills.example.net'), ('free-bets.example.net'), ('spam-farm.example.org')),
+c AS (SELECT p.*, regexp_replace(regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), '\.*(:80|:443)?$', ''), '\.+$', ''), '^www\.(.)', '\1') AS canon, coalesce(length(html), 0) AS n FROM p JOIN pages USING (page_id)),
+listed(h) AS (SELECT unnest(['ads-track.example.com', 'adult-x.example.com', 'casino-win.example.net', 'cheap-pills.example.net', 'free-bets.example.net', 'spam-farm.example.org'])
+ UNION SELECT canon FROM c WHERE canon <> '' GROUP BY 1 HAVING count(*) >= 5 AND count(*) FILTER (n < 1000) >= 0.25 * count(*)),
 f AS (SELECT page_id, rules.h || rules.p AS rule, rules.v, row_number() OVER (PARTITION BY page_id ORDER BY length(rules.h || rules.p) DESC) AS n
  FROM p JOIN rules ON (host = rules.h OR host LIKE '%.' || rules.h) AND starts_with(path, rules.p))
-SELECT p.page_id, host, path, f.rule, coalesce(f.v, CASE WHEN EXISTS (SELECT 1 FROM listed WHERE (host = listed.h OR host LIKE '%.' || listed.h) AND starts_with(path, '/')) THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN f ON f.page_id = p.page_id AND f.n = 1"""
+SELECT p.page_id, host, path, f.rule, coalesce(f.v, CASE WHEN EXISTS (SELECT 1 FROM listed WHERE canon = listed.h OR canon LIKE '%.' || listed.h) THEN 'block' ELSE 'allow' END) AS verdict
+FROM c p LEFT JOIN f ON f.page_id = p.page_id AND f.n = 1"""
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_CASE}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _LEAKS = f"""WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),

@@ -1,11 +1,12 @@
 """Toxicity: a linear classifier over character n-grams whose features are
 scaled by naive Bayes log-count ratios, trained on labelled text.
 
-Presence of the hashed n-grams (4 to 7 bytes, A-Z lower-cased) is multiplied by
-the log ratio of their counts in toxic and other training texts, and a logistic
-regression learns weights for the scaled features. A text is scored by the
-stretch of it that is most toxic: the highest sum of feature scores over any
-``STRETCH`` bytes, so that a long text doesn't drown a short insult. Two models
+A text is scored by the stretch of it that is most toxic: the highest sum of
+feature scores over any ``STRETCH`` bytes, so that a long text doesn't drown a short
+insult. Features are hashed n-grams (4 to 7 bytes, A-Z lower-cased), multiplied by
+the log ratio of the counts of toxic and other training texts that have them; a
+logistic regression learns weights for the scaled features of the very stretches
+that are scored, chosen anew in each round. Two models
 are fitted, each on half of the training rows; their mean is the model, and the
 scores that each half gets from the other's model calibrate it (Platt).
 
@@ -13,14 +14,18 @@ The model is fitted on at most ``rows`` labelled rows, those with the smallest
 hash of their id, so one task holds them whole. Scoring runs over all texts.
 
 Defined cases: a null or empty text has no features and scores as the weakest
-stretch does; a label other than 0 or 1 or null isn't learned from; with labels
-of one kind only, every score is the smoothed share of label 1; an id labelled
-twice is learned from twice; repeated rows are scored each.
+stretch does; very long texts are scored whole; of equally toxic stretches any
+gives the score, the first is learned from; a label other than 0 or 1 or null
+isn't learned from; with labels of one kind only, every score is the smoothed
+share of label 1; an id labelled twice is learned from twice; repeated rows are
+scored each; further columns pass through, but one named as the score is
+replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,69 +43,103 @@ TRAIN_ROWS = 6_000
 MIN_TEXTS = 4
 #: ... and if its log ratio is so many standard errors from 0.
 CLEAR = 2.5
+#: Rounds of choosing stretches and fitting; what the features are divided by; the penalty.
+ROUNDS, SCALE, L2 = 2, 8.0, 1e-4
 _MODEL = pa.schema([("weights", pa.binary()), ("a", pa.float64()), ("b", pa.float64())])
 
 
-def _strongest(data: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The highest sum of weights over STRETCH bytes of each text; 0 for none."""
+def _stretches(data: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The sum of the weights of the n-grams that start in the STRETCH bytes from
+    each position of the texts; the end of the text each is in; the n-grams."""
     data = lowered(data)
-    total = np.zeros(len(data) + STRETCH + 1)
-    gain = np.zeros(len(data))
+    total, gain = np.zeros(len(data) + 1), np.zeros(len(data))
     ends = np.repeat(starts[1:], np.diff(starts))
-    for k in ORDERS:
-        gain += weights[char_grams(data, k, BITS, ends)]
-    np.cumsum(gain, out=total[1 : len(data) + 1])
-    total[len(data) + 1 :] = total[len(data)]
+    grams = [char_grams(data, k, BITS, ends) for k in ORDERS]
+    for g in grams:
+        gain += weights[g]
+    np.cumsum(gain, out=total[1:])
     at = np.arange(len(data))
-    stretch = total[np.minimum(at + STRETCH, ends)] - total[at]
-    return np.maximum(np.maximum.reduceat(stretch, starts[:-1]), 0.0) if len(starts) > 1 else np.zeros(0)
+    return total[np.minimum(at + STRETCH, ends)] - total[at], ends, grams
+
+
+def _strongest(data: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The score of each text's most toxic stretch."""
+    if len(starts) < 2:
+        return np.zeros(0)
+    return np.maximum(np.maximum.reduceat(_stretches(data, starts, weights)[0], starts[:-1]), 0.0)
+
+
+def _in_strongest(data: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> list[np.ndarray]:
+    """The n-grams, repeats too, of each text's most toxic stretch."""
+    score, ends, grams = _stretches(data, starts, weights)
+    out = []
+    for i, j in zip(starts, starts[1:], strict=False):
+        at = i + int(np.argmax(score[i:j]))
+        out.append(np.concatenate([g[at : min(at + STRETCH, ends[at])] for g in grams]))
+    return out
+
+
+class Half(NamedTuple):
+    """Training texts: batches of bytes and starts, the distinct n-grams of each text, labels."""
+
+    texts: list[tuple[np.ndarray, np.ndarray]]
+    rows: list[np.ndarray]
+    labels: list[float]
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All training rows -> the model's one row."""
-    rows, y, texts, fold = [], [], [], []
+    halves = (Half([], [], []), Half([], [], []))
     for b in slices(batches):
-        data, starts = joined(b.column("text"))
-        low = lowered(data)
-        ends = np.repeat(starts[1:], np.diff(starts))
-        grams = [char_grams(low, k, BITS, ends) for k in ORDERS]
-        for i in range(b.num_rows):
-            rows.append(np.unique(np.concatenate([g[starts[i] : starts[i + 1]] for g in grams])).astype(np.int32))
-        texts.append((data, starts))
-        y += b.column("label").to_pylist()
-        fold += b.column("fold").to_pylist()
-    y, half = np.array(y, dtype=float), np.array(fold, dtype=int) % 2 == 0
-    weights, strongest = np.zeros(1 << BITS, dtype=np.float32), np.zeros(len(y))
-    for part in (half, ~half):
-        w = _fit_weights([r for r, use in zip(rows, part, strict=True) if use], y[part])
-        out = np.concatenate([_strongest(d, s, w) for d, s in texts]) if texts else np.zeros(0)
-        strongest[~part] = out[~part]
+        fold = b.column("fold").to_numpy() % 2
+        for k, half in enumerate(halves):
+            part = b.filter(pa.array(fold == k))
+            data, starts = joined(part.column("text"))
+            low, ends = lowered(data), np.repeat(starts[1:], np.diff(starts))
+            grams = [char_grams(low, n, BITS, ends) for n in ORDERS]
+            half.rows.extend(np.unique(np.concatenate([g[i:j] for g in grams])).astype(np.int32) for i, j in zip(starts, starts[1:], strict=False))
+            half.texts.append((data, starts))
+            half.labels.extend(part.column("label").to_pylist())
+    weights, found, y = np.zeros(1 << BITS, dtype=np.float32), [], []
+    for own, other in (halves, halves[::-1]):
+        w = _fit_weights(own.rows, own.texts, np.array(own.labels))
         weights += w / 2
-    a, b = fit_platt(strongest, y)
+        found += [_strongest(d, s, w) for d, s in other.texts]
+        y += other.labels
+    a, b = fit_platt(np.concatenate(found) if found else np.zeros(0), np.array(y, dtype=float))
     yield to_batch({"weights": [weights.tobytes()], "a": [max(a, 0.0)], "b": [b]}, _MODEL)
 
 
-def _fit_weights(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """A weight for each bucket, from texts given as sorted buckets."""
-    weights = np.zeros(1 << BITS, dtype=np.float32)
-    if not 0 < y.sum() < len(y):
-        return weights
+def _ratios(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The naive Bayes log-count ratio of each bucket; 0 where chance explains it."""
     has, with_pos = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for r, label in zip(rows, y, strict=True):
         has[r] += 1
         with_pos[r] += label
     pos, neg = with_pos + 1.0, has - with_pos + 1.0
     ratio = np.log(pos / (y.sum() + 2)) - np.log(neg / (len(y) - y.sum() + 2))
-    # Ratios that chance explains are noise, and most of the features.
     ratio[(has < MIN_TEXTS) | (np.abs(ratio) < CLEAR * np.sqrt(1 / pos + 1 / neg))] = 0
     ratio[0] = 0
-    clear = [r[ratio[r] != 0] for r in rows]
-    cols, of = np.concatenate(clear), np.repeat(np.arange(len(clear)), [len(r) for r in clear])
-    if len(cols):
+    return ratio
+
+
+def _fit_weights(rows: list[np.ndarray], texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
+    """A weight for each bucket. What is fitted is what is scored: the scaled
+    n-grams of the most toxic stretch, by the ratios alone at first, then by the
+    weights of the round before."""
+    if not 0 < y.sum() < len(y):
+        return np.zeros(1 << BITS, dtype=np.float32)
+    ratio = _ratios(rows, y)
+    weights = ratio.astype(np.float32)
+    for _ in range(ROUNDS):
+        found = [g[ratio[g] != 0] for d, s in texts for g in _in_strongest(d, s, weights)]
+        cols, of = np.concatenate(found), np.repeat(np.arange(len(found)), [len(g) for g in found])
+        if not len(cols):
+            break
         names, cols = np.unique(cols, return_inverse=True)
-        size = np.sqrt(np.clip(np.bincount(of, minlength=len(y)), 1, 4096))
-        w, _ = fit_logistic(of, cols, ratio[names][cols] / size[of], y, len(names), l2=1e-5, steps=200)
-        weights[names] = np.maximum(w, 0) * ratio[names]
+        w, _ = fit_logistic(of, cols, ratio[names][cols] / SCALE, y, len(names), l2=L2)
+        weights = np.zeros(1 << BITS, dtype=np.float32)
+        weights[names] = np.maximum(w, 0) * ratio[names] / SCALE
     return weights
 
 
