@@ -43,17 +43,22 @@ from pyspark.sql import functions as F
 from .common import LOWER, SPACES, joined, mix64, slices, stored, word_hashes, word_spans
 
 GROUP_TOKENS, SLICE = 2_000_000, 8 << 20
+#: Words that are sent as places in a list of them (8 MB); others are sent as hashes.
+TOP_WORDS = 1_000_000
 BURN_IN, SAMPLES, BLOCKS = 2, 2, 4
 #: Discount and strength of the context restaurants, and of the parent.
 D, THETA, D0, THETA0 = 0.75, 2.0, 0.6, 10.0
+_BASE_UNITS, _SCORE_UNITS = float(1 << 24), float(1 << 16)
 _END = np.uint64(0x9D39247E33776D41)
 _ZSTD = pa.Codec("zstd", 1)
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
-    """The arrays, with their types, compressed."""
+    """The arrays, with their types, compressed; all first bytes of an array go
+    before all second ones, so those of small numbers are nothing but zeros."""
     kinds = ",".join(f"{x.dtype.str}:{len(x)}" for x in arrays).encode()
-    raw = b"".join([len(kinds).to_bytes(4, "little"), kinds, *(np.ascontiguousarray(x).tobytes() for x in arrays)])
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in arrays]
+    raw = b"".join([len(kinds).to_bytes(4, "little"), kinds, *planes])
     return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
 
 
@@ -62,8 +67,25 @@ def _spread(blob: bytes) -> list[np.ndarray]:
     at = 4 + int.from_bytes(raw[:4], "little")
     out = []
     for kind, n in (x.split(":") for x in raw[4:at].decode().split(",")):
-        out.append(np.frombuffer(raw, dtype=kind, count=int(n), offset=at))
-        at += out[-1].nbytes
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, dtype=np.uint8, count=int(n) * size, offset=at).reshape(size, int(n))
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += planes.nbytes
+    return out
+
+
+def _coded(top: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    """Sorted hashes as three arrays: which are of frequent words, the steps
+    between the places of these, and the others."""
+    at = _lookup(top, words)
+    known = at >= 0
+    return [known, np.diff(at[known], prepend=0).astype(np.uint32), words[~known]]
+
+
+def _decoded(top: np.ndarray, known: np.ndarray, steps: np.ndarray, others: np.ndarray) -> np.ndarray:
+    out = np.empty(len(known), dtype=np.uint64)
+    out[known] = top[np.cumsum(steps, dtype=np.int64)]
+    out[~known] = others
     return out
 
 
@@ -76,6 +98,7 @@ class Shared(NamedTuple):
     hot: np.ndarray  # sorted hashes of the contexts dealt by dish too
     hot_count: np.ndarray
     most: int  # training tokens of a group
+    top: np.ndarray  # sorted hashes of the most frequent words, which are sent as their places here
 
     def parts(self, dish: np.ndarray, context: np.ndarray) -> np.ndarray:
         """In how many parts the pairs are dealt: of a quarter of a group at most, were all
@@ -175,7 +198,7 @@ def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             known, dish = np.unique(w[p], return_inverse=True)
             entries = np.diff(np.append(first_entry[bounds[i] : bounds[i + 1]], high)).astype(np.uint32)
             groups.append(i)
-            blobs.append(_squeeze(u[p][new], np.diff(np.append(new, len(p))).astype(np.uint32), known, dish.astype(np.uint32), entries, local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], rid[docs], train[docs]))
+            blobs.append(_squeeze(*_coded(shared.top, u[p][new]), np.diff(np.append(new, len(p))).astype(np.uint32), *_coded(shared.top, known), dish.astype(np.uint32), entries, local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], rid[docs], train[docs]))
         yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
 
 
@@ -186,7 +209,8 @@ class Group:
     def __init__(self, shared: Shared, blobs: list[bytes]):
         dish, context, count, entry_pair, text, times, rids, n_pairs, n_docs = [], [], [], [], [], [], [], 0, 0
         for blob in blobs:
-            u, u_n, known, w, n, doc, tf, rid, train = _spread(blob)
+            *u, u_n, w0, w1, w2, w, n, doc, tf, rid, train = _spread(blob)
+            u, known = _decoded(shared.top, *u), _decoded(shared.top, w0, w1, w2)
             pair = np.repeat(np.arange(len(w), dtype=np.int32), n)
             context.append(np.repeat(u, u_n))
             dish.append(known[w])
@@ -212,7 +236,7 @@ class Group:
         self.told = np.concatenate([self.dishes, _context_key(self.contexts[self.hot]), _pair_key(self.dishes[self.dish[self.split]], self.contexts[self.context[self.split]])])
         self.kind = np.repeat(np.arange(3, dtype=np.uint8), [len(self.dishes), len(self.hot), len(self.split)])
         to = (mix64(self.told) % np.uint64(shared.groups)).astype(np.int64)
-        self.deal = np.argsort(to, kind="stable")
+        self.deal = np.lexsort((self.told, to))
         self.bounds = np.searchsorted(to[self.deal], np.arange(shared.groups + 1))
         # Customers of the pairs with two or more; the table of each, named by a seat of the pair.
         self.many = np.flatnonzero(self.count > 1)
@@ -227,9 +251,10 @@ class Group:
         by_context = np.bincount(self.context, of_pairs, minlength=len(self.contexts))
         return np.concatenate([by_dish, by_context[self.hot], of_pairs[self.split]]).astype(np.int64)
 
-    def messages(self, *columns: np.ndarray) -> list[bytes]:
-        """What each group of dishes is told, in a fixed order."""
-        return [_squeeze(*(c[self.deal[i:j]] for c in columns)) for i, j in zip(self.bounds, self.bounds[1:], strict=False)]
+    def messages(self, *columns: np.ndarray, keys: np.ndarray | None = None) -> list[bytes]:
+        """What each group of dishes is told, in a fixed order; of what, if it doesn't know."""
+        code = lambda at: [] if keys is None else _coded(keys, self.told[at])
+        return [_squeeze(*code(self.deal[i:j]), *(c[self.deal[i:j]] for c in columns)) for i, j in zip(self.bounds, self.bounds[1:], strict=False)]
 
     def answers(self, blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
         """The answers of all groups of dishes: columns in the order of ``told``, and their sums added up."""
@@ -302,7 +327,7 @@ def _parent(shared: Shared, tables: np.ndarray, seated: np.ndarray, all_tables:
 
 def _tell_first(shared: Shared, group: Group) -> list[bytes]:
     one = np.minimum(group.count, 1)
-    return group.messages(group.told, group.kind, group.summed(group.count), group.summed(one))
+    return group.messages(group.kind, group.summed(group.count), group.summed(one), keys=shared.top)
 
 
 def _seatings(shared: Shared, group: Group, number: int, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[np.ndarray]:
@@ -328,7 +353,7 @@ def _answer(shared: Shared, number: int, first: dict[int, bytes], second: dict[i
     """A group of dishes answers each group: customers, tables and the parent's
     tables of what it told; with its second message those of every sample too. Last
     the sums over all dishes here."""
-    told = {i: _spread(x) for i, x in sorted(first.items())}
+    told = {i: [_decoded(shared.top, *x[:3]), *x[3:]] for i, x in ((i, _spread(x)) for i, x in sorted(first.items()))}
     keys, inverse = np.unique(np.concatenate([x[0] for x in told.values()]), return_inverse=True)
     total = lambda rows: np.bincount(inverse, np.concatenate(rows), minlength=len(keys)).astype(np.int64)
     own = np.zeros(len(keys), dtype=bool)
@@ -376,7 +401,8 @@ def _scores(shared: Shared, group: Group, number: int, answers: list[bytes]) ->
     block = (mix64(group.rids.view(np.uint64)) % np.uint64(shared.groups)).astype(np.int64)
     order = np.argsort(block, kind="stable")
     bounds = np.searchsorted(block[order], np.arange(shared.groups + 1))
-    columns = [group.rids, sums[0].astype(np.uint32), sums[1].astype(np.uint32), sums[2], sums[3]]
+    # Log probabilities as whole numbers of 2**-24 and 2**-16 take half the bytes.
+    columns = [group.rids, sums[0].astype(np.uint32), sums[1].astype(np.uint32), np.round(sums[2] * _BASE_UNITS).astype(np.int64), np.round(sums[3] * _SCORE_UNITS).astype(np.int64)]
     return [_squeeze(*(c[order[i:j]] for c in columns)) for i, j in zip(bounds, bounds[1:], strict=False)]
 
 
@@ -405,7 +431,8 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
     frequent = counts.filter((F.col("n") * 4 * groups >= n) & F.lit(groups > 1)).toArrow()
     word, count = frequent.column("token").to_numpy().view(np.uint64), frequent.column("n").to_numpy()
     order = np.argsort(word)
-    held = spark.sparkContext.broadcast(Shared(int(n), int(v), int(groups), word[order], count[order], int(group_tokens)))
+    top = np.sort(counts.orderBy(F.desc("n"), "token").limit(TOP_WORDS).select("token").toArrow().column("token").to_numpy().view(np.uint64))
+    held = spark.sparkContext.broadcast(Shared(int(n), int(v), int(groups), word[order], count[order], int(group_tokens), top))
 
     def group_of(table: pa.Table) -> tuple[int, Group]:
         return table.column("group")[0].as_py(), Group(held.value, table.column("blob").to_pylist())
@@ -434,7 +461,7 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
         columns = [np.concatenate(c) for c in zip(*(_spread(x) for x in table.column("blob").to_pylist()), strict=True)]
         rid, inverse = np.unique(columns[0], return_inverse=True)
         sums = [np.bincount(inverse, c, minlength=len(rid)) for c in columns[1:]]
-        return pa.table([pa.array(rid), *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x.astype(float)) for x in sums[2:])], names=["rid", "n_tokens", "n_known", "base_score", "score"])
+        return pa.table([pa.array(rid), *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x.astype(float) / unit) for x, unit in zip(sums[2:], (_BASE_UNITS, _SCORE_UNITS), strict=True))], names=["rid", "n_tokens", "n_known", "base_score", "score"])
 
     # One plan: the shuffles of packed tokens and first messages are read again by what comes later.
     packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, blob binary")

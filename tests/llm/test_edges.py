@@ -193,7 +193,7 @@ def _in_process(rows, groups, most):
     known = pa.RecordBatch.from_pydict({"text": [r[1] for r in rows if r[2]]})
     word, n = np.unique(lm._tokens(known)[0], return_counts=True)
     hot = (n * 4 * groups >= n.sum()) & (groups > 1)
-    shared = lm.Shared(int(n.sum()), len(word), groups, word[hot], n[hot], most)
+    shared = lm.Shared(int(n.sum()), len(word), groups, word[hot], n[hot], most, word[::2])
     blobs = {}
     for out in lm._pack(shared, iter([b.slice(i, 40) for i in range(0, b.num_rows, 40)])):
         for g, x in zip(out.column("group").to_pylist(), out.column("blob").to_pylist(), strict=True):
