@@ -1,13 +1,16 @@
-"""Commands: transform, docs, and the audience's generate, load and validate."""
+"""Commands: list, extract, transform, docs, status, all, and the audience's
+generate (audience), load, analysis and validate."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 
-from .plans import audience, marts
+from .plans import audience, extract, marts
 from .sources import catalog, landing, manifest, raw, sinks
 
 
@@ -17,7 +20,11 @@ def session() -> SparkSession:
 
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser("tempograin")
-    p.add_argument("command", choices=["transform", "docs", "status", "audience", "analysis", "validate", "load"])
+    p.add_argument("command", choices=["list", "extract", "transform", "docs", "status", "all", "audience", "analysis", "validate", "load"])
+    p.add_argument("--videos", default="videos")
+    p.add_argument("--extractors", help="module:name of a list of extractors")
+    p.add_argument("--only", nargs="*", help="names of extractors; what they require runs too")
+    p.add_argument("--creative", help="part of an id or a file name")
     p.add_argument("--raw", default="warehouse/raw")
     p.add_argument("--marts", default="warehouse/marts")
     p.add_argument("--audience", default="warehouse/audience")
@@ -28,9 +35,24 @@ def main(args: list[str] | None = None) -> int:
     spark = session()
     mart = lambda n: spark.read.parquet(f"{a.marts}/{n}.parquet")
     panel = lambda: {n: spark.read.parquet(f"{a.audience}/{n}.parquet") for n in catalog_names()}
-    if a.command == "transform":
-        sinks.export_marts(marts.all_marts(raw.raw_views(spark, a.raw)), a.marts)
-    elif a.command == "docs":
+    if a.command in ("list", "extract", "all"):
+        known = _named(a.extractors)
+        if a.command == "list":
+            print(extract.describe(known))
+            extract.selected(extract.discover(spark, a.videos), a.creative).drop("content").show(1000, truncate=False)
+            return 0
+        run_id, failed = uuid.uuid4().hex[:12], 0
+        for e in extract.resolve(known, a.only):
+            runs = extract.run(extract.selected(extract.discover(spark, a.videos), a.creative), e, a.raw, run_id)
+            failed += runs.filter("status <> 'ok'").count()
+        if a.command == "extract":
+            return int(failed > 0)
+    if a.command in ("transform", "all"):
+        made = marts.all_marts(raw.raw_views(spark, a.raw))
+        sinks.export_marts(made, a.marts)
+        for n in ("creative_frames", "creative_seconds"):
+            made[n].unpersist()
+    if a.command in ("docs", "all"):
         print(catalog.document({n: mart(n) for n in ("creatives", "shots", "screen_text", "creative_frames", "creative_seconds", "creative_summary")}))
     elif a.command == "status":
         manifest.status(raw.read_raw(spark, a.raw, "_manifest")).show(truncate=False)
@@ -45,11 +67,17 @@ def main(args: list[str] | None = None) -> int:
         checks = audience.validate(panel(), mart("creative_seconds"))
         checks.show(50, truncate=False)
         return int(not checks.filter("NOT passed").isEmpty())
-    else:
+    elif a.command == "load":
         sinks.write_parquet(landing.load(spark, a.landing), f"{a.audience}/ingested_biometric_seconds.parquet")
     return 0
 
 
+def _named(place: str | None) -> list[extract.Extractor]:
+    """The list that module:name says; none without it."""
+    module, _, name = (place or "").partition(":")
+    return list(getattr(importlib.import_module(module), name)) if name else []
+
+
 def catalog_names() -> list[str]:
     from .sources.schemas import AUDIENCE
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,9 +66,14 @@ def squeezed(c: Column | str) -> Column:
     return F.lower(F.trim(F.regexp_replace(col(c), r"[\t\n\f\r ]+", " ")))
 
 
+#: Letters whose compatibility form is one plain letter and marks, and that letter.
+_PLAIN = {x: p for x in map(chr, (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))) if len(p := unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode()) == 1}
+
+
 def slug(c: Column | str) -> Column:
-    """Lower-case letters, digits and hyphens of a title."""
-    plain = F.regexp_replace(F.lower(F.trim(col(c))), r"[^a-z0-9\s_-]", "")
+    """Lower-case letters, digits and hyphens of a title; letters lose their marks."""
+    folded = F.translate(col(c), "".join(_PLAIN), "".join(_PLAIN.values()))
+    plain = F.regexp_replace(F.lower(F.trim(folded)), r"[^a-z0-9\s_-]", "")
     return F.regexp_replace(F.regexp_replace(plain, r"[\s_-]+", "-"), r"^-+|-+$", "")
 
 

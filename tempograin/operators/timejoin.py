@@ -7,7 +7,7 @@ the interval joins deal both sides by key and time bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,34 +23,57 @@ def asof_backward(points: DataFrame, starts: DataFrame, keys: list[str], time: s
     return both.filter("__side = 1").select("__left.*", *(F.col("__found")[c].alias(c) for c in columns))
 
 
-def asof_small(points: DataFrame, starts: DataFrame, keys: list[str], time: str, start: str, columns: list[str]) -> DataFrame:
-    """The same with a start table small enough for Spark to broadcast: starts
-    become intervals to the next one, joined by range."""
+def asof_small(points: DataFrame, starts: DataFrame, keys: list[str], time: str, start: str, columns: list[str], most: int = 100_000) -> DataFrame:
+    """The same with at most so many starts, which are broadcast: starts become
+    intervals to the next one, joined by range. More starts take the other way."""
+    if starts.limit(most + 1).count() > most:
+        return asof_backward(points, starts, keys, time, start, columns)
     until = F.lead(start).over(Window.partitionBy(*keys).orderBy(start))
     spans = starts.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(start).alias("__from"), until.alias("__to"), *(F.col(c).alias(f"__c_{c}") for c in columns))
     on = [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col(time) >= F.col("__from"), F.col("__to").isNull() | (F.col(time) < F.col("__to"))]
-    return points.join(spans, on, "left").select(*points.columns, *(F.col(f"__c_{c}").alias(c) for c in columns))
+    return points.join(F.broadcast(spans), on, "left").select(*points.columns, *(F.col(f"__c_{c}").alias(c) for c in columns))
 
 
-def _bucketed(intervals: DataFrame, start: str, end: str, width: float) -> DataFrame:
-    """A row for each bucket that an interval meets."""
-    n = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
-    return intervals.filter(F.col(end) > F.col(start)).withColumn("__bucket", F.explode(F.sequence(n(start), n(end))))
+#: A bucket is ``_WIDER`` times as wide as one of the level below; an interval is in that many buckets or few more.
+_WIDER = 16.0
+
+
+def _at(c: Column | str, width: float) -> Column:
+    """The bucket at the row's level."""
+    return F.floor((F.col(c) if isinstance(c, str) else c) / (F.lit(width) * F.pow(F.lit(_WIDER), "__level"))).cast("long")
+
+
+def _levelled(intervals: DataFrame, start: str, end: str, width: float) -> tuple[DataFrame, list[int]]:
+    """The intervals in a row for each bucket they meet, of a level by their
+    length, so a long one is few rows too; and the levels there are, some small numbers."""
+    level = F.greatest(F.lit(0), F.ceil(F.log(_WIDER, (F.col(end) - F.col(start)) / F.lit(width * _WIDER)))).cast("int")
+    rows = intervals.filter(F.col(end) > F.col(start)).withColumn("__level", level)
+    levels = sorted(r[0] for r in rows.select("__level").distinct().collect())
+    return rows.withColumn("__bucket", F.explode(F.sequence(_at(start, width), _at(end, width)))), levels
+
+
+def _on_levels(rows: DataFrame, levels: list[int]) -> DataFrame:
+    """The rows once for each level."""
+    if len(levels) < 2:
+        return rows.withColumn("__level", F.lit(levels[0] if levels else 0))
+    return rows.withColumn("__level", F.explode(F.array(*map(F.lit, levels))))
 
 
 def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], time: str, start: str, end: str, width: float) -> DataFrame:
     """Inner join: every point with every interval of its key that holds it. A
-    point is in one bucket, so no pair comes twice."""
-    right = _bucketed(intervals, start, end, width)
-    left = points.withColumn("__bucket", F.floor(F.col(time) / F.lit(width)).cast("long"))
-    return left.join(right, [*keys, "__bucket"]).filter((F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))).drop("__bucket")
+    point is in one bucket of a level, so no pair comes twice."""
+    right, levels = _levelled(intervals, start, end, width)
+    left = _on_levels(points, levels).withColumn("__bucket", _at(time, width))
+    return left.join(right, [*keys, "__level", "__bucket"]).filter((F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))).drop("__level", "__bucket")
 
 
 def overlap_flag(frames: DataFrame, intervals: DataFrame, keys: list[str], frame: tuple[str, str], interval: tuple[str, str], width: float, name: str) -> DataFrame:
     """frames with a boolean: does any interval of the key overlap the frame?"""
     a, b = frame
     s, e = interval
-    right = _bucketed(intervals.select(*keys, F.col(s).alias("__s"), F.col(e).alias("__e")), "__s", "__e", width)
+    right, levels = _levelled(intervals.select(*keys, F.col(s).alias("__s"), F.col(e).alias("__e")), "__s", "__e", width)
     rows = frames.withColumn("__rid", F.struct(*keys, a, b))
-    hit = _bucketed(rows.select(*keys, a, b, "__rid"), a, b, width).join(right, [*keys, "__bucket"]).filter((F.col(a) < F.col("__e")) & (F.col(b) > F.col("__s")))
+    left = _on_levels(rows.select(*keys, a, b, "__rid").filter(F.col(b) > F.col(a)), levels)
+    left = left.withColumn("__bucket", F.explode(F.sequence(_at(a, width), _at(b, width))))
+    hit = left.join(right, [*keys, "__level", "__bucket"]).filter((F.col(a) < F.col("__e")) & (F.col(b) > F.col("__s")))
     return rows.join(hit.select("__rid", F.lit(True).alias("__hit")).distinct(), "__rid", "left").withColumn(name, F.col("__hit").isNotNull()).drop("__rid", "__hit")

@@ -80,5 +80,5 @@ def suppressed_boxes(rows: DataFrame, keys: list[str], most_overlap: float = 0.5
             if picked:
                 yield rows.iloc[np.concatenate(picked)]
 
-    sorted_ = rows.repartition(*keys).sortWithinPartitions(*keys, F.desc("score"), "x0", "y0")
+    sorted_ = rows.repartition(*keys).sortWithinPartitions(*keys, F.desc("score"), "x0", "y0", "x1", "y1")
     return sorted_.mapInPandas(keep, rows.schema)

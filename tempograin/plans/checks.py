@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import rnd
 from ..registry import query
 from ..streaming.windows import tumbling_counts
-from .base import table
-
-
-def report(checks: list[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """One row for each (name, rows, violates): the violations, and passed if none."""
-    out = None
-    for name, rows, violates in checks:
-        one = rows.agg(F.count_if(violates).alias("n")).select(F.lit(name).alias("check_name"), F.concat(F.col("n").cast("string"), F.lit(" violations")).alias("detail"), (F.col("n") == 0).alias("passed"))
-        out = one if out is None else out.unionByName(one)
-    return out
+from .base import report, table
 
 
 _VIOLATIONS = [

@@ -35,33 +35,37 @@ class Extractor:
 
 
 def resolve(extractors: list[Extractor], only: list[str] | None = None) -> list[Extractor]:
-    """Those named and all they require, in the order given. Unknown names and
-    requirements that don't come before are errors."""
-    by_name = {e.name: e for e in extractors}
-    if unknown := [n for n in only or [] if n not in by_name]:
-        raise ValueError(f"unknown extractors {unknown}; known: {list(by_name)}")
-    wanted, todo = set(), list(only or by_name)
-    while todo:
-        n = todo.pop()
-        if n not in wanted:
-            wanted.add(n)
-            todo += by_name[n].requires if n in by_name else []
-    chosen, seen = [e for e in extractors if e.name in wanted], set()
-    for e in chosen:
-        if late := [r for r in e.requires if r not in seen]:
-            raise ValueError(f"extractor {e.name!r} requires {late}, which don't run before it")
-        seen.add(e.name)
-    return chosen
+    """Those named, or all, and what they require, in the order given. A name that
+    nothing has, or one that runs behind what requires it, is an error."""
+    place = {e.name: i for i, e in enumerate(extractors)}
+    needed = set(only or place)
+    for i, e in reversed(list(enumerate(extractors))):
+        if e.name in needed:
+            needed.update(e.requires)
+            if behind := [r for r in e.requires if place.get(r, -1) > i]:
+                raise ValueError(f"{e.name} requires {', '.join(behind)} before it")
+    if missing := needed - set(place):
+        raise ValueError(f"unknown names: {', '.join(sorted(missing))}")
+    return [e for e in extractors if e.name in needed]
+
+
+def describe(extractors: list[Extractor]) -> str:
+    """A Markdown table of the extractors, in the order they run."""
+    lines = ["| Extractor | Version | Fills | Requires |", "|---|---|---|---|"]
+    return "\n".join([*lines, *(f"| {e.name} | {e.version} | {', '.join(e.tables)} | {', '.join(e.requires) or '-'} |" for e in resolve(extractors))])
 
 
 def discover(spark: SparkSession, folder: str) -> DataFrame:
     """creative_id, title, source_label, file_name, file_sha256, file_size_bytes,
-    content of each video below a folder, in order of its name."""
+    content of each video below a folder, in order of its name; a folder without
+    any is an error."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     stem = F.regexp_replace(F.url_decode(name), r"\.[^.]*$", "")
     title, label = title_and_label(stem)
     videos = files.filter(F.lower(F.element_at(F.split("path", "[.]"), -1)).isin(*VIDEO_SUFFIXES))
+    if videos.select("path").isEmpty():
+        raise ValueError(f"no video below {folder}: looked for {', '.join(VIDEO_SUFFIXES)}")
     return videos.select(slug(stem).alias("creative_id"), title.alias("title"), label.alias("source_label"), F.url_decode(name).alias("file_name"), F.sha2("content", 256).alias("file_sha256"), F.col("length").alias("file_size_bytes"), "content").orderBy("file_name")
 
 

@@ -60,7 +60,12 @@ def largest_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return largest(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_extendedprice", "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "is_largest")
 
 
-@query()
+@query("""WITH RECURSIVE b AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY score DESC, x0, y0, x1, y1) AS r FROM (SELECT l_orderkey, l_extendedprice % 1 AS x0, 0.0::DOUBLE AS y0, l_extendedprice % 1 + l_quantity / 50 AS x1, l_quantity / 50 AS y1, 1 - l_discount AS score FROM lineitem)),
+k AS (SELECT l_orderkey, r, [{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'score': score}] AS kept FROM b WHERE r = 1
+UNION ALL SELECT k.l_orderkey, b.r, CASE WHEN len(list_filter(kept, lambda q: greatest(least(q.x1, b.x1) - greatest(q.x0, b.x0), 0) * least(q.y1, b.y1) > 0.5 * ((q.x1 - q.x0) * q.y1 + (b.x1 - b.x0) * b.y1 - greatest(least(q.x1, b.x1) - greatest(q.x0, b.x0), 0) * least(q.y1, b.y1)))) = 0
+ THEN list_append(kept, {'x0': b.x0, 'y0': b.y0, 'x1': b.x1, 'y1': b.y1, 'score': b.score}) ELSE kept END FROM k JOIN b ON b.l_orderkey = k.l_orderkey AND b.r = k.r + 1),
+last AS (SELECT l_orderkey, arg_max(kept, r) AS kept FROM k GROUP BY 1)
+SELECT l_orderkey, q.x0 AS x0, q.y0 AS y0, q.x1 AS x1, q.y1 AS y1, q.score AS score FROM (SELECT l_orderkey, unnest(kept) AS q FROM last)""")
 def nms_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes made of items (size from quantity, place from price), suppressed in each order."""
     side, at = F.col("l_quantity") / 50, F.col("l_extendedprice") % 1

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,31 +26,24 @@ def conform(rows: DataFrame, schema: StructType) -> DataFrame:
 
 def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A raw table by its declared schema. A file whose column is all null has a
-    physical type of its own, which no common schema reads; so files are read in
+    physical type of its own, which no common schema reads; so tasks read the
+    schemas of the files (one file is one creative's rows), and files are read in
     groups of equal physical schema, cast, and united by name."""
-    schema = RAW[name]
-    paths = [p for p in _files(spark, f"{folder}/{name}")]
-    if not paths:
+    schema, root = RAW[name], f"{folder}/{name}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], schema)
-    groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(spark.read.parquet(p).schema.simpleString(), []).append(p)
-    return union_by_name([conform(spark.read.parquet(*g), schema) for g in groups.values()])
-
-
-def _files(spark: SparkSession, folder: str) -> list[str]:
-    """Parquet files below a folder, by Hadoop's file system, so any store works."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return []
-    found, files = [], fs.listFiles(root, True)
-    while files.hasNext():
-        path = files.next().getPath()
-        if path.getName().endswith(".parquet"):
-            found.append(path.toString())
-    return sorted(found)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    groups = files.select("path", "content").mapInArrow(_physical, "path string, kind string").groupBy("kind").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    tables = [conform(spark.read.parquet(*g["paths"]), schema) for g in groups.orderBy("kind").collect()]
+    return union_by_name(tables) if tables else spark.createDataFrame([], schema)
+
+
+def _physical(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The physical schema of each file."""
+    for b in batches:
+        kinds = [str(pq.read_schema(pa.BufferReader(x.as_buffer())).remove_metadata()) for x in b.column("content")]
+        yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(kinds, pa.string())], names=["path", "kind"])
 
 
 def raw_views(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

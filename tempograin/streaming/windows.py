@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sequences import latest_per_key
+from ..sources.lineage import shared_dir
+
 LATE = "2 hours"
 
 
@@ -18,32 +20,29 @@ def event_stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return files.withColumn("at", F.to_timestamp("ts"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, a
-    temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
-
-
-def drained(rows: DataFrame, mode: str) -> DataFrame:
+def drained(rows: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
     """Runs the stream over all that is there and returns what it wrote. In
-    complete mode the last batch holds the whole result and is the one read."""
+    update mode a batch writes only the rows that it changed, and the last of each
+    key counts. A batch that is run again overwrites its own folder; a source without
+    rows gives an empty table."""
     spark = rows.sparkSession
-    folder = shared_folder(spark)
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def write(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/out/{'all' if mode == 'complete' else n}")
+        batch.write.mode("overwrite").parquet(f"{folder}/out/__batch={n}")
 
+    write(spark.createDataFrame([], rows.schema), -1)
     q = rows.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").foreachBatch(write).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out")
+    found = spark.read.parquet(f"{folder}/out")
+    return (latest_per_key(found, keys, ["__batch"]) if keys else found).drop("__batch")
 
 
 def tumbling_counts(spark: SparkSession, folder: str, pattern: str, width: str) -> DataFrame:
     """event_type, start, n, total for each window."""
     events = event_stream(spark, folder, pattern)
     counts = events.groupBy("event_type", F.window("at", width).alias("w")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-    return drained(counts.select("event_type", F.col("w.start").alias("start"), "n", "total"), "complete")
+    return drained(counts.select("event_type", F.col("w.start").alias("start"), "n", "total"), "update", ["event_type", "start"])
 
 
 def session_counts(events: DataFrame, key: str, gap: str) -> DataFrame:

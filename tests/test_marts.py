@@ -125,3 +125,16 @@ def test_analysis(spark, made):
     assert len(performance) == 2 and performance[0]["n_sessions"] == 12
     again = audience.generate(spark, made["creative_seconds"], 12)
     assert again["biometric_seconds"].exceptAll(t["biometric_seconds"]).isEmpty()
+
+
+def test_panel_is_found_again(spark, sf_dir):
+    """All fourteen checks hold on a generated panel."""
+    from tempograin.plans import creative_marts, footage
+
+    seconds = creative_marts._seconds(footage.raw_tables(spark, sf_dir))[1].cache()
+    t = audience.generate(spark, seconds, 300)
+    t["biometric_seconds"] = t["biometric_seconds"].cache()
+    checks = audience.validate(t, seconds).collect()
+    assert len(checks) == 14 and all(r["passed"] for r in checks)
+    t["biometric_seconds"].unpersist()
+    seconds.unpersist()

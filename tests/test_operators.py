@@ -37,6 +37,10 @@ def test_as_of_and_ranges(spark):
     iv = spark.createDataFrame(spans, "n int, k string, a double, b double")
     got = sorted((r["i"], r["n"]) for r in timejoin.points_in_intervals(p, iv, ["k"], "t", "a", "b", 7.0).collect())
     assert got == sorted((i, n) for i, k, t in points for n, kk, a, b in spans if k == kk and a <= t < b)
+    long = spark.createDataFrame([(0, "a", 0.0, 1e9), (1, "a", 3.0, 4.0), (2, "b", 10.0, 900.0)], "n int, k string, a double, b double")  # buckets of three levels
+    got = sorted((r["i"], r["n"]) for r in timejoin.points_in_intervals(p, long, ["k"], "t", "a", "b", 0.5).collect())
+    assert got == sorted((i, n) for i, k, t in points for n, kk, a, b in ((0, "a", 0.0, 1e9), (1, "a", 3.0, 4.0), (2, "b", 10.0, 900.0)) if k == kk and a <= t < b)
+    assert {r["i"]: r["n"] for r in timejoin.asof_small(p, s, ["k"], "t", "s", ["n"], most=5).collect()} == want
     frames = p.select("i", "k", F.col("t").alias("from"), (F.col("t") + 0.25).alias("to"))
     flags = {r["i"]: r["hit"] for r in timejoin.overlap_flag(frames, iv, ["k"], ("from", "to"), ("a", "b"), 7.0, "hit").collect()}
     assert flags == {i: any(k == kk and t < b and t + 0.25 > a and b > a for _, kk, a, b in spans) for i, k, t in points}
@@ -63,6 +67,7 @@ def test_columns(spark):
     fps = spark.createDataFrame([("30000/1001",), ("25",), ("1/0",), ("x",)], "f string").select(C.rational("f").alias("f")).collect()
     assert [None if r["f"] is None else round(r["f"], 3) for r in fps] == [29.97, 25.0, None, None]
     assert spark.range(1).select(C.slug(F.lit(" Hello,  World_2 - x! ")).alias("s")).first()["s"] == "hello-world-2-x"
+    assert spark.range(1).select(C.slug(F.lit("Été à Łódź")).alias("s")).first()["s"] == "ete-a-odz"
 
 
 def test_statistics(spark):
