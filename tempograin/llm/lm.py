@@ -32,23 +32,23 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, joined, mix64, slices, stored, word_hashes, word_spans
 
 GROUP_TOKENS, SLICE = 2_000_000, 8 << 20
-#: Words that are sent as places in a list of them (8 MB); others are sent as hashes.
-TOP_WORDS = 1_000_000
+#: Words that are sent as places in a list of them (64 MB), at most; others are sent as hashes.
+TOP_WORDS = 8_000_000
 BURN_IN, SAMPLES, BLOCKS = 2, 2, 4
 #: Discount and strength of the context restaurants, and of the parent.
 D, THETA, D0, THETA0 = 0.75, 2.0, 0.6, 10.0
-_BASE_UNITS, _SCORE_UNITS = float(1 << 24), float(1 << 16)
+_BASE_UNITS, _SCORE_UNITS = float(1 << 20), float(1 << 16)
 _END = np.uint64(0x9D39247E33776D41)
 _ZSTD = pa.Codec("zstd", 1)
 
@@ -171,7 +171,8 @@ def _dealt(shared: Shared, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each group a blob: contexts, dishes, texts and counts, sorted."""
+    """For each group a blob: contexts, dishes, texts and counts, sorted. The
+    texts are known by their places in the slice, whose ids come with its first blob."""
     for b in slices(batches, most=SLICE):
         token, before, of, group = _dealt(shared, b)
         order = np.argsort(token, kind="stable")
@@ -189,6 +190,7 @@ def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         rid, train = b.column("rid").to_numpy(), b.column("train").to_numpy(zero_copy_only=False).astype(np.uint8)
         bounds = np.searchsorted(g[pair], np.arange(shared.groups + 1))
         groups, blobs = [], []
+        name = int(np.bitwise_xor.reduce(mix64(rid.view(np.uint64) + np.arange(len(rid), dtype=np.uint64))).view(np.int64)) if len(rid) else 0
         for i in np.flatnonzero(np.diff(bounds)).tolist():
             p = pair[bounds[i] : bounds[i + 1]]
             low = first_entry[bounds[i]]
@@ -198,18 +200,19 @@ def _pack(shared: Shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             known, dish = np.unique(w[p], return_inverse=True)
             entries = np.diff(np.append(first_entry[bounds[i] : bounds[i + 1]], high)).astype(np.uint32)
             groups.append(i)
-            blobs.append(_squeeze(*_coded(shared.top, u[p][new]), np.diff(np.append(new, len(p))).astype(np.uint32), *_coded(shared.top, known), dish.astype(np.uint32), entries, local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], rid[docs], train[docs]))
-        yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(blobs, pa.binary())], names=["group", "blob"])
+            blobs.append(_squeeze(*_coded(shared.top, u[p][new]), np.diff(np.append(new, len(p))).astype(np.uint32), *_coded(shared.top, known), dish.astype(np.uint32), entries, local.astype(np.uint32 if len(docs) > 65536 else np.uint16), times[low:high], np.isin(np.arange(b.num_rows), docs), train[docs], rid if not groups[1:] else rid[:0]))
+        yield pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array([name] * len(groups), pa.int64()), pa.array(blobs, pa.binary())], names=["group", "slice", "blob"])
 
 
 class Group:
     """All tokens of a group's contexts: pairs (context, dish) with the training
     customers, and entries (pair, text, times)."""
 
-    def __init__(self, shared: Shared, blobs: list[bytes]):
-        dish, context, count, entry_pair, text, times, rids, n_pairs, n_docs = [], [], [], [], [], [], [], 0, 0
-        for blob in blobs:
-            *u, u_n, w0, w1, w2, w, n, doc, tf, rid, train = _spread(blob)
+    def __init__(self, shared: Shared, blobs: list[tuple[int, bytes]]):
+        dish, context, count, entry_pair, text, times, n_pairs, n_docs = [], [], [], [], [], [], 0, 0
+        self.slices: list[tuple[int, np.ndarray, np.ndarray]] = []  # name, which of its texts are here, ids of all or none
+        for name, blob in blobs:
+            *u, u_n, w0, w1, w2, w, n, doc, tf, here, train, rids = _spread(blob)
             u, known = _decoded(shared.top, *u), _decoded(shared.top, w0, w1, w2)
             pair = np.repeat(np.arange(len(w), dtype=np.int32), n)
             context.append(np.repeat(u, u_n))
@@ -218,9 +221,9 @@ class Group:
             entry_pair.append(pair + np.int32(n_pairs))
             text.append(doc.astype(np.int32) + np.int32(n_docs))
             times.append(tf)
-            rids.append(rid)
-            n_pairs, n_docs = n_pairs + len(w), n_docs + len(rid)
-        self.rids, self.text, self.times = np.concatenate(rids), np.concatenate(text), np.concatenate(times)
+            self.slices.append((name, here, rids))
+            n_pairs, n_docs = n_pairs + len(w), n_docs + len(train)
+        self.texts, self.text, self.times = n_docs, np.concatenate(text), np.concatenate(times)
         self.dishes, w = np.unique(np.concatenate(dish), return_inverse=True)
         self.contexts, u = np.unique(np.concatenate(context), return_inverse=True)
         key, inverse = np.unique(u << 32 | w, return_inverse=True)
@@ -392,28 +395,40 @@ def _predictive(shared: Shared, group: Group, number: int, answers: list[bytes])
     return p / SAMPLES, columns[0][own]
 
 
-def _scores(shared: Shared, group: Group, number: int, answers: list[bytes]) -> list[bytes]:
-    """For each block of texts: rid, tokens, known, base and score of the group's tokens."""
+def _scores(shared: Shared, group: Group, number: int, answers: list[bytes]) -> list[tuple[int, bytes]]:
+    """For each slice of texts: which have tokens here, and of those the number of
+    tokens, of known ones, base and score; the ids of all, if they came here."""
     p, dish_count = _predictive(shared, group, number, answers)
     base = np.log10((dish_count + 1.0) / (shared.tokens + shared.vocabulary + 1))[group.dish]
     of_pairs = (np.ones(len(p)), dish_count[group.dish] > 0, base, np.log10(p))
-    sums = [np.bincount(group.text, group.times * x[group.pair], minlength=len(group.rids)) for x in of_pairs]
-    block = (mix64(group.rids.view(np.uint64)) % np.uint64(shared.groups)).astype(np.int64)
-    order = np.argsort(block, kind="stable")
-    bounds = np.searchsorted(block[order], np.arange(shared.groups + 1))
-    # Log probabilities as whole numbers of 2**-24 and 2**-16 take half the bytes.
-    columns = [group.rids, sums[0].astype(np.uint32), sums[1].astype(np.uint32), np.round(sums[2] * _BASE_UNITS).astype(np.int64), np.round(sums[3] * _SCORE_UNITS).astype(np.int64)]
-    return [_squeeze(*(c[order[i:j]] for c in columns)) for i, j in zip(bounds, bounds[1:], strict=False)]
+    sums = [np.bincount(group.text, group.times * x[group.pair], minlength=group.texts) for x in of_pairs]
+    # Log probabilities as whole numbers of 2**-20 and 2**-16 take half the bytes.
+    columns = [sums[0].astype(np.uint32), sums[1].astype(np.uint32), np.round(sums[2] * _BASE_UNITS).astype(np.int64), np.round(sums[3] * _SCORE_UNITS).astype(np.int64)]
+    out, at = [], 0
+    for name, here, rids in group.slices:
+        end = at + int(here.sum())
+        out.append((name, _squeeze(here, *(c[at:end] for c in columns), rids)))
+        at = end
+    return out
+
+
+def _summed(blobs: list[bytes]) -> list[np.ndarray]:
+    """Of a slice's texts: ids, tokens, known ones, base and score."""
+    rows = [_spread(x) for x in blobs]
+    sums = [np.zeros(len(rows[0][0]), dtype=np.int64) for _ in range(4)]
+    for here, *columns, _ in rows:
+        for total, c in zip(sums, columns, strict=True):
+            total[here] += c
+    return [next(r[-1] for r in rows if len(r[-1])), *sums[:2], sums[2] / _BASE_UNITS, sums[3] / _SCORE_UNITS]
 
 
 def _blobs(table: pa.Table, key: str) -> dict[int, bytes]:
     return dict(sorted(zip(table.column(key).to_pylist(), table.column("blob").to_pylist(), strict=True)))
 
 
-def _rows(blobs: dict[int, bytes] | list[bytes], **columns: int) -> pa.Table:
-    """A row for each blob, numbered by ``to`` or the key of the dict; other columns are constant."""
-    to = list(blobs) if isinstance(blobs, dict) else list(range(len(blobs)))
-    rows = list(blobs.values()) if isinstance(blobs, dict) else blobs
+def _rows(blobs: Iterable[tuple[int, bytes]], **columns: int) -> pa.Table:
+    """A row for each number and blob; other columns are constant."""
+    to, rows = zip(*blobs, strict=True)
     names = {"to": pa.array(to, pa.int64())} | {c: pa.array([x] * len(to), pa.int64()) for c, x in columns.items()}
     return pa.table({**names, "blob": pa.array(rows, pa.binary())})
 
@@ -431,40 +446,43 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
     frequent = counts.filter((F.col("n") * 4 * groups >= n) & F.lit(groups > 1)).toArrow()
     word, count = frequent.column("token").to_numpy().view(np.uint64), frequent.column("n").to_numpy()
     order = np.argsort(word)
-    top = np.sort(counts.orderBy(F.desc("n"), "token").limit(TOP_WORDS).select("token").toArrow().column("token").to_numpy().view(np.uint64))
+    # The most frequent words, down to a count that all of them reach; counts in some hundred classes.
+    size, at_least = F.floor(F.log2("n") * 8), 0
+    for r in counts.groupBy(size.alias("size")).agg(F.count("*").alias("words"), F.min("n").alias("least")).withColumn("words", F.sum("words").over(Window.orderBy(F.desc("size")))).orderBy("size").collect():
+        at_least = r["least"]
+        if r["words"] <= TOP_WORDS:
+            break
+    top = np.sort(counts.filter(F.col("n") >= at_least).select("token").toArrow().column("token").to_numpy().view(np.uint64))
     held = spark.sparkContext.broadcast(Shared(int(n), int(v), int(groups), word[order], count[order], int(group_tokens), top))
 
     def group_of(table: pa.Table) -> tuple[int, Group]:
-        return table.column("group")[0].as_py(), Group(held.value, table.column("blob").to_pylist())
+        return table.column("group")[0].as_py(), Group(held.value, list(zip(table.column("slice").to_pylist(), table.column("blob").to_pylist(), strict=True)))
 
     def tell_first(table: pa.Table) -> pa.Table:
         number, group = group_of(table)
-        return _rows(_tell_first(held.value, group), of=number)
+        return _rows(enumerate(_tell_first(held.value, group)), of=number)
 
     def answer_first(told: pa.Table) -> pa.Table:
         number = told.column("to")[0].as_py()
-        return _rows(_answer(held.value, number, _blobs(told, "of"), None), of=number)
+        return _rows(_answer(held.value, number, _blobs(told, "of"), None).items(), of=number)
 
     def tell_second(table: pa.Table, answers: pa.Table) -> pa.Table:
         number, group = group_of(table)
-        return _rows(_tell_second(held.value, group, number, list(_blobs(answers, "of").values())), of=number)
+        return _rows(enumerate(_tell_second(held.value, group, number, list(_blobs(answers, "of").values()))), of=number)
 
     def answer_second(first: pa.Table, second: pa.Table) -> pa.Table:
         number = first.column("to")[0].as_py()
-        return _rows(_answer(held.value, number, _blobs(first, "of"), _blobs(second, "of")), of=number)
+        return _rows(_answer(held.value, number, _blobs(first, "of"), _blobs(second, "of")).items(), of=number)
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         number, group = group_of(table)
         return _rows(_scores(held.value, group, number, list(_blobs(answers, "of").values())))
 
     def summed(table: pa.Table) -> pa.Table:
-        columns = [np.concatenate(c) for c in zip(*(_spread(x) for x in table.column("blob").to_pylist()), strict=True)]
-        rid, inverse = np.unique(columns[0], return_inverse=True)
-        sums = [np.bincount(inverse, c, minlength=len(rid)) for c in columns[1:]]
-        return pa.table([pa.array(rid), *(pa.array(x.astype(np.int64)) for x in sums[:2]), *(pa.array(x.astype(float) / unit) for x, unit in zip(sums[2:], (_BASE_UNITS, _SCORE_UNITS), strict=True))], names=["rid", "n_tokens", "n_known", "base_score", "score"])
+        return pa.table([pa.array(x) for x in _summed(table.column("blob").to_pylist())], names=["rid", "n_tokens", "n_known", "base_score", "score"])
 
     # One plan: the shuffles of packed tokens and first messages are read again by what comes later.
-    packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, blob binary")
+    packed = rows.select("rid", "train", "text").mapInArrow(lambda it: _pack(held.value, it), "group long, slice long, blob binary")
     message = "to long, of long, blob binary"
     first = packed.groupBy("group").applyInArrow(tell_first, message)
     answers = first.groupBy("to").applyInArrow(answer_first, message)
@@ -472,6 +490,7 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
     answers = first.groupBy("to").cogroup(second.groupBy("to")).applyInArrow(answer_second, message)
     parts = packed.groupBy("group").cogroup(answers.groupBy("to")).applyInArrow(score, "to long, blob binary")
     sums = parts.groupBy("to").applyInArrow(summed, "rid long, n_tokens long, n_known long, base_score double, score double")
+    sums = sums.groupBy("rid").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     ids = rows.groupBy("rid").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("train").alias("train"), F.count("*").alias("rows"))
     out = ids.join(sums, "rid").withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     whole = [(F.col(c) / F.col("rows")).cast("long").alias(c) for c in ("n_tokens", "n_known")]

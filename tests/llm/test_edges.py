@@ -196,7 +196,7 @@ def _in_process(rows, groups, most):
     shared = lm.Shared(int(n.sum()), len(word), groups, word[hot], n[hot], most, word[::2])
     blobs = {}
     for out in lm._pack(shared, iter([b.slice(i, 40) for i in range(0, b.num_rows, 40)])):
-        for g, x in zip(out.column("group").to_pylist(), out.column("blob").to_pylist(), strict=True):
+        for g, *x in zip(*(c.to_pylist() for c in out.columns), strict=True):
             blobs.setdefault(g, []).append(x)
     group = {g: lm.Group(shared, x) for g, x in sorted(blobs.items())}
     first = {g: lm._tell_first(shared, x) for g, x in group.items()}
