@@ -10,14 +10,15 @@ smallest document.
 
 Passages repeat whatever the line breaks: of every ``STEP`` consecutive windows
 of ``WINDOW`` words one is sampled (the smallest hash), so that any run of ``RUN``
-words that occurs twice shares a sample. Around the samples that repeat the windows at
+words that occurs twice shares a sample; the first window of each paragraph is one
+too. Around the samples that repeat the windows at
 the ends are looked up in all texts, and windows that overlap are joined; joined runs of
 ``RUN`` words or more are passages. Windows of fewer than ``DISTINCT`` different words
 (junk, rules of tables) are none.
 
-Only paragraphs with a sample that repeats are banded; that loses none. With e words
-changed, n words keep a similarity of 0.8 only if n - 4 >= 45 e, so some run of
-24 words or more is unchanged, and an unchanged run of ``RUN`` words has a sample. The
+Only paragraphs with a sample that repeats are banded; that loses none. Equal ones
+share their first window. With e words changed, n words keep a similarity of 0.8
+only if n - 4 >= 45 e, so some run of ``RUN`` words is unchanged, and has a sample. The
 same holds for passages: one of over 50 words with a copy of similarity 0.8 has
 such a run unchanged.
 
@@ -46,7 +47,7 @@ from .bloom import BlockedBloom
 from .common import LOWER, SPACES, guarded, joined, schema_of, slices, stored, window_hashes, word_hashes, word_spans
 
 BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 8, 2, 5, 80, 20
-WINDOW, STEP, DISTINCT = 12, 9, 6
+WINDOW, STEP, DISTINCT = 13, 12, 6
 RUN = WINDOW + STEP - 1
 
 
@@ -74,8 +75,12 @@ def _words(batch: pa.RecordBatch) -> Words:
     if len(words) >= RUN:
         first = np.flatnonzero(of[: len(of) - RUN + 1] == of[RUN - 1 :])
         least = np.lib.stride_tricks.sliding_window_view(h, STEP).argmin(axis=1)
-        at = np.unique(first + least[first])
-    return Words(starts, np.flatnonzero(data == 10), words, of, s, e, h, at)  # a text ends in one more newline
+        at = first + least[first]
+    ends = np.flatnonzero(data == 10)  # a text ends in one more newline
+    line = np.searchsorted(ends, s)
+    begin = np.flatnonzero(np.diff(line, prepend=-1))
+    long = begin[np.diff(np.append(begin, len(line))) >= LEAST_WORDS]
+    return Words(starts, ends, words, of, s, e, h, np.union1d(at, long).astype(np.int64))
 
 
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +237,12 @@ def repeated_passages(docs: DataFrame, shared: Broadcast | None = None) -> DataF
     found = stored(slim.mapInArrow(_occurrences(filter_, sought), schema))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row", "word")
     again = found.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("keep")).filter("n > 1")
-    rows = found.join(again, "h").withColumn("removed", place != F.col("keep"))
+    rows = found.join(again, "h").select("doc_id", "__row", "word", "from_byte", "to_byte", F.col("n").cast("int").alias("n"), (place != F.col("keep")).alias("removed"), F.col("keep.last").alias("last"), F.col("keep.doc_id").alias("first_id"))
     w = Window.partitionBy("doc_id", "__row").orderBy("word")
     joins = (F.col("word") - F.lag("word").over(w) <= WINDOW) & (F.col("removed") == F.lag("removed").over(w))
     rows = rows.withColumn("new", F.when(joins, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
-    least = F.min(F.struct("keep.last", "keep.doc_id"))["doc_id"]
-    runs = rows.groupBy("doc_id", "__row", "run").agg(F.min("word").cast("long").alias("word"), (F.max("word") - F.min("word") + WINDOW).cast("long").alias("n_words"), F.min("from_byte").cast("long").alias("from_byte"), F.max("to_byte").cast("long").alias("to_byte"), least.alias("component_id"), F.max("n").alias("n_copies"), F.any_value("removed").alias("removed"))
+    least = F.min(F.struct("last", "first_id"))["first_id"]
+    runs = rows.groupBy("doc_id", "__row", "run").agg(F.min("word").cast("long").alias("word"), (F.max("word") - F.min("word") + WINDOW).cast("long").alias("n_words"), F.min("from_byte").cast("long").alias("from_byte"), F.max("to_byte").cast("long").alias("to_byte"), least.alias("component_id"), F.max("n").cast("long").alias("n_copies"), F.any_value("removed").alias("removed"))
     return runs.filter(F.col("n_words") >= RUN).drop("run")
 
 

@@ -101,6 +101,32 @@ def test_crowded_nodes(spark):
     assert sum(got[d] == want[d] for d in want) >= 118
 
 
+def recall_corpus(n):
+    """n documents that share 150 words, in families of three which share 100 more
+    and differ in a few; links of similarity 0.8 or more are inside families only."""
+    rng = np.random.default_rng(7)
+    common = [f"c{i}" for i in range(150)]
+    rows = []
+    for f in range(n // 3):
+        own = [f"f{f}x{i}" for i in range(100)]
+        for m in range(3):
+            w = common + own
+            for at in rng.choice(250, rng.integers(0, 6), replace=False):
+                w[at] = f"d{f}y{m}z{at}"
+            rows.append((3 * f + m, " ".join(w)))
+    sets = [brute.shingles(x, 5) for _, x in rows]
+    links = [(i, j) for f in range(0, len(rows), 3) for i, j in ((f, f + 1), (f, f + 2), (f + 1, f + 2)) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    return rows, links
+
+
+def test_recall_of_crowded_nodes(spark):
+    """All documents meet in crowded nodes; of the links at least 99 in 100 are found, and no other."""
+    rows, links = recall_corpus(1_200)
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()}
+    assert len(links) > 500 and sum(found[i] == found[j] for i, j in links) >= 0.99 * len(links)
+    assert all(c // 3 == d // 3 for d, c in found.items())
+
+
 def test_components(spark):
     chain = [(f"{i:04d}".encode(), f"{i + 1:04d}".encode()) for i in range(40)] + [(b"x", b"y")]
     labels = {bytes(r["cls"]): bytes(r["label"]) for r in similar.components(spark.createDataFrame(chain, "a binary, b binary")).collect()}
@@ -154,6 +180,25 @@ def test_pii_terms(spark):
     assert all(not found[100 + i] for i in range(60))
 
 
+def test_pii_terms_however_long(spark):
+    """Terms among the six nearest count, however long the words between are."""
+    between = " ".join("z" * 60 + c for c in "abc")
+    tell = [(i, f"Zerrbrock {between} zed@castle.example nothing number {i}") for i in range(4)]
+    filler = [(100 + i, f"plain words about nothing at all number {i}") for i in range(60)]
+    found = {r["doc_id"]: [(s["kind"], s["start"]) for s in r["spans"]] for r in pii.find_spans(spark.createDataFrame(filler + tell, "doc_id long, text string")).collect()}
+    assert (4, 0) in found[0]
+
+
+def test_canonical_urls(spark):
+    """Lists are compared in canonical form, rules as written."""
+    urls_ = ["http://WWW.Bad.net:80/%61b", "https://u@bad.net./ab", "http://bad.net:8080/ab", "http://x.bad.net/ac", "http://" + "a." * 300 + "bad.net/ab" + "c" * 5000, "http://bad.net", None]
+    listed = spark.createDataFrame([("www.bad.net", "/%61b", "block", 0), ("bad.net", "/ac", "allow", 1)], "host string, path string, verdict string, level int")
+    got = [r["verdict"] for r in urls.judge_urls(spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string"), listed, "none").orderBy("page_id").collect()]
+    assert got == ["block", "block", "none", "allow", "block", "none", "none"]
+    pages = spark.createDataFrame([(f"http://www.thin.net/{i}", "x") for i in range(5)] + [(f"http://fat.net/{i}", "x" * 2000) for i in range(9)] + [(None, None)], "url string, html string")
+    assert [r["host"] for r in urls.thin_hosts(pages).collect()] == ["thin.net"]
+
+
 def test_urls(spark):
     pages = [(1, None), (2, "no scheme"), (3, "http://A.ORG"), (4, "http://x.org/p?q"), (5, "http://xorg/p"), (6, "https://e.example.org/es/a#b"), (6, "https://e.example.org/es/a#b"), (7, "http://b.bad.net/x")]
     listed = spark.createDataFrame([("org", "/", "allow", 1), ("example.org", "/es/", "block", 1), ("bad.net", "/", "block", 0), ("bad.net", "/", "block", 0)], "host string, path string, verdict string, level int")
