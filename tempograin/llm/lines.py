@@ -13,7 +13,9 @@ partition, gathered beforehand.
 
 Defined cases: null or empty text is one empty line; rows that share a doc_id
 are one document when documents are counted, and each row loses the lines that
-its document loses; a null doc_id is a document, below all others; an empty
+its document loses; a null doc_id is a document, below all others; a doc_id that
+is no whole number is an error; very long texts and lines are compared whole;
+further columns pass through the removal untouched, whatever their names; an empty
 table gives no bitmaps.
 """
 

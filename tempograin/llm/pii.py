@@ -14,7 +14,10 @@ and an exact join.
 Defined cases: null or empty text has no spans; a term is a run of letters
 (ASCII letters, lower-cased, and all characters beyond ASCII) of four bytes or
 more outside the patterns' spans; repeated rows are documents each; an empty
-table gives an empty result. Offsets are code points, ends exclusive.
+table gives an empty result; of entities that a term reveals equally surely the
+one of most documents, then of the largest hash, counts; very long texts are
+scanned whole; further columns pass through, but base, spans and __row are
+replaced. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations

@@ -10,7 +10,10 @@ smallest hash of their id. Counts and scores are of whole texts.
 
 Defined cases: a null or empty text has no words, so all counts are 0 and the
 base rule fails it; labels other than 0, 1 aren't learned from; with labels of
-one kind the classifier is constant; repeated rows are judged each.
+one kind the classifier is constant; repeated rows are judged each, alike
+whatever batch they come in; very long texts are judged whole; a probability equal
+to the threshold keeps; further columns pass through, but those named as a result
+are replaced.
 """
 
 from __future__ import annotations

@@ -43,8 +43,8 @@ TRAIN_ROWS = 6_000
 MIN_TEXTS = 4
 #: ... and if its log ratio is so many standard errors from 0.
 CLEAR = 2.5
-#: Rounds of choosing stretches and fitting; what the features are divided by; the penalty.
-ROUNDS, SCALE, L2 = 2, 8.0, 1e-4
+#: Rounds of choosing stretches and fitting; what the features are divided by; the penalty beside the summed loss.
+ROUNDS, SCALE, L2 = 2, 8.0, 0.5
 _MODEL = pa.schema([("weights", pa.binary()), ("a", pa.float64()), ("b", pa.float64())])
 
 
@@ -107,6 +107,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found += [_strongest(d, s, w) for d, s in other.texts]
         y += other.labels
     a, b = fit_platt(np.concatenate(found) if found else np.zeros(0), np.array(y, dtype=float))
+    # Multiples of 2**-16 add up exactly, so a score doesn't hang on what a batch holds.
+    weights = (np.round(weights.astype(float) * 65536) / 65536).astype(np.float32)
     yield to_batch({"weights": [weights.tobytes()], "a": [max(a, 0.0)], "b": [b]}, _MODEL)
 
 
@@ -137,7 +139,7 @@ def _fit_weights(rows: list[np.ndarray], texts: list[tuple[np.ndarray, np.ndarra
         if not len(cols):
             break
         names, cols = np.unique(cols, return_inverse=True)
-        w, _ = fit_logistic(of, cols, ratio[names][cols] / SCALE, y, len(names), l2=L2)
+        w, _ = fit_logistic(of, cols, ratio[names][cols] / SCALE, y, len(names), l2=L2 / len(y))
         weights = np.zeros(1 << BITS, dtype=np.float32)
         weights[names] = np.maximum(w, 0) * ratio[names] / SCALE
     return weights
