@@ -79,35 +79,97 @@ def _correlation(a: str, b: str) -> Column:
     return F.try_divide(product(away(a), away(b)), F.sqrt(product(away(a), away(a)) * product(away(b), away(b))))
 
 
+#: Samples of a short spectrum and of the step to the next; bins or spectra of the median that tells steady from sudden.
+SHORT, HOP, AROUND = 512, 128, 17
+
+
+def _short_spectra(y: np.ndarray) -> np.ndarray:
+    """Magnitudes of the short spectra, one a row; none of fewer samples than one."""
+    if len(y) < SHORT:
+        return np.zeros((0, SHORT // 2 + 1))
+    return np.abs(np.fft.rfft(np.lib.stride_tricks.sliding_window_view(y, SHORT)[::HOP] * np.hanning(SHORT), axis=1))
+
+
+def _medians(x: np.ndarray, axis: int) -> np.ndarray:
+    edge = [(0, 0), (0, 0)]
+    edge[axis] = (AROUND // 2, AROUND // 2)
+    return np.median(np.lib.stride_tricks.sliding_window_view(np.pad(x, edge, mode="edge"), AROUND, axis=axis), axis=-1)
+
+
+def _steadiness(spectra: np.ndarray) -> float:
+    """Share of the level that is steady in time rather than spread over pitch."""
+    if not spectra.size or not spectra.any():
+        return 0.0
+    steady, sudden = _medians(spectra, 0) ** 2, _medians(spectra, 1) ** 2
+    mask = steady / np.maximum(steady + sudden, 1e-20)
+    level = [float(np.sqrt(((spectra * m) ** 2).mean())) for m in (mask, 1 - mask)]
+    return level[0] / max(sum(level), 1e-9)
+
+
+def _rises(spectra: np.ndarray) -> np.ndarray:
+    """Mean rise in decibels from each short spectrum to the next."""
+    loud = 20 * np.log10(np.maximum(spectra, 1e-5))
+    return np.maximum(np.diff(loud, axis=0), 0).mean(axis=1) if len(loud) > 1 else np.zeros(0)
+
+
+def tempo(sound: DataFrame) -> DataFrame:
+    """The same sound -> creative_id, tempo_bpm, n_beats: the period at which the
+    rises of a creative (some minutes) repeat most, of 60 to 200 a minute, those near
+    120 preferred; null without any rise."""
+
+    def one(key: tuple, frames: pd.DataFrame) -> pd.DataFrame:
+        frames = frames.sort_values("frame_index")
+        rate = float(frames.rate.iloc[0])
+        y = np.concatenate([np.asarray(x, dtype=float) for x in frames.samples])
+        rises = _rises(_short_spectra(y))
+        bpm = None
+        if len(rises) and rises.std() > 1e-9:
+            z = np.fft.rfft(rises - rises.mean(), 2 * len(rises))
+            again = np.fft.irfft(np.abs(z) ** 2)[: len(rises)]
+            lag = np.arange(max(1, int(rate / HOP * 60 / 200)), min(len(rises), int(rate / HOP)) + 1)
+            lag = lag[lag < len(again)]
+            if len(lag):
+                beats = 60 * rate / HOP / lag
+                bpm = float(beats[np.argmax(again[lag] * np.exp(-0.5 * np.log2(beats / 120) ** 2))])
+        return pd.DataFrame({"creative_id": [key[0]], "tempo_bpm": [None if bpm is None else round(bpm, 2)], "n_beats": [0 if bpm is None else int(len(y) / rate * bpm / 60)]})
+
+    return sound.groupBy("creative_id").applyInPandas(one, "creative_id string, tempo_bpm double, n_beats long")
+
+
 def audio_frames(sound: DataFrame) -> DataFrame:
     """creative_id, frame_index, t_start_s, t_end_s, rate, samples (array of
-    floats, one frame period) -> level, spectrum and crossings of each frame."""
+    floats, one frame period) -> level, spectrum, crossings, rises and steadiness of each frame."""
     keys = ["creative_id", "frame_index", "t_start_s", "t_end_s"]
 
     def one(samples, rate: float) -> list[float]:
         y = np.asarray(samples, dtype=float)
         if not y.size:
-            return [0.0, 0.0, 0.0, 0.0, 0.0]
+            return [0.0] * 7
         power = np.abs(np.fft.rfft(y * np.hanning(len(y)))) + 1e-10
         at = np.fft.rfftfreq(len(y), 1 / rate)
         rolled = np.cumsum(power)
-        return [float(np.sqrt((y**2).mean())), float((at * power).sum() / power.sum()), float(np.exp(np.log(power**2).mean()) / (power**2).mean()), float(at[np.searchsorted(rolled, 0.85 * rolled[-1])]), float((np.diff(np.signbit(y)) != 0).mean()) if len(y) > 1 else 0.0]
+        return [float(np.sqrt((y**2).mean())), float((at * power).sum() / power.sum()), float(np.exp(np.log(power**2).mean()) / (power**2).mean()), float(at[np.searchsorted(rolled, 0.85 * rolled[-1])]), float((np.diff(np.signbit(y)) != 0).mean()) if len(y) > 1 else 0.0, *of_short(y)]
+
+    def of_short(y: np.ndarray) -> list[float]:
+        spectra = _short_spectra(y)
+        rises = _rises(spectra)
+        return [float(rises.mean()) if len(rises) else 0.0, _steadiness(spectra)]
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = pd.DataFrame([one(s, r) for s, r in zip(b.samples, b.rate, strict=True)], columns=["rms", "spectral_centroid_hz", "spectral_flatness", "spectral_rolloff_hz", "zero_crossing_rate"])
+            found = pd.DataFrame([one(s, r) for s, r in zip(b.samples, b.rate, strict=True)], columns=["rms", "spectral_centroid_hz", "spectral_flatness", "spectral_rolloff_hz", "zero_crossing_rate", "onset_strength", "harmonic_ratio"])
             yield pd.concat([b[keys].reset_index(drop=True), found], axis=1)
 
     kinds = {f.name: f.dataType.simpleString() for f in sound.schema}
-    rows = sound.select(*keys, "rate", "samples").mapInPandas(measure, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "rms double, spectral_centroid_hz double, spectral_flatness double, spectral_rolloff_hz double, zero_crossing_rate double"]))
+    rows = sound.select(*keys, "rate", "samples").mapInPandas(measure, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "rms double, spectral_centroid_hz double, spectral_flatness double, spectral_rolloff_hz double, zero_crossing_rate double, onset_strength double, harmonic_ratio double"]))
     level = 20.0 * F.log10(F.greatest("rms", F.lit(1e-9)))
-    return rows.select(*keys, rnd("rms", 6).alias("rms"), rnd(level, 3).alias("dbfs"), rnd("spectral_centroid_hz", 2).alias("spectral_centroid_hz"), rnd("spectral_flatness", 6).alias("spectral_flatness"), rnd("spectral_rolloff_hz", 2).alias("spectral_rolloff_hz"), rnd("zero_crossing_rate", 5).alias("zero_crossing_rate"), (level < SILENCE_DBFS).alias("is_silent"))
+    return rows.select(*keys, rnd("rms", 6).alias("rms"), rnd(level, 3).alias("dbfs"), rnd("spectral_centroid_hz", 2).alias("spectral_centroid_hz"), rnd("spectral_flatness", 6).alias("spectral_flatness"), rnd("spectral_rolloff_hz", 2).alias("spectral_rolloff_hz"), rnd("zero_crossing_rate", 5).alias("zero_crossing_rate"), rnd("onset_strength", 4).alias("onset_strength"), rnd("harmonic_ratio", 5).alias("harmonic_ratio"), (level < SILENCE_DBFS).alias("is_silent"))
 
 
 def audio_summary(frames: DataFrame) -> DataFrame:
     """Level and silence of each creative; means over what is audible."""
     loud = F.when(F.col("dbfs") >= SILENCE_DBFS, F.col("dbfs"))
-    return frames.groupBy("creative_id").agg(rnd(F.avg(loud), 3).alias("mean_dbfs"), rnd(F.max("dbfs"), 3).alias("peak_dbfs"), rnd(F.max(loud) - F.min(loud), 3).alias("dynamic_range_db"), rnd(F.avg(F.when(F.col("dbfs") < SILENCE_DBFS, 1.0).otherwise(0.0)), 4).alias("silence_share"))
+    return frames.groupBy("creative_id").agg(rnd(F.avg(loud), 3).alias("mean_dbfs"), rnd(F.max("dbfs"), 3).alias("peak_dbfs"), rnd(F.max(loud) - F.min(loud), 3).alias("dynamic_range_db"), rnd(F.avg(F.when(F.col("dbfs") < SILENCE_DBFS, 1.0).otherwise(0.0)), 4).alias("silence_share"), rnd(F.avg("harmonic_ratio"), 5).alias("mean_harmonic_ratio"))
 
 
 def _placed(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .catalog import CONTRACT
 
 #: Marts that are written as CSV too.
 CSV_MARTS = ("creative_summary", "shots", "creative_performance")
@@ -20,7 +23,10 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 
 def export_marts(marts: dict[str, DataFrame], folder: str) -> None:
+    """Each mart in the order of its key, nulls last: sorted ranges, so no task has all rows."""
     for name, rows in marts.items():
-        write_parquet(rows, f"{folder}/{name}.parquet")
+        keys = [F.col(k).asc_nulls_last() for k in CONTRACT.get(name, ("", "", ""))[1].split(", ") if k in rows.columns]
+        ordered = rows.orderBy(*keys) if keys else rows
+        write_parquet(ordered, f"{folder}/{name}.parquet")
         if name in CSV_MARTS:
-            write_csv(rows, f"{folder}/{name}.csv")
+            write_csv(ordered, f"{folder}/{name}.csv")

@@ -31,6 +31,20 @@ def test_sound(spark):
     assert s["silence_share"] == 0.6667 and s["mean_dbfs"] == s["peak_dbfs"] == one["dbfs"] and s["dynamic_range_db"] == 0.0
 
 
+def test_rhythm(spark):
+    """A steady tone is harmonic, clicks are not; two clicks a second are 120 a minute."""
+    rate, n = 16000, 8 * 4
+    tone = np.sin(2 * np.pi * 440 * np.arange(rate * 8) / rate)
+    clicks = np.zeros(rate * 8)
+    clicks[:: rate // 2] = 1.0
+    rows = [(c, i + 1, i / 4, (i + 1) / 4, float(rate), y[i * rate // 4 : (i + 1) * rate // 4].tolist()) for c, y in (("tone", tone), ("clicks", clicks), ("none", clicks * 0)) for i in range(n)]
+    df = spark.createDataFrame(rows, "creative_id string, frame_index long, t_start_s double, t_end_s double, rate double, samples array<float>")
+    s = {r["creative_id"]: r for r in features.audio_summary(features.audio_frames(df)).collect()}
+    assert s["tone"]["mean_harmonic_ratio"] > 0.9 > 0.5 > s["clicks"]["mean_harmonic_ratio"] and s["none"]["mean_harmonic_ratio"] == 0
+    beat = {r["creative_id"]: (r["tempo_bpm"], r["n_beats"]) for r in features.tempo(df).collect()}
+    assert abs(beat["clicks"][0] - 120) < 2 and abs(beat["clicks"][1] - 16) <= 1 and beat["none"] == (None, 0)
+
+
 def test_detections(spark):
     text = spark.createDataFrame([("a", 1, 0, " Hi ", 0.9, -10.0, 0.0, 50.0, 20.0, 100, 200), ("a", 1, 1, " ", 0.9, 0.0, 0.0, 1.0, 1.0, 100, 200), ("a", 1, 2, "x", 0.4, 0.0, 0.0, 1.0, 1.0, 100, 200)], "creative_id string, frame_index long, detection_index long, text string, score double, x0 double, y0 double, x1 double, y1 double, width int, height int")
     r = features.screen_text_detections(text).collect()
