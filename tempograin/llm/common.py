@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -151,6 +152,13 @@ def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix64(h)
 
 
+def release() -> None:
+    """Give back what is freed: workers wait for their next task with little memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of the batches, again, in batches of about a megabyte of text (or one row)."""
     for batch in batches:
@@ -160,8 +168,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 1
         for i, j in zip(bounds, bounds[1:], strict=False):
             if j > i:
                 yield batch.slice(i, j - i)
-        # What the batch's work has freed goes back before the next one comes.
-        pa.default_memory_pool().release_unused()
+        release()
 
 
 def to_batch(rows: dict[str, list | np.ndarray], schema: pa.Schema) -> pa.RecordBatch:

@@ -32,7 +32,7 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACES, joined, mix64, slices, stored, word_hashes, word_spans
+from .common import LOWER, SPACES, joined, mix64, release, slices, stored, word_hashes, word_spans
 
 GROUP_TOKENS, SLICE = 2_000_000, 8 << 20
 #: Words that are sent as places in a list of them (64 MB), at most; others are sent as hashes.
@@ -433,6 +433,18 @@ def _rows(blobs: Iterable[tuple[int, bytes]], **columns: int) -> pa.Table:
     return pa.table({**names, "blob": pa.array(rows, pa.binary())})
 
 
+def released(work: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """The work on a group, after which its memory is given back."""
+
+    def run(*tables: pa.Table) -> pa.Table:
+        out = work(*tables)
+        release()
+        return out
+
+    # Spark counts the parameters: one table, or the two of a cogroup.
+    return (lambda one, other: run(one, other)) if work.__code__.co_argcount == 2 else lambda table: run(table)
+
+
 def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """docs (doc_id, text) and which of them to learn from -> doc_id, train,
     n_tokens, n_known, train_tokens, base_score (unigrams with one added) and
@@ -458,22 +470,27 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
     def group_of(table: pa.Table) -> tuple[int, Group]:
         return table.column("group")[0].as_py(), Group(held.value, list(zip(table.column("slice").to_pylist(), table.column("blob").to_pylist(), strict=True)))
 
+    @released
     def tell_first(table: pa.Table) -> pa.Table:
         number, group = group_of(table)
         return _rows(enumerate(_tell_first(held.value, group)), of=number)
 
+    @released
     def answer_first(told: pa.Table) -> pa.Table:
         number = told.column("to")[0].as_py()
         return _rows(_answer(held.value, number, _blobs(told, "of"), None).items(), of=number)
 
+    @released
     def tell_second(table: pa.Table, answers: pa.Table) -> pa.Table:
         number, group = group_of(table)
         return _rows(enumerate(_tell_second(held.value, group, number, list(_blobs(answers, "of").values()))), of=number)
 
+    @released
     def answer_second(first: pa.Table, second: pa.Table) -> pa.Table:
         number = first.column("to")[0].as_py()
         return _rows(_answer(held.value, number, _blobs(first, "of"), _blobs(second, "of")).items(), of=number)
 
+    @released
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         number, group = group_of(table)
         return _rows(_scores(held.value, group, number, list(_blobs(answers, "of").values())))
