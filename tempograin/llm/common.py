@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -56,6 +57,9 @@ def stored(df: DataFrame) -> DataFrame:
     folder = f"{spark.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(folder)
     gone_at_exit(spark, folder)
+    # Shuffle files go when the driver's JVM collects what made them; a quiet driver may not for long.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -153,8 +153,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     component_id, n_copies, removed. The samples are counted once for both."""
     shared = _shared(_slim(docs))
     columns = ["doc_id", "__row", "paragraph", "from_byte", "to_byte", "component_id", "n_copies", "removed"]
+    lines = stored(repeated_paragraphs(docs, shared).select(*columns))
     passages = repeated_passages(docs, shared).withColumn("paragraph", F.lit(None).cast("long"))
-    return repeated_paragraphs(docs, shared).select(*columns).union(passages.select(*columns))
+    return lines.union(passages.select(*columns))
 
 
 def paragraphs_removed(docs: DataFrame, **limits) -> DataFrame:
