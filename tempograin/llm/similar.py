@@ -34,10 +34,10 @@ COORDS = 64
 #: Classes in a node that is compared exhaustively.
 SMALL = 24
 #: Longer paths from the root, and their lengths. A pair of similarity 0.8 shares
-#: one of length 5 almost surely, of length 7 with probability 0.9998 and of length 9
-#: with 0.996 (all draw on one sketch; at similarity 0.85 it is 0.9998). A longer one
+#: one of length 5 almost surely, of length 7 with probability 0.996 and of length 9
+#: with 0.975 (all draw on one sketch; at similarity 0.85 it is 0.997). A longer one
 #: counts only where all shorter nodes that the pair shares are crowded.
-PATHS, LENGTHS = 80, (5, 7, 9)
+PATHS, LENGTHS = 40, (5, 7, 9)
 #: Similar bytes of a sketch from which a pair is verified, as a share: four
 #: standard deviations below a similarity of 0.8.
 LIKELY = 0.6
