@@ -11,7 +11,7 @@ def char_grams(data: np.ndarray, n: int, bits: int, ends: np.ndarray) -> np.ndar
     """The bucket, from 1, of the n bytes that start at each position; 0 where
     they would pass the end of the text, which ``ends`` gives for each byte."""
     code = np.zeros(len(data), dtype=np.uint64)
-    for i in range(n):
+    for i in range(min(n, len(data))):
         code[: len(data) - i] = code[: len(data) - i] * np.uint64(257) + data[i:]
     out = (mix64(code + np.uint64(n << 56)) >> np.uint64(64 - bits)).astype(np.int32)
     out[out == 0] = 1

@@ -89,7 +89,7 @@ def minhashes(h: np.ndarray, starts: np.ndarray, n: int = COORDS) -> np.ndarray:
 
 def node_keys(values: np.ndarray, band: int) -> np.ndarray:
     """A 64-bit key for each ``band`` columns of minwise values."""
-    v = values.astype(np.uint64).reshape(len(values), -1, band)
+    v = values.astype(np.uint64).reshape(len(values), values.shape[1] // band, band)
     key = np.tile(np.arange(v.shape[1], dtype=np.uint64), (len(v), 1))
     for i in range(band):
         key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + v[:, :, i] + np.uint64(1))
