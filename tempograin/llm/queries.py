@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, lm, mixing, neardup, paragraphs, pii, quality, toxicity, urls
+from . import alignment, decontaminate, divergence, lines, lm, mixing, neardup, paragraphs, pii, quality, simhash, toxicity, urls
 from .common import mod_of_id, table
 from .sql import SQL
 
@@ -75,8 +75,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (mod_of_id(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_near_duplicates, op4_paragraphs, op4_passages, op5_url_filter, op6_decontaminate, op7_mix, op8_quality, op9_language_model, op10_toxicity)}
+    return {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_near_duplicates, op4_paragraphs, op4_passages, op5_url_filter, op6_decontaminate, op7_mix, op8_quality, op9_language_model, op10_toxicity, op11_source_divergence, op12_simhash, op13_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -36,4 +36,19 @@ items AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(items.s, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-SQL: dict[str, str] = {"op2_line_dedup": _LINES, "op5_url_filter": _URLS, "op6_decontaminate": _LEAKS}
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_CASE}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_DIVERGENCE = f"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+t AS (SELECT doc_id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT doc_id) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(lang_n) OVER (PARTITION BY lang, source) AS lang_total, count(*) OVER (PARTITION BY lang, source) AS v FROM cells),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (total + 2 * v)::HUGEINT AS p, 1 + (1000000000 * (lang_n + 2)) // (lang_total + 2 * v)::HUGEINT AS q FROM sums),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+ UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+SQL: dict[str, str] = {"op2_line_dedup": _LINES, "op5_url_filter": _URLS, "op6_decontaminate": _LEAKS, "op11_source_divergence": _DIVERGENCE}
