@@ -17,7 +17,7 @@ to the part's blocks, whose runs are streamed once more: every record gives its
 document what its pair counts.
 
 Units of text, from one blank between two characters that aren't white space to
-the next, are encoded once for all their occurrences in a task: no token of
+the next, are encoded once for all their occurrences in a slice: no token of
 either vocabulary crosses such a blank (checked when the files are read).
 
 Defined cases: null and empty texts, and those which either vocabulary can't give
@@ -35,7 +35,7 @@ import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -54,8 +54,6 @@ from .lm import _squeeze as packed
 
 #: Parts of the B ids; runs of a part that a task merges; bytes of text of a slice.
 RADIX, BLOCK, SLICE = 32, 64, 4 << 20
-#: Distinct units whose tokens a task remembers, and the longest that it does.
-REMEMBERED, LONGEST = 100_000, 64
 _ID_BITS = 24
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NONE = "", 0, 0, 0, 0
@@ -78,9 +76,10 @@ class Vocabularies:
         ranks = {bytes(byte[c] for c in entry): i for entry, i in files["model"]["vocab"].items() if entry not in special}
         self.a = tiktoken.Encoding("a", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
-        self.a_bytes = {i: x for x, i in ranks.items()}
+        self.a_bytes = [x for x, _ in sorted(ranks.items(), key=itemgetter(1))]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in known], dtype=np.int64) for known in (self.a_bytes, self.b_bytes))
         crossing = [p for p in pieces if "▁" in p.lstrip("▁")]
         if crossing:
             raise ValueError(f"tokens may cross a blank between words: {crossing[:5]}")
@@ -101,45 +100,55 @@ def vocabularies(a_file: str, b_file: str) -> Vocabularies:
     return Vocabularies(a_file, b_file)
 
 
-class Unit(NamedTuple):
-    """A unit's tokens and links; without tokens (groups None) where they don't give it back."""
+class Units(NamedTuple):
+    """Tokens and links of units; without tokens where these don't give the unit back."""
 
-    groups: bytes | None  # a1,a2|b1;a3|b2,b3
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: np.ndarray  # linked ids, the B id above the A id, distinct
-    links: np.ndarray  # how often each is linked
+    back: np.ndarray  # whether they do
+    groups: list[bytes]  # a1,a2|b1;a3|b2,b3;
+    sizes: np.ndarray  # of each unit: A tokens, B tokens, groups
+    links: np.ndarray  # of each unit, how many
+    pairs: np.ndarray  # of all links, unit by unit: the B id above the A id
 
 
 _EMPTY = np.zeros(0, dtype=np.int64)
-NO_UNIT = Unit(None, 0, 0, 0, _EMPTY, _EMPTY)
 
 
-def aligned(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> Unit:
-    """Groups and links of two encodings of the same bytes."""
-    ids_a, ids_b, ends_a, ends_b = np.array(a), np.array(b), np.cumsum(a_sizes), np.cumsum(b_sizes)
-    both, ends = np.intersect1d(ends_a, ends_b), np.union1d(ends_a, ends_b)
-    # Between two neighbouring ends lies the overlap of one token of each, and of no other two.
-    pairs = ids_b[np.searchsorted(ends_b, ends)] << _ID_BITS | ids_a[np.searchsorted(ends_a, ends)]
-    found, links = np.unique(pairs, return_counts=True)
-    parts, i, j = [], 0, 0
-    for p, q in zip((np.searchsorted(ends_a, both) + 1).tolist(), (np.searchsorted(ends_b, both) + 1).tolist(), strict=True):
-        parts.append(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-        i, j = p, q
-    return Unit(";".join(parts).encode(), len(a), len(b), len(both), found.astype(np.int64), links.astype(np.int64))
+def _bounds(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _encode(v: Vocabularies, units: list[bytes]) -> list[Unit]:
+def _encode(v: Vocabularies, units: list[bytes]) -> Units:
     """The units, each of which starts with a blank."""
     texts = [u.decode() for u in units]
-    out = []
-    for raw, text, b in zip(units, texts, v.b.encode([t[1:] for t in texts], num_threads=1), strict=True):
-        a = v.a.encode_ordinary(text)
-        a_bytes, b_bytes = [v.a_bytes[i] for i in a], [v.b_bytes[i] for i in b]
-        same = b"".join(a_bytes) == raw == b"".join(b_bytes)
-        out.append(aligned(a, b, [len(x) for x in a_bytes], [len(x) for x in b_bytes]) if same else NO_UNIT)
-    return out
+    a, b = [v.a.encode_ordinary(t) for t in texts], v.b.encode([t[1:] for t in texts], num_threads=1)
+    spell = lambda known, ids: b"".join([known[i] for i in ids])
+    back = np.ones(len(units), dtype=bool)
+    if not b"".join(units) == spell(v.a_bytes, chain.from_iterable(a)) == spell(v.b_bytes, chain.from_iterable(b)):
+        back = np.array([u == spell(v.a_bytes, x) == spell(v.b_bytes, y) for u, x, y in zip(units, a, b, strict=True)])
+        a, b, units = ([x if ok else x[:0] for x, ok in zip(c, back, strict=True)] for c in (a, b, units))
+    n_a, n_b, size = (np.fromiter(map(len, c), dtype=np.int64, count=len(c)) for c in (a, b, units))
+    ids_a, ids_b = (np.fromiter(chain.from_iterable(c), dtype=np.int64, count=n.sum()) for c, n in ((a, n_a), (b, n_b)))
+    return _aligned(v, back, ids_a, ids_b, n_a, n_b, np.cumsum(size))
+
+
+def _aligned(v: Vocabularies, back: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, unit_ends: np.ndarray) -> Units:
+    """All units behind one another: where tokens end, and so where groups and links do."""
+    ends_a, ends_b = np.cumsum(v.a_sizes[ids_a]), np.cumsum(v.b_sizes[ids_b])
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    twice = ends[1:] == ends[:-1]
+    both, ends = ends[1:][twice], ends[np.append(True, ~twice)[: len(ends)]]
+    # Between two neighbouring ends lies the overlap of one token of each, and of no other two.
+    pairs = ids_b[np.searchsorted(ends_b, ends)] << _ID_BITS | ids_a[np.searchsorted(ends_a, ends)]
+    per_unit = lambda at: np.diff(_bounds(np.ones(len(at), dtype=np.int64))[np.searchsorted(at, np.append(0, unit_ends), side="right")])
+    # Each group's A ids, then its B ids; the last of either has another sign behind it.
+    of_a, of_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+    order = np.argsort(np.concatenate([2 * of_a, 2 * of_b + 1]), kind="stable")
+    code = np.concatenate([4 * ids_a + (both[of_a] == ends_a), 4 * ids_b + 2 + (both[of_b] == ends_b)])[order]
+    distinct, code = np.unique(code, return_inverse=True)
+    words = [b"%d%s" % (c >> 2, (b",", b"|", b",", b";")[c & 3]) for c in distinct.tolist()]
+    text = b"".join([words[c] for c in code.tolist()])
+    at = _bounds(np.array([len(w) for w in words], dtype=np.int64)[code])[_bounds(n_a + n_b)].tolist()
+    return Units(back, [text[i:j] for i, j in zip(at, at[1:], strict=False)], np.stack([n_a, n_b, per_unit(both)], axis=1), per_unit(ends), pairs)
 
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -158,61 +167,40 @@ def _units(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.union1d(at[~(_SPACE[before] | wide | _SPACE[after] | _MAYBE[after])], texts)
 
 
-class _Slices:
-    """Encodes slices of texts; remembers the units that it met."""
-
-    def __init__(self, v: Vocabularies):
-        self.v, self.known = v, {}
-
-    def _look_up(self, units: list[bytes]) -> list[Unit]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [u for u in units if u not in self.known]
-        fresh = dict(zip(new, _encode(self.v, new), strict=True))
-        out = [self.known.get(u) or fresh[u] for u in units]
-        self.known.update((u, x) for u, x in fresh.items() if len(u) <= LONGEST)
-        return out
-
-    def digest(self, texts: list[bytes]) -> tuple[list[tuple[str, int, int, int, int]], np.ndarray, np.ndarray, np.ndarray]:
-        """(groups_sha256, n_a, n_b, n_groups, n_links) of each text; and pair,
-        place of the text and links of each record, sorted."""
-        filled = [i for i, x in enumerate(texts) if x]
-        starts = np.cumsum([3, *(len(texts[i]) + 1 for i in filled)])
-        data = np.frombuffer(b"\0\0\0" + b"".join(b" " + texts[i] for i in filled) + b"\0", dtype=np.uint8)
-        at = _units(data, starts[:-1])
-        if not len(at):
-            return [_NONE] * len(texts), _EMPTY, _EMPTY, _EMPTY
-        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data) - 1)), pa.py_buffer(data)]).dictionary_encode()
-        units, code = self._look_up(column.dictionary.to_pylist()), column.indices.to_numpy()
-        bounds = np.searchsorted(at, starts)
-        sizes = np.array([(u.n_a, u.n_b, u.n_groups) for u in units], dtype=np.int64)
-        groups, bad = [u.groups for u in units], np.array([u.groups is None for u in units])
-        out, of, what, times = [_NONE] * len(texts), [], [], []
-        for i, s, e in zip(filled, bounds.tolist(), bounds[1:].tolist(), strict=False):
-            mine = code[s:e]
-            if bad[mine].any():
-                continue
-            n_a, n_b, n_groups = sizes[mine].sum(axis=0).tolist()
-            sha = hashlib.sha256(b";".join([groups[c] for c in mine.tolist()])).hexdigest()
-            out[i] = sha, n_a, n_b, n_groups, n_a + n_b - n_groups
-            distinct, n = np.unique(mine, return_counts=True)
-            of.append(np.full(len(distinct), i))
-            what.append(distinct)
-            times.append(n)
-        if not what:
-            return out, _EMPTY, _EMPTY, _EMPTY
-        return out, *_records(units, np.concatenate(of), np.concatenate(what), np.concatenate(times))
-
-
-def _records(units: list[Unit], of: np.ndarray, what: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def digest(v: Vocabularies, texts: list[bytes]) -> tuple[list[tuple[str, int, int, int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """(groups_sha256, n_a, n_b, n_groups, n_links) of each text; and pair,
+    place of the text and links of each record, sorted."""
+    filled = [i for i, x in enumerate(texts) if x]
+    starts = np.cumsum([3, *(len(texts[i]) + 1 for i in filled)])
+    data = np.frombuffer(b"\0\0\0" + b"".join(b" " + texts[i] for i in filled) + b"\0", dtype=np.uint8)
+    at = _units(data, starts[:-1])
+    if not len(at):
+        return [_NONE] * len(texts), _EMPTY, _EMPTY, _EMPTY
+    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data) - 1)), pa.py_buffer(data)]).dictionary_encode()
+    units, code = _encode(v, column.dictionary.to_pylist()), column.indices.to_numpy()
+    bounds, sizes, bad = np.searchsorted(at, starts), units.sizes, ~units.back
+    out, of, what, times = [_NONE] * len(texts), [], [], []
+    for i, s, e in zip(filled, bounds.tolist(), bounds[1:].tolist(), strict=False):
+        mine = code[s:e]
+        if bad[mine].any():
+            continue
+        n_a, n_b, n_groups = sizes[mine].sum(axis=0).tolist()
+        sha = hashlib.sha256(b"".join([units.groups[c] for c in mine.tolist()])[:-1]).hexdigest()
+        out[i] = sha, n_a, n_b, n_groups, n_a + n_b - n_groups
+        distinct, n = np.unique(mine, return_counts=True)
+        of.append(np.full(len(distinct), i))
+        what.append(distinct)
+        times.append(n)
+    if not what:
+        return out, _EMPTY, _EMPTY, _EMPTY
+    return out, *_records(units, np.concatenate(of), np.concatenate(what), np.concatenate(times))
+
+
+def _records(units: Units, of: np.ndarray, what: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Units of texts, with how often they occur -> pair, text and links, by pair and text."""
-    length = np.array([len(u.pairs) for u in units])
-    start = np.concatenate([[0], np.cumsum(length)])
-    pairs, links = np.concatenate([u.pairs for u in units]), np.concatenate([u.links for u in units])
-    n = length[what]
-    first = np.concatenate([[0], np.cumsum(n)])
-    at = np.arange(first[-1]) - np.repeat(first[:-1] - start[what], n)
-    pair, text, count = pairs[at], np.repeat(of, n), links[at] * np.repeat(times, n)
+    n = units.links[what]
+    at = np.arange(n.sum()) + np.repeat(_bounds(units.links)[what] - _bounds(n)[:-1], n)
+    pair, text, count = units.pairs[at], np.repeat(of, n), np.repeat(times, n)
     order = np.lexsort((text, pair))
     pair, text, count = pair[order], text[order], count[order]
     new = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])))
@@ -232,9 +220,9 @@ def _spill(a_file: str, b_file: str, ids: StructType):
     names = [*(f.name for f in ids.fields), *(f.name for f in StructType.fromDDL(_WRITTEN).fields)]
 
     def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work, number = _Slices(vocabularies(a_file, b_file)), TaskContext.get().partitionId() << 32
+        v, number = vocabularies(a_file, b_file), TaskContext.get().partitionId() << 32
         for b in slices(batches, most=SLICE):
-            found, pair, text, links = work.digest([x.as_py() or b"" for x in b.column("text").cast(pa.large_binary())])
+            found, pair, text, links = digest(v, [x.as_py() or b"" for x in b.column("text").cast(pa.large_binary())])
             radix, runs = _radix(pair), []
             for r in np.unique(radix).tolist():
                 i = np.flatnonzero(radix == r)
