@@ -10,17 +10,21 @@ smallest document.
 
 Passages repeat whatever the line breaks: of every ``STEP`` consecutive windows
 of ``WINDOW`` words one is sampled (the smallest hash), so that any run of ``RUN``
-words that occurs twice shares a sample; the first window of each paragraph is one
-too. Around the samples that repeat the windows at
+words that occurs twice shares a sample. Around the samples that repeat the windows at
 the ends are looked up in all texts, and windows that overlap are joined; joined runs of
 ``RUN`` words or more are passages. Windows of fewer than ``DISTINCT`` different words
 (junk, rules of tables) are none.
 
-Only paragraphs with a sample that repeats are banded; that loses none. Equal ones
-share their first window. With e words changed, n words keep a similarity of 0.8
-only if n - 4 >= 45 e, so some run of ``RUN`` words is unchanged, and has a sample. The
-same holds for passages: one of over 50 words with a copy of similarity 0.8 has
-such a run unchanged.
+Only paragraphs with a sample that repeats are banded. Of s shingles a pair of
+similarity 0.8 has s / 9 at most that the other lacks, and a change inside a line
+costs five, at its ends one. So lines of fewer than 49 words keep one run of all but
+these, which is ``RUN`` words from 26 words on, and 19 words for one of 20; longer ones are
+parted by a change of five in each 45 at most, and keep such a run between two.
+Hence lines of up to ``SHORT`` words, which a line of 25 may resemble, are sampled
+at every ``SHORT_STEP`` windows too: 19 words have as many. (Lines
+that repeat words so that their sets are far smaller than they may fall outside
+this.) The same holds for passages: one of over 50 words with a copy of similarity
+0.8 has a run of ``RUN`` words unchanged.
 
 Defined cases: null and empty texts have no paragraph; a paragraph repeated in
 one document counts as a repeat; rows that share a doc_id are told apart by a
@@ -49,6 +53,8 @@ from .common import LOWER, SPACES, guarded, joined, schema_of, slices, stored, w
 BANDS, ROWS, WORDS, PERCENT, LEAST_WORDS = 8, 2, 5, 80, 20
 WINDOW, STEP, DISTINCT = 13, 12, 6
 RUN = WINDOW + STEP - 1
+#: Lines of up to so many words have a sample among so many windows of theirs.
+SHORT, SHORT_STEP = 31, 7
 
 
 class Words(NamedTuple):
@@ -78,9 +84,14 @@ def _words(batch: pa.RecordBatch) -> Words:
         at = first + least[first]
     ends = np.flatnonzero(data == 10)  # a text ends in one more newline
     line = np.searchsorted(ends, s)
-    begin = np.flatnonzero(np.diff(line, prepend=-1))
-    long = begin[np.diff(np.append(begin, len(line))) >= LEAST_WORDS]
-    return Words(starts, ends, words, of, s, e, h, np.union1d(at, long).astype(np.int64))
+    n = np.bincount(line, minlength=len(ends))
+    short = (n >= LEAST_WORDS) & (n <= SHORT)
+    some = np.zeros(0, dtype=np.int64)
+    if len(words) >= WINDOW + SHORT_STEP - 1:
+        last = line[WINDOW + SHORT_STEP - 2 :]
+        some = np.flatnonzero((line[: len(last)] == last) & short[last])
+        some = some + np.lib.stride_tricks.sliding_window_view(h, SHORT_STEP)[some].argmin(axis=1)
+    return Words(starts, ends, words, of, s, e, h, np.union1d(at, some).astype(np.int64))
 
 
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

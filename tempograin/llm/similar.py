@@ -39,7 +39,7 @@ SMALL = 24
 #: counts only where all shorter nodes that the pair shares are crowded.
 PATHS, LENGTHS = 40, (5, 7, 9)
 #: Similar bytes of a sketch from which a pair is verified, as a share: four
-#: standard deviations below a similarity of 0.8.
+#: standard deviations below a similarity of 0.8. With 0 every candidate is verified.
 LIKELY = 0.6
 _RANDOM = np.random.default_rng(20240229)
 _A = _RANDOM.integers(0, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -116,14 +116,14 @@ def _find(parent: list[int], i: int) -> int:
 _PAIRS = "a binary, b binary, first boolean"
 
 
-def _node_pairs(percent: int):
+def _node_pairs(percent: int, least: float):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for ids, n, sig, labels in _members(b.column("members")):
                 i, j = np.triu_indices(len(ids), 1)
                 likely = _agree(sig[i], sig[j])
-                use = (likely >= LIKELY) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+                use = (likely >= least) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
                 parent = list(range(len(ids)))
                 for x, y, _ in sorted(zip(i[use].tolist(), j[use].tolist(), (-likely[use]).tolist(), strict=True), key=lambda p: p[2]):
                     if labels[x] != labels[y]:
@@ -136,7 +136,7 @@ def _node_pairs(percent: int):
     return pairs
 
 
-def _likely_rows(percent: int):
+def _likely_rows(percent: int, least: float):
     """Rows (cls, n, sig, hub, hub_n, hub_sig) -> pairs."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +144,7 @@ def _likely_rows(percent: int):
             if b.num_rows:
                 sig, hub = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint8).reshape(-1, COORDS) for c in ("sig", "hub_sig"))
                 n, m = (b.column(c).to_numpy() for c in ("n", "hub_n"))
-                use = pa.array((_agree(sig, hub) >= LIKELY) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+                use = pa.array((_agree(sig, hub) >= least) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
                 a = b.column("hub").filter(use)
                 yield pa.RecordBatch.from_arrays([a, b.column("cls").filter(use), pa.array(np.ones(len(a), dtype=bool))], names=["a", "b", "first"])
 
@@ -272,17 +272,18 @@ def _longer(node: Column, steps: int) -> Column:
     return node
 
 
-def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int = 80, small: int = SMALL, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
+def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int = 80, small: int = SMALL, lengths: tuple[int, ...] = LENGTHS, likely: float = LIKELY) -> DataFrame:
     """units (cls, n, sig, keys), a row for each class; fetch: from a DataFrame
-    of cls to (cls, grams) -> the cls and label of every class with a link."""
+    of cls to (cls, grams) -> the cls and label of every class with a link. Pairs
+    whose sketches agree less than ``likely`` aren't verified; 0 verifies all."""
     facts = units.select("cls", "n", "sig")
     nodes = units.select("cls", F.explode("keys").alias("node"))
     shared = nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("cls").alias("hub")).filter("size > 1")
     rows = few(cut(nodes.join(shared, "node").join(facts, "cls")))
-    pairs = rows.filter(F.col("size") <= small).groupBy("node").agg(_member("cls").alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS)
+    pairs = rows.filter(F.col("size") <= small).groupBy("node").agg(_member("cls").alias("members")).select("members").mapInArrow(_node_pairs(percent, likely), _PAIRS)
     hubs = facts.select(F.col("cls").alias("hub"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
     wide = rows.filter((F.col("size") > small) & (F.col("cls") != F.col("hub")))
-    pairs = pairs.union(wide.select("cls", "n", "sig", "hub").distinct().join(hubs, "hub").mapInArrow(_likely_rows(percent), _PAIRS))
+    pairs = pairs.union(wide.select("cls", "n", "sig", "hub").distinct().join(hubs, "hub").mapInArrow(_likely_rows(percent, likely), _PAIRS))
     pairs = few(cut(pairs.groupBy("a", "b").agg(F.max("first").alias("first"))))
 
     # The sets of all classes that any later candidate can name, fetched once.
@@ -302,7 +303,7 @@ def link(units: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
         level = few(cut(level.join(stats, "node")))
         if level.isEmpty():
             break
-        rest = rest.union(level.filter(F.col("size") <= small).groupBy("node").agg(_member().alias("members")).select("members").mapInArrow(_node_pairs(percent), _PAIRS).select("a", "b"))
+        rest = rest.union(level.filter(F.col("size") <= small).groupBy("node").agg(_member().alias("members")).select("members").mapInArrow(_node_pairs(percent, likely), _PAIRS).select("a", "b"))
         level = level.filter(F.col("size") > small)
         if at + 1 == len(lengths):
             edges = edges.union(_in_blocks(few(cut(level)), sets, percent))
