@@ -1,5 +1,5 @@
-"""Commands: list, extract, transform, docs, status, all, and the audience's
-generate (audience), load, analysis and validate."""
+"""Commands: list, prepare, extract, compact, transform, scripts, docs, status,
+all, and the audience's generate (audience), load, analysis and validate."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from .plans import audience, extract, marts
-from .sources import catalog, landing, manifest, raw, sinks
+from .sources import catalog, framecache, landing, manifest, raw, scripts, sinks
 
 
 def session() -> SparkSession:
@@ -20,7 +20,7 @@ def session() -> SparkSession:
 
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser("tempograin")
-    p.add_argument("command", choices=["list", "extract", "transform", "docs", "status", "all", "audience", "analysis", "validate", "load"])
+    p.add_argument("command", choices=["list", "extract", "transform", "docs", "status", "all", "audience", "analysis", "validate", "load", "prepare", "compact", "scripts"])
     p.add_argument("--videos", default="videos")
     p.add_argument("--extractors", help="module:name of a list of extractors")
     p.add_argument("--only", nargs="*", help="names of extractors; what they require runs too")
@@ -29,6 +29,9 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--marts", default="warehouse/marts")
     p.add_argument("--audience", default="warehouse/audience")
     p.add_argument("--landing", default="landing/biometrics")
+    p.add_argument("--cache", help="module:name of a FrameCache, for prepare")
+    p.add_argument("--scripts", default="transforms", help="a folder of SQL scripts")
+    p.add_argument("--arg", nargs="*", default=[], metavar="NAME=VALUE", help="arguments of the scripts")
     p.add_argument("--viewers", type=int, default=audience.VIEWERS)
     p.add_argument("--seed", type=int, default=audience.SEED)
     a = p.parse_args(args)
@@ -52,10 +55,18 @@ def main(args: list[str] | None = None) -> int:
         sinks.export_marts(made, a.marts)
         for n in ("creative_frames", "creative_seconds"):
             made[n].unpersist()
+    if a.command == "prepare":
+        found = framecache.prepare(extract.selected(extract.discover(spark, a.videos), a.creative), _named(a.cache)[0]).collect()  # a row for each file, without its frames
+        print(f"{sum(r['decoded'] for r in found)} decoded, {sum(not r['decoded'] and r['error'] is None for r in found)} known, {sum(r['error'] is not None for r in found)} failed")
+        return int(any(r["error"] for r in found))
+    if a.command == "compact":
+        print(f"{manifest.compact(spark, a.raw)} files merged")
+    elif a.command == "scripts":
+        scripts.run_scripts(spark, a.scripts, dict(x.split("=", 1) for x in a.arg))
     if a.command in ("docs", "all"):
         print(catalog.document({n: mart(n) for n in ("creatives", "shots", "screen_text", "creative_frames", "creative_seconds", "creative_summary")}))
     elif a.command == "status":
-        manifest.status(raw.read_raw(spark, a.raw, "_manifest")).show(truncate=False)
+        manifest.status(manifest.history(spark, a.raw)).show(truncate=False)
     elif a.command == "audience":
         for n, rows in audience.generate(spark, mart("creative_seconds"), a.viewers, a.seed).items():
             sinks.write_parquet(rows, f"{a.audience}/{n}.parquet")
@@ -68,14 +79,15 @@ def main(args: list[str] | None = None) -> int:
         checks.show(50, truncate=False)
         return int(not checks.filter("NOT passed").isEmpty())
     elif a.command == "load":
-        sinks.write_parquet(landing.load(spark, a.landing), f"{a.audience}/ingested_biometric_seconds.parquet")
+        landing.load_table(spark, a.landing, f"{a.audience}/ingested_biometric_seconds")
     return 0
 
 
-def _named(place: str | None) -> list[extract.Extractor]:
-    """The list that module:name says; none without it."""
+def _named(place: str | None) -> list:
+    """What module:name says, as a list; none without it."""
     module, _, name = (place or "").partition(":")
-    return list(getattr(importlib.import_module(module), name)) if name else []
+    found = getattr(importlib.import_module(module), name) if name else []
+    return list(found) if isinstance(found, (list, tuple)) else [found]
 
 
 def catalog_names() -> list[str]:

@@ -49,21 +49,25 @@ def largest(rows: DataFrame, keys: list[str], size: str, tie: str, name: str = "
     return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(size), F.col(tie))) == 1)
 
 
+def best_boxes(x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray, most_overlap: float = 0.5) -> np.ndarray:
+    """Places of the boxes, given best first, that no better kept one overlaps by more."""
+    area, kept, left = (x1 - x0) * (y1 - y0), [], np.arange(len(x0))
+    while len(left):
+        i, left = left[0], left[1:]
+        kept.append(i)
+        w = np.minimum(x1[left], x1[i]) - np.maximum(x0[left], x0[i])
+        h = np.minimum(y1[left], y1[i]) - np.maximum(y0[left], y0[i])
+        both = np.maximum(w, 0) * np.maximum(h, 0)
+        left = left[both <= most_overlap * (area[left] + area[i] - both)]
+    return np.array(kept, dtype=np.int64)
+
+
 def suppressed_boxes(rows: DataFrame, keys: list[str], most_overlap: float = 0.5) -> DataFrame:
     """Non-maximum suppression: boxes (x0, y0, x1, y1, score) of a key that no
     better kept box overlaps by more. A key is the boxes of one frame and class."""
 
     def best_of(boxes: pd.DataFrame) -> np.ndarray:
-        x0, y0, x1, y1 = (boxes[c].to_numpy() for c in ("x0", "y0", "x1", "y1"))
-        area, kept, left = (x1 - x0) * (y1 - y0), [], np.arange(len(boxes))
-        while len(left):
-            i, left = left[0], left[1:]
-            kept.append(i)
-            w = np.minimum(x1[left], x1[i]) - np.maximum(x0[left], x0[i])
-            h = np.minimum(y1[left], y1[i]) - np.maximum(y0[left], y0[i])
-            both = np.maximum(w, 0) * np.maximum(h, 0)
-            left = left[both <= most_overlap * (area[left] + area[i] - both)]
-        return np.array(kept)
+        return best_boxes(*(boxes[c].to_numpy() for c in ("x0", "y0", "x1", "y1")), most_overlap)
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # the last key of a batch may go on in the next

@@ -2,7 +2,9 @@
 
 An extractor turns a creative's bytes into rows of its tables; the model inside
 is the caller's. Extractors run only where the manifest has no success for the
-same bytes and version, and one that fails costs its own rows only.
+same bytes and version, and one that fails costs its own rows only. One that
+``uses`` tables gets the creative's rows of them beside its bytes: both sides are
+grouped by creative, so no table is handed over whole.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import orientation, rational, ratio, rnd, slug, title_and_label
 from ..sources import manifest
-from ..sources.raw import conform
+from ..sources.raw import conform, read_raw, union_by_name
 from ..sources.schemas import RAW
 
 VIDEO_SUFFIXES = ("mp4", "mov", "m4v", "webm", "mkv")
@@ -30,8 +33,10 @@ class Extractor:
     name: str
     version: str
     tables: tuple[str, ...]
-    extract: Callable[[str, bytes], dict[str, pd.DataFrame]]
+    #: (creative_id, content), and with ``uses`` the rows of those tables -> rows of ``tables``.
+    extract: Callable[..., dict[str, pd.DataFrame]]
     requires: tuple[str, ...] = field(default=())
+    uses: tuple[str, ...] = field(default=())
 
 
 def resolve(extractors: list[Extractor], only: list[str] | None = None) -> list[Extractor]:
@@ -79,6 +84,18 @@ def selected(creatives: DataFrame, text: str | None) -> DataFrame:
     return found
 
 
+def _extracted(extractor: Extractor, r: NamedTuple, *used: dict[str, pd.DataFrame]) -> pd.DataFrame:
+    """The run's row, and one for each row that was made."""
+    began, rows, status, error = time.time(), [], "ok", None
+    try:
+        for table, found in extractor.extract(r.creative_id, r.content, *used).items():
+            rows += [(table, x) for x in json.loads(found.to_json(orient="records"))]
+    except Exception as e:  # the run's row says so; other creatives go on
+        rows, status, error = [], "error", f"{type(e).__name__}: {e}"
+    head = {"creative_id": r.creative_id, "creative_sha256": r.creative_sha256, "status": status, "error": error, "rows_written": len(rows), "duration_s": time.time() - began}
+    return pd.DataFrame([{**head, "table": None, "row": None}, *({**head, "table": t, "row": json.dumps({"creative_id": r.creative_id, **x})} for t, x in rows)])
+
+
 def run(creatives: DataFrame, extractor: Extractor, folder: str, run_id: str) -> DataFrame:
     """Extracts what is stale, writes the tables' partitions and the manifest;
     returns the runs. Rows travel as JSON, for one task may fill several tables."""
@@ -86,19 +103,23 @@ def run(creatives: DataFrame, extractor: Extractor, folder: str, run_id: str) ->
     work = creatives.select("creative_id", F.col("file_sha256").alias("creative_sha256"), "content", F.lit(extractor.name).alias("extractor"), F.lit(extractor.version).alias("extractor_version"))
     todo = manifest.stale(work, manifest.latest_runs(spark, folder))
 
-    def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = "creative_id string, creative_sha256 string, status string, error string, rows_written long, duration_s double, table string, row string"
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                began, rows, status, error = time.time(), [], "ok", None
-                try:
-                    for table, found in extractor.extract(r.creative_id, r.content).items():
-                        rows += [(table, x) for x in json.loads(found.to_json(orient="records"))]
-                except Exception as e:  # the run's row says so; other creatives go on
-                    rows, status, error = [], "error", f"{type(e).__name__}: {e}"
-                head = {"creative_id": r.creative_id, "creative_sha256": r.creative_sha256, "status": status, "error": error, "rows_written": len(rows), "duration_s": time.time() - began}
-                yield pd.DataFrame([{**head, "table": None, "row": None}, *({**head, "table": t, "row": json.dumps({"creative_id": r.creative_id, **x})} for t, x in rows)])
-
-    made = todo.select("creative_id", "creative_sha256", "content").mapInPandas(one, "creative_id string, creative_sha256 string, status string, error string, rows_written long, duration_s double, table string, row string").cache()
+                yield _extracted(extractor, r)
+
+    def with_rows(creative: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        used = {t: pd.DataFrame([json.loads(x) for x in given.row[given.table == t]], columns=RAW[t].names) for t in extractor.uses}
+        return pd.concat([_extracted(extractor, r, used) for r in creative.itertuples()]) if len(creative) else pd.DataFrame(columns=columns.replace(" string", "").replace(" long", "").replace(" double", "").split(", "))
+
+    todo = todo.select("creative_id", "creative_sha256", "content")
+    if extractor.uses:
+        given = [read_raw(spark, folder, t).select("creative_id", F.lit(t).alias("table"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")) for t in extractor.uses]
+        made = todo.groupBy("creative_id").cogroup(union_by_name(given).groupBy("creative_id")).applyInPandas(with_rows, columns).cache()
+    else:
+        made = todo.mapInPandas(each, columns).cache()
     for name in extractor.tables:
         parsed = made.filter(F.col("table") == name).select(F.from_json("row", RAW[name]).alias("r")).select("r.*")
         conform(parsed, RAW[name]).write.mode("append").option("compression", "zstd").parquet(f"{folder}/{name}")
@@ -141,8 +162,33 @@ def decibels(rms: Column | str) -> Column:
     return 20.0 * F.log10(F.greatest(F.col(rms) if isinstance(rms, str) else rms, F.lit(1e-9)))
 
 
-def transcript_summary(segments: DataFrame, durations: DataFrame) -> DataFrame:
-    """Words, speech time and pace of each creative; zeros without speech."""
+#: A recogniser's segments of a creative, with their words.
+SPOKEN = "creative_id string, segments array<struct<start: double, end: double, text: string, avg_logprob: double, no_speech_prob: double, compression_ratio: double, words: array<struct<start: double, end: double, word: string, probability: double>>>>"
+
+
+def transcript_segments(spoken: DataFrame) -> DataFrame:
+    """spoken (``SPOKEN``) -> a row for each segment, numbered from 0."""
+    s = spoken.select("creative_id", F.posexplode("segments").alias("segment_index", "s"))
+    n = F.coalesce(F.size(F.coalesce("s.words", F.array())), F.lit(0)).cast("long")
+    pace = n / F.greatest(F.col("s.end") - F.col("s.start"), F.lit(1e-6))
+    measures = [rnd(f"s.{c}", 4).alias(c) for c in ("avg_logprob", "no_speech_prob", "compression_ratio")]
+    return s.select("creative_id", F.col("segment_index").cast("long").alias("segment_index"), rnd("s.start", 3).alias("start_s"), rnd("s.end", 3).alias("end_s"), F.trim(F.coalesce("s.text", F.lit(""))).alias("text"), n.alias("n_words"), rnd(pace, 3).alias("words_per_s"), *measures)
+
+
+def transcript_words(spoken: DataFrame) -> DataFrame:
+    """spoken (``SPOKEN``) -> a row for each word, numbered from 0 in its segment."""
+    s = spoken.select("creative_id", F.posexplode("segments").alias("segment_index", "s")).select("creative_id", "segment_index", F.posexplode("s.words").alias("word_index", "w"))
+    return s.select("creative_id", *(F.col(c).cast("long").alias(c) for c in ("segment_index", "word_index")), F.trim(F.coalesce("w.word", F.lit(""))).alias("word"), rnd("w.start", 3).alias("start_s"), rnd("w.end", 3).alias("end_s"), rnd("w.probability", 4).alias("probability"))
+
+
+def transcript_summary(segments: DataFrame, creatives: DataFrame, model: str | None = None) -> DataFrame:
+    """segments and creatives (creative_id, duration_s and, where known, language and
+    language_probability) -> language, model, words, speech time and pace of each
+    creative; zeros without speech, no share without a duration."""
     spoken = segments.groupBy("creative_id").agg(F.count("*").alias("n_segments"), F.sum("n_words").alias("n_words"), F.sum(F.col("end_s") - F.col("start_s")).alias("speech_s"))
-    whole = durations.join(spoken, "creative_id", "left").fillna(0, ["n_segments", "n_words", "speech_s"])
-    return whole.select("creative_id", "n_segments", "n_words", rnd("speech_s", 2).alias("speech_s"), rnd(ratio("speech_s", "duration_s"), 4).alias("speech_share"), rnd(ratio(F.col("n_words") * 60.0, "duration_s"), 1).alias("words_per_minute"))
+    whole = creatives.join(spoken, "creative_id", "left").fillna(0, ["n_segments", "n_words", "speech_s"])
+    known = lambda c, kind: F.col(c) if c in creatives.columns else F.lit(None).cast(kind)
+    return whole.select(
+        "creative_id", known("language", "string").alias("language"), rnd(known("language_probability", "double"), 4).alias("language_probability"), F.lit(model).cast("string").alias("model"), "n_segments", "n_words",
+        rnd("speech_s", 3).alias("speech_s"), rnd(ratio("speech_s", "duration_s"), 4).alias("speech_share"), rnd(ratio(F.col("n_words") * 60.0, "duration_s"), 2).alias("words_per_minute"),
+    )

@@ -112,30 +112,6 @@ def _rises(spectra: np.ndarray) -> np.ndarray:
     return np.maximum(np.diff(loud, axis=0), 0).mean(axis=1) if len(loud) > 1 else np.zeros(0)
 
 
-def tempo(sound: DataFrame) -> DataFrame:
-    """The same sound -> creative_id, tempo_bpm, n_beats: the period at which the
-    rises of a creative (some minutes) repeat most, of 60 to 200 a minute, those near
-    120 preferred; null without any rise."""
-
-    def one(key: tuple, frames: pd.DataFrame) -> pd.DataFrame:
-        frames = frames.sort_values("frame_index")
-        rate = float(frames.rate.iloc[0])
-        y = np.concatenate([np.asarray(x, dtype=float) for x in frames.samples])
-        rises = _rises(_short_spectra(y))
-        bpm = None
-        if len(rises) and rises.std() > 1e-9:
-            z = np.fft.rfft(rises - rises.mean(), 2 * len(rises))
-            again = np.fft.irfft(np.abs(z) ** 2)[: len(rises)]
-            lag = np.arange(max(1, int(rate / HOP * 60 / 200)), min(len(rises), int(rate / HOP)) + 1)
-            lag = lag[lag < len(again)]
-            if len(lag):
-                beats = 60 * rate / HOP / lag
-                bpm = float(beats[np.argmax(again[lag] * np.exp(-0.5 * np.log2(beats / 120) ** 2))])
-        return pd.DataFrame({"creative_id": [key[0]], "tempo_bpm": [None if bpm is None else round(bpm, 2)], "n_beats": [0 if bpm is None else int(len(y) / rate * bpm / 60)]})
-
-    return sound.groupBy("creative_id").applyInPandas(one, "creative_id string, tempo_bpm double, n_beats long")
-
-
 def audio_frames(sound: DataFrame) -> DataFrame:
     """creative_id, frame_index, t_start_s, t_end_s, rate, samples (array of
     floats, one frame period) -> level, spectrum, crossings, rises and steadiness of each frame."""

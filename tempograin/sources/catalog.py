@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .raw import opened
 
 #: grain, key and purpose of the marts and of the audience tables.
 CONTRACT: dict[str, tuple[str, str, str]] = {
@@ -28,20 +36,45 @@ CONTRACT: dict[str, tuple[str, str, str]] = {
 }
 
 
-def describe(name: str, rows: DataFrame) -> str:
-    """A Markdown section of one table."""
+def describe(name: str, rows: DataFrame, n: int | None = None) -> str:
+    """A Markdown section of one table; its size, if it isn't given, is counted."""
     grain, key, purpose = CONTRACT.get(name, ("?", "?", ""))
-    lines = [f"### `{name}`", "", f"**Grain** {grain} | **Key** `{key}` | **Rows** {rows.count():,}", "", *([purpose, ""] if purpose else []), "| Column | Type |", "|---|---|"]
+    lines = [f"### `{name}`", "", f"**Grain** {grain} | **Key** `{key}` | **Rows** {rows.count() if n is None else n:,}", "", *([purpose, ""] if purpose else []), "| Column | Type |", "|---|---|"]
     return "\n".join([*lines, *(f"| `{f.name}` | {f.dataType.simpleString()} |" for f in rows.schema), ""])
 
 
-def document(tables: dict[str, DataFrame], title: str = "Tables") -> str:
-    return "\n".join([f"# {title}", "", *(describe(n, t) for n, t in tables.items())])
+def document(tables: dict[str, DataFrame], title: str = "Tables", sizes: dict[str, int] | None = None) -> str:
+    return "\n".join([f"# {title}", "", *(describe(n, t, (sizes or {}).get(n)) for n, t in tables.items())])
+
+
+def analysed_rows(spark: SparkSession, table: str) -> int | None:
+    """The number of rows in the table's statistics, if it was analysed."""
+    for r in spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", args={"t": table}).collect():
+        if r["col_name"] == "Statistics" and (found := re.search(r"([0-9]+) rows", r["data_type"])):
+            return int(found[1])
+    return None
 
 
 def document_catalog(spark: SparkSession, database: str) -> str:
+    """All tables, with the sizes of their statistics: no table is scanned but one never analysed."""
     names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
-    return document({n: spark.table(f"{database}.{n}") for n in names}, f"Tables of {database}")
+    sizes = {n: r for n in names if (r := analysed_rows(spark, f"{database}.{n}")) is not None}
+    return document({n: spark.table(f"{database}.{n}") for n in names}, f"Tables of {database}", sizes)
+
+
+def footer_rows(paths: DataFrame) -> int:
+    """paths (path) of Parquet files -> rows in all, from the files' footers."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = 0
+            for path in b.column("path").to_pylist():
+                fs, name = opened(path)
+                with fs.open_input_file(name) as f:
+                    n += pq.read_metadata(f).num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return paths.select("path").mapInArrow(rows, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def save_marts(marts: dict[str, DataFrame], database: str) -> None:
@@ -50,3 +83,4 @@ def save_marts(marts: dict[str, DataFrame], database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, rows in marts.items():
         rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        spark.sql("ANALYZE TABLE IDENTIFIER(:t) COMPUTE STATISTICS", args={"t": f"{database}.{name}"})

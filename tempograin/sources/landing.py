@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import snapshot
 from .raw import conform
 from .schemas import EMOTIONS, LANDING
 
@@ -60,6 +61,12 @@ def load(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(LANDING).parquet(folder)
 
 
+def load_table(spark: SparkSession, folder: str, table: str) -> None:
+    """Replaces a table by all landed rows, whole: readers see the old rows or the
+    new ones, and a load that dies leaves the old ones."""
+    snapshot.replace(load(spark, folder), table)
+
+
 def load_stream(spark: SparkSession, folder: str, out: str, state: str) -> None:
     """Appends files that weren't read yet to ``out``, then stops."""
     new = spark.readStream.schema(LANDING).parquet(folder)

@@ -1,4 +1,8 @@
-"""The run manifest: append-only history of extractor runs, and what is fresh."""
+"""The run manifest: append-only history of extractor runs, and what is fresh.
+
+Every run appends a small file. Compaction merges them into one snapshot and deletes
+them after the snapshot is in place, so a compaction that dies, or is done again,
+loses nothing and counts nothing twice: rows that are in both places are one."""
 
 from __future__ import annotations
 
@@ -6,17 +10,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequences import latest_per_key
-from .raw import conform, read_raw
+from . import snapshot
+from .raw import conform, read_raw, union_by_name
 from .schemas import RAW
 
 
+_MERGED = "_manifest_merged"
+
+
 def append(runs: DataFrame, folder: str) -> None:
     conform(runs, RAW["_manifest"]).write.mode("append").option("compression", "zstd").parquet(f"{folder}/_manifest")
 
 
+def history(spark: SparkSession, folder: str) -> DataFrame:
+    """All runs: those of the snapshot and those appended since."""
+    merged, appended = snapshot.read(spark, f"{folder}/{_MERGED}", RAW["_manifest"]), read_raw(spark, folder, "_manifest")
+    return merged.union(appended).distinct()
+
+
 def latest_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The last run of each creative and extractor."""
-    return latest_per_key(read_raw(spark, folder, "_manifest"), ["creative_id", "extractor"], ["finished_at", "run_id"])
+    return latest_per_key(history(spark, folder), ["creative_id", "extractor"], ["finished_at", "run_id"])
+
+
+def compact(spark: SparkSession, folder: str) -> int:
+    """Merges the appended files into a new snapshot; returns how many they were."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(f"{folder}/_manifest")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only what is listed now is merged, and only that goes; later files wait for the next time.
+    listed = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().endswith(".parquet")] if fs.exists(root) else []
+    if listed:
+        appended = [conform(spark.read.parquet(*(p.toString() for p in listed)), RAW["_manifest"])]
+        merged = snapshot.read(spark, f"{folder}/{_MERGED}", RAW["_manifest"])
+        snapshot.replace(union_by_name([merged, *appended]).distinct().coalesce(1), f"{folder}/{_MERGED}")
+        for p in listed:
+            fs.delete(p, False)
+        snapshot.prune(spark, f"{folder}/{_MERGED}")
+    return len(listed)
 
 
 def stale(work: DataFrame, runs: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,21 +37,34 @@ def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
-    groups = files.select("path", "content").mapInArrow(_physical, "path string, kind string").groupBy("kind").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    groups = files.select("path").mapInArrow(_physical, "path string, kind string").groupBy("kind").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     tables = [conform(spark.read.parquet(*g["paths"]), schema) for g in groups.orderBy("kind").collect()]
     return union_by_name(tables) if tables else spark.createDataFrame([], schema)
 
 
+def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a path or URI, and the path there."""
+    if re.match(r"file:/(?!/)", uri):
+        uri = uri.removeprefix("file:")
+    return pa.fs.FileSystem.from_uri(uri if "://" in uri else os.path.abspath(uri))
+
+
 def _physical(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The physical schema of each file."""
+    """The physical schema of each file, from its footer alone."""
     for b in batches:
-        kinds = [str(pq.read_schema(pa.BufferReader(x.as_buffer())).remove_metadata()) for x in b.column("content")]
+        kinds = []
+        for path in b.column("path").to_pylist():
+            fs, name = opened(path)
+            with fs.open_input_file(name) as f:
+                kinds.append(str(pq.read_schema(f).remove_metadata()))
         yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(kinds, pa.string())], names=["path", "kind"])
 
 
 def raw_views(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All raw tables, also as temporary views named raw_<table>."""
-    tables = {n: read_raw(spark, folder, n) for n in RAW}
+    """All raw tables, also as temporary views named raw_<table>; of the manifest, what was merged too."""
+    from . import manifest
+
+    tables = {n: manifest.history(spark, folder) if n == "_manifest" else read_raw(spark, folder, n) for n in RAW}
     for n, df in tables.items():
         df.createOrReplaceTempView("raw_" + n.lstrip("_"))
     return tables

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tempograin.plans import features
+from tempograin.plans import beats, features
 
 
 def test_pictures(spark):
@@ -41,8 +41,11 @@ def test_rhythm(spark):
     df = spark.createDataFrame(rows, "creative_id string, frame_index long, t_start_s double, t_end_s double, rate double, samples array<float>")
     s = {r["creative_id"]: r for r in features.audio_summary(features.audio_frames(df)).collect()}
     assert s["tone"]["mean_harmonic_ratio"] > 0.9 > 0.5 > s["clicks"]["mean_harmonic_ratio"] and s["none"]["mean_harmonic_ratio"] == 0
-    beat = {r["creative_id"]: (r["tempo_bpm"], r["n_beats"]) for r in features.tempo(df).collect()}
-    assert abs(beat["clicks"][0] - 120) < 2 and abs(beat["clicks"][1] - 16) <= 1 and beat["none"] == (None, 0)
+    times, tempo = beats.beat_times(df)
+    beat = {r["creative_id"]: (r["tempo_bpm"], r["n_beats"]) for r in tempo.collect()}
+    assert abs(beat["clicks"][0] - 120) < 2 and beat["clicks"][1] == 15 and beat["none"] == (None, 0)  # the first click has no rise before it
+    at = [r["t_s"] for r in times.filter("creative_id = 'clicks'").orderBy("beat_index").collect()]
+    assert max(abs(x - round(2 * x) / 2) for x in at) < 0.04 and np.abs(np.diff(at) - 0.5).max() < 0.02
 
 
 def test_detections(spark):

@@ -46,6 +46,28 @@ def test_as_of_and_ranges(spark):
     assert flags == {i: any(k == kk and t < b and t + 0.25 > a and b > a for _, kk, a, b in spans) for i, k, t in points}
 
 
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40])
+def test_as_of_ties_nulls_and_one_hot_key(spark, ranges):
+    """Both ways give the same: ties, null starts, keys and times, a key with nearly all rows, ranges without any start."""
+    rng = random.Random(3)
+    key = lambda: "hot" if rng.random() < 0.9 else rng.choice(["a", "b", None])
+    points = [(i, key(), None if i % 50 == 0 else float(rng.randint(0, 400))) for i in range(900)]
+    starts = [(key(), None if i % 9 == 0 else float(rng.choice([3, 3, 7, 60, 61, 300])), rng.choice([None, "x", "y", "z"]), i % 4) for i in range(60)]
+    p, s = spark.createDataFrame(points, "i int, k string, t double"), spark.createDataFrame(starts, "k string, s double, v string, w int")
+    rank = lambda r: (r[1], r[2] is not None, r[2] or "", r[3])
+    want = {}
+    for i, k, t in points:
+        fit = [r for r in starts if k is not None and r[0] == k and t is not None and r[1] is not None and r[1] <= t]
+        best = max(fit, key=rank, default=(None,) * 4)
+        want[i] = best[1:]
+    one = timejoin.asof_backward(p, s, ["k"], "t", "s", ["s", "v", "w"], ranges)
+    assert {r["i"]: (r["s"], r["v"], r["w"]) for r in one.collect()} == want and one.count() == len(points)
+    assert {r["i"]: (r["s"], r["v"], r["w"]) for r in timejoin.asof_small(p, s, ["k"], "t", "s", ["s", "v", "w"]).collect()} == want
+    none = timejoin.asof_backward(p, s.filter("false"), ["k"], "t", "s", ["v"], ranges)
+    assert none.count() == len(points) and none.filter("v is not null").isEmpty()
+    assert timejoin.asof_backward(p.filter("false"), s, ["k"], "t", "s", ["v"], ranges).count() == 0
+
+
 def test_sequences(spark):
     rows = spark.createDataFrame([("a", float(t)) for t in (0, 1, 2, 5, 7, 20)] + [("b", 3.0)], "k string, t double")
     assert [r["span"] for r in sequences.islands(rows, ["k"], "t", 2.0, "span").orderBy("k", "t").collect()] == [1, 1, 1, 2, 2, 3, 1]
