@@ -37,7 +37,7 @@ names; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -137,6 +137,22 @@ def _sketch(shared: Broadcast):
     return sketch
 
 
+def _fetcher(sketched: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """The sets of the classes asked for, each once; no others are shuffled."""
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        asked = ids.sparkSession.sparkContext.broadcast(BlockedBloom.build(ids.select(F.xxhash64("cls").alias("h")), "h", ids.count()))
+
+        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(asked.value.might_contain(b.column("h").to_numpy()), pa.bool_())).select(["cls", "grams"])
+
+        sets = sketched.select("cls", "grams", F.xxhash64("cls").alias("h")).mapInArrow(some, "cls binary, grams binary")
+        return sets.join(ids, "cls", "left_semi").groupBy("cls").agg(F.max("grams").alias("grams"))
+
+    return fetch
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("__row"), "text")
 
@@ -149,8 +165,8 @@ def repeated_paragraphs(docs: DataFrame, shared: Broadcast | None = None, **limi
     schema = schema_of([slim.schema["doc_id"]], "__row long, paragraph long, from_byte long, to_byte long, cls binary, n long, sig binary, keys array<long>, grams binary")
     sketched = stored(slim.mapInArrow(_sketch(shared or _shared(slim)), schema))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row", "paragraph")
-    units = stored(sketched.groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys", "grams")), F.count("*").alias("copies"), F.min(place).alias("first")))
-    labels = similar.link(units.select("cls", "n", "sig", "keys"), lambda ids: units.select("cls", "grams").join(ids, "cls", "left_semi"), PERCENT, **limits)
+    units = stored(sketched.groupBy("cls").agg(*(F.any_value(c).alias(c) for c in ("n", "sig", "keys")), F.count("*").alias("copies"), F.min(place).alias("first")))
+    labels = similar.link(units.select("cls", "n", "sig", "keys"), _fetcher(sketched), PERCENT, **limits)
     known = units.select("cls", "copies", "first").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     groups = known.groupBy("label").agg(F.sum("copies").alias("n_copies"), F.min("first").alias("keep")).filter("n_copies > 1")
     repeated = known.join(groups, "label").select("cls", "n_copies", "keep")
