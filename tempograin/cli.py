@@ -29,6 +29,7 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--marts", default="warehouse/marts")
     p.add_argument("--audience", default="warehouse/audience")
     p.add_argument("--landing", default="landing/biometrics")
+    p.add_argument("--database", help="load: the audience's tables into this database, in place of the landed rows")
     p.add_argument("--cache", help="module:name of a FrameCache, for prepare")
     p.add_argument("--scripts", default="transforms", help="a folder of SQL scripts")
     p.add_argument("--arg", nargs="*", default=[], metavar="NAME=VALUE", help="arguments of the scripts")
@@ -79,7 +80,10 @@ def main(args: list[str] | None = None) -> int:
         checks.show(50, truncate=False)
         return int(not checks.filter("NOT passed").isEmpty())
     elif a.command == "load":
-        landing.load_table(spark, a.landing, f"{a.audience}/ingested_biometric_seconds")
+        if a.database:
+            print(", ".join(catalog.load_audience(spark, a.audience, a.database)))
+        else:
+            landing.load_table(spark, a.landing, f"{a.audience}/ingested_biometric_seconds")
     return 0
 
 

@@ -10,7 +10,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .raw import opened
+from .raw import conform, opened
+from .schemas import AUDIENCE
 
 #: grain, key and purpose of the marts and of the audience tables.
 CONTRACT: dict[str, tuple[str, str, str]] = {
@@ -84,3 +85,14 @@ def save_marts(marts: dict[str, DataFrame], database: str) -> None:
     for name, rows in marts.items():
         rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
         spark.sql("ANALYZE TABLE IDENTIFIER(:t) COMPUTE STATISTICS", args={"t": f"{database}.{name}"})
+
+
+def load_audience(spark: SparkSession, folder: str, database: str = "audience") -> list[str]:
+    """The audience's tables from a folder of <table>.parquet, each with its declared
+    columns, replaced whole in a database of their own; returns those that were there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    there = [n for n in AUDIENCE if path(f"{folder}/{n}.parquet").getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(f"{folder}/{n}.parquet"))]
+    if not there:
+        raise FileNotFoundError(f"no table of the audience in {folder}")
+    save_marts({n: conform(spark.read.parquet(f"{folder}/{n}.parquet"), AUDIENCE[n]) for n in there}, database)
+    return there

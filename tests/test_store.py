@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tempograin.plans import extract
 from tempograin.sources import catalog, framecache, manifest, raw, scripts, snapshot
-from tempograin.sources.schemas import RAW
+from tempograin.sources.schemas import AUDIENCE, RAW
 
 
 def decoder(log, dies_at=None):
@@ -169,3 +169,17 @@ def test_sizes_without_scans(spark, tmp_path, monkeypatch):
         assert catalog.footer_rows(files) == 41
     finally:
         spark.sql("DROP DATABASE sized CASCADE")
+
+
+def test_audience_tables(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        catalog.load_audience(spark, str(tmp_path), "panel")
+    spark.createDataFrame([("v1", 0.5), ("v2", None)], "viewer_id string, d_score double").write.parquet(f"{tmp_path}/iat_scores.parquet")
+    spark.createDataFrame([("s1", 3, "extra")], "session_id string, watch_time_s int, other string").write.parquet(f"{tmp_path}/sessions.parquet")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS panel LOCATION '{tmp_path}/db'")
+    try:
+        assert catalog.load_audience(spark, str(tmp_path), "panel") == ["sessions", "iat_scores"] == catalog.load_audience(spark, str(tmp_path), "panel")
+        assert spark.table("panel.iat_scores").columns == AUDIENCE["iat_scores"].names and spark.table("panel.iat_scores").count() == 2
+        assert spark.table("panel.sessions").first()["watch_time_s"] == 3 and "other" not in spark.table("panel.sessions").columns
+    finally:
+        spark.sql("DROP DATABASE panel CASCADE")
