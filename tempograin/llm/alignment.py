@@ -214,14 +214,14 @@ def _radix(pair: np.ndarray) -> np.ndarray:
 _WRITTEN = "slice long, at int, groups_sha256 string, n_a long, n_b long, n_groups long, n_links long, radix int, run binary"
 
 
-def _spill(a_file: str, b_file: str, ids: StructType):
+def _spill(a_file: str, b_file: str, ids: StructType, slice_bytes: int):
     """Texts -> a row for each, with its own figures, and a run of records for
     each slice and radix."""
     names = [*(f.name for f in ids.fields), *(f.name for f in StructType.fromDDL(_WRITTEN).fields)]
 
     def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, number = vocabularies(a_file, b_file), TaskContext.get().partitionId() << 32
-        for b in slices(batches, most=SLICE):
+        for b in slices(batches, most=slice_bytes):
             found, pair, text, links = digest(v, [x.as_py() or b"" for x in b.column("text").cast(pa.large_binary())])
             radix, runs = _radix(pair), []
             for r in np.unique(radix).tolist():
@@ -289,11 +289,11 @@ def _give_back(runs: pa.Table, counts: pa.Table) -> pa.Table:
     return pa.table({"slice": runs.column("slice").combine_chunks(), "given": pa.array(given, pa.binary())})
 
 
-def align(docs: DataFrame, a_file: str | None = None, b_file: str | None = None, radix_block: int = BLOCK) -> DataFrame:
+def align(docs: DataFrame, a_file: str | None = None, b_file: str | None = None, radix_block: int = BLOCK, slice_bytes: int = SLICE) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_a, n_b, n_groups, n_links, n_best (links
     whose pair counts as much as any of its B id), count_sum (of the pairs' counts,
     over the links), groups_sha256."""
-    found = _written(docs, a_file, b_file)
+    found = _written(docs, a_file, b_file, slice_bytes)
     runs = _blocks(found, radix_block)
     given = runs.groupBy("radix", "block").cogroup(_to_blocks(_pair_counts(runs), runs).groupBy("part", "of")).applyInArrow(lambda x, y: _give_back(x, y), "slice long, given binary")
     texts = found.filter("at is not null").drop("radix", "run")
@@ -311,17 +311,17 @@ def align(docs: DataFrame, a_file: str | None = None, b_file: str | None = None,
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
-def pair_counts(docs: DataFrame, a_file: str | None = None, b_file: str | None = None, radix_block: int = BLOCK) -> DataFrame:
+def pair_counts(docs: DataFrame, a_file: str | None = None, b_file: str | None = None, radix_block: int = BLOCK, slice_bytes: int = SLICE) -> DataFrame:
     """docs (text) -> a_id, b_id, n: the links of the corpus that hold the pair."""
-    counts = _pair_counts(_blocks(_written(docs.select(F.lit(0).alias("doc_id"), "text"), a_file, b_file), radix_block))
+    counts = _pair_counts(_blocks(_written(docs.select(F.lit(0).alias("doc_id"), "text"), a_file, b_file, slice_bytes), radix_block))
     return counts.select((F.col("pair") % (1 << _ID_BITS)).cast("int").alias("a_id"), F.shiftright("pair", _ID_BITS).cast("int").alias("b_id"), "n")
 
 
-def _written(docs: DataFrame, a_file: str | None, b_file: str | None) -> DataFrame:
+def _written(docs: DataFrame, a_file: str | None, b_file: str | None, slice_bytes: int) -> DataFrame:
     a_file, b_file = a_file or f"{tokenizer_folder()}/byte_bpe_50k.json", b_file or f"{tokenizer_folder()}/piece_bpe_32k.model"
     slim = docs.select("doc_id", "text")
     ids = StructType([StructField("doc_id", slim.schema["doc_id"].dataType)])  # null in the rows of runs
-    return stored(slim.mapInArrow(_spill(a_file, b_file, ids), StructType([*ids.fields, *StructType.fromDDL(_WRITTEN).fields])))
+    return stored(slim.mapInArrow(_spill(a_file, b_file, ids, slice_bytes), StructType([*ids.fields, *StructType.fromDDL(_WRITTEN).fields])))
 
 
 def _blocks(found: DataFrame, runs: int) -> DataFrame:

@@ -32,6 +32,7 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
@@ -43,6 +44,8 @@ from pyspark.sql import functions as F
 from .common import LOWER, SPACES, joined, mix64, release, slices, stored, word_hashes, word_spans
 
 GROUP_TOKENS, SLICE = 2_000_000, 8 << 20
+#: Parts of the parent for each root of the groups.
+SHARDS = 8
 #: Words that are sent as places in a list of them (64 MB), at most; others are sent as hashes.
 TOP_WORDS = 8_000_000
 BURN_IN, SAMPLES, BLOCKS = 2, 2, 4
@@ -89,6 +92,12 @@ def _decoded(top: np.ndarray, known: np.ndarray, steps: np.ndarray, others: np.n
     return out
 
 
+def shards_of(groups: int) -> int:
+    """Parts that the dishes, and so the parent, are dealt to. A group sends a
+    message to each, so these grow with the root of the groups."""
+    return min(groups, math.ceil(SHARDS * math.sqrt(groups)))
+
+
 class Shared(NamedTuple):
     """What every task knows: sizes and frequent words."""
 
@@ -99,6 +108,7 @@ class Shared(NamedTuple):
     hot_count: np.ndarray
     most: int  # training tokens of a group
     top: np.ndarray  # sorted hashes of the most frequent words, which are sent as their places here
+    shards: int  # parts of the parent
 
     def parts(self, dish: np.ndarray, context: np.ndarray) -> np.ndarray:
         """In how many parts the pairs are dealt: of a quarter of a group at most, were all
@@ -238,9 +248,9 @@ class Group:
         self.split = np.flatnonzero(shared.parts(self.dishes[self.dish], self.contexts[self.context]) > 1)
         self.told = np.concatenate([self.dishes, _context_key(self.contexts[self.hot]), _pair_key(self.dishes[self.dish[self.split]], self.contexts[self.context[self.split]])])
         self.kind = np.repeat(np.arange(3, dtype=np.uint8), [len(self.dishes), len(self.hot), len(self.split)])
-        to = (mix64(self.told) % np.uint64(shared.groups)).astype(np.int64)
+        to = (mix64(self.told) % np.uint64(shared.shards)).astype(np.int64)
         self.deal = np.lexsort((self.told, to))
-        self.bounds = np.searchsorted(to[self.deal], np.arange(shared.groups + 1))
+        self.bounds = np.searchsorted(to[self.deal], np.arange(shared.shards + 1))
         # Customers of the pairs with two or more; the table of each, named by a seat of the pair.
         self.many = np.flatnonzero(self.count > 1)
         self.size = self.count[self.many]
@@ -255,12 +265,12 @@ class Group:
         return np.concatenate([by_dish, by_context[self.hot], of_pairs[self.split]]).astype(np.int64)
 
     def messages(self, *columns: np.ndarray, keys: np.ndarray | None = None) -> list[bytes]:
-        """What each group of dishes is told, in a fixed order; of what, if it doesn't know."""
+        """What each shard of dishes is told, in a fixed order; of what, if it doesn't know."""
         code = lambda at: [] if keys is None else _coded(keys, self.told[at])
         return [_squeeze(*code(self.deal[i:j]), *(c[self.deal[i:j]] for c in columns)) for i, j in zip(self.bounds, self.bounds[1:], strict=False)]
 
     def answers(self, blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-        """The answers of all groups of dishes: columns in the order of ``told``, and their sums added up."""
+        """The answers of all shards of dishes: columns in the order of ``told``, and their sums added up."""
         rows = [_spread(x) for x in blobs]
         columns = []
         for k in range(len(rows[0]) - 1):
@@ -353,7 +363,7 @@ def _tell_second(shared: Shared, group: Group, number: int, first: list[bytes])
 
 
 def _answer(shared: Shared, number: int, first: dict[int, bytes], second: dict[int, bytes] | None) -> dict[int, bytes]:
-    """A group of dishes answers each group: customers, tables and the parent's
+    """A shard of dishes answers each group: customers, tables and the parent's
     tables of what it told; with its second message those of every sample too. Last
     the sums over all dishes here."""
     told = {i: [_decoded(shared.top, *x[:3]), *x[3:]] for i, x in ((i, _spread(x)) for i, x in sorted(first.items()))}
@@ -445,7 +455,7 @@ def released(work: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
     return (lambda one, other: run(one, other)) if work.__code__.co_argcount == 2 else lambda table: run(table)
 
 
-def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS, shards: int | None = None) -> DataFrame:
     """docs (doc_id, text) and which of them to learn from -> doc_id, train,
     n_tokens, n_known, train_tokens, base_score (unigrams with one added) and
     score: log10 probabilities of each whole text."""
@@ -465,7 +475,7 @@ def score_texts(docs: DataFrame, train: Column, group_tokens: int = GROUP_TOKENS
         if r["words"] <= TOP_WORDS:
             break
     top = np.sort(counts.filter(F.col("n") >= at_least).select("token").toArrow().column("token").to_numpy().view(np.uint64))
-    held = spark.sparkContext.broadcast(Shared(int(n), int(v), int(groups), word[order], count[order], int(group_tokens), top))
+    held = spark.sparkContext.broadcast(Shared(int(n), int(v), int(groups), word[order], count[order], int(group_tokens), top, shards or shards_of(int(groups))))
 
     def group_of(table: pa.Table) -> tuple[int, Group]:
         return table.column("group")[0].as_py(), Group(held.value, list(zip(table.column("slice").to_pylist(), table.column("blob").to_pylist(), strict=True)))

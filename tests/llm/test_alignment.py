@@ -66,7 +66,7 @@ def rows_of(spark, texts, **limits):
 
 
 @pytest.mark.parametrize("limit", [None, 1])
-def test_against_plain(spark, limit, monkeypatch):
+def test_against_plain(spark, limit):
     texts = ODD + fuzz(400)
     want, count = plain(texts)
     got, df = rows_of(spark, texts, **({"radix_block": limit} if limit else {}))
@@ -95,9 +95,8 @@ def test_long_and_empty(spark):
     assert one == two and one[0] > 60_000 and one[3] == one[0] + one[1] - one[2] and three[3] > 0
 
 
-def test_radix_runs_are_merged_whole(spark, monkeypatch):
+def test_radix_runs_are_merged_whole(spark):
     """Many slices: runs of several blocks add up to the same counts."""
     texts = fuzz(300) + ["the same words again and again"] * 50
     want = plain(texts)[0]
-    monkeypatch.setattr(alignment, "SLICE", 2_000)
-    assert rows_of(spark, texts, radix_block=3)[0] == want
+    assert rows_of(spark, texts, radix_block=3, slice_bytes=2_000)[0] == want

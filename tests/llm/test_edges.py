@@ -230,7 +230,7 @@ def test_language_model(spark, docs):
     assert seven["base_score"] == pytest.approx(sum(brute.math.log10((want[x] + 1) / (n + v + 1)) for x in ["one", "two", "three", None]))
 
 
-def _in_process(rows, groups, most):
+def _in_process(rows, groups, most, shards=None):
     """The passes of the model on (rid, text, train), without Spark: shared facts, and (number, group, answers) of each group."""
     import pyarrow as pa
 
@@ -238,7 +238,7 @@ def _in_process(rows, groups, most):
     known = pa.RecordBatch.from_pydict({"text": [r[1] for r in rows if r[2]]})
     word, n = np.unique(lm._tokens(known)[0], return_counts=True)
     hot = (n * 4 * groups >= n.sum()) & (groups > 1)
-    shared = lm.Shared(int(n.sum()), len(word), groups, word[hot], n[hot], most, word[::2])
+    shared = lm.Shared(int(n.sum()), len(word), groups, word[hot], n[hot], most, word[::2], shards or lm.shards_of(groups))
     blobs = {}
     for out in lm._pack(shared, iter([b.slice(i, 40) for i in range(0, b.num_rows, 40)])):
         for g, *x in zip(*(c.to_pylist() for c in out.columns), strict=True):
@@ -246,22 +246,22 @@ def _in_process(rows, groups, most):
     group = {g: lm.Group(shared, x) for g, x in sorted(blobs.items())}
     first = {g: lm._tell_first(shared, x) for g, x in group.items()}
     to = lambda told, j: {g: x[j] for g, x in told.items()}
-    said = [lm._answer(shared, j, to(first, j), None) for j in range(groups)]
+    said = [lm._answer(shared, j, to(first, j), None) for j in range(shared.shards)]
     second = {g: lm._tell_second(shared, x, g, [a[g] for a in said]) for g, x in group.items()}
-    said = [lm._answer(shared, j, to(first, j), to(second, j)) for j in range(groups)]
+    said = [lm._answer(shared, j, to(first, j), to(second, j)) for j in range(shared.shards)]
     return shared, [(g, x, [a[g] for a in said]) for g, x in group.items()]
 
 
-@pytest.mark.parametrize(("groups", "most"), [(1, 10**6), (3, 700), (11, 100)])
-def test_language_model_probabilities(groups, most):
+@pytest.mark.parametrize(("groups", "most", "shards"), [(1, 10**6, None), (3, 700, None), (11, 100, None), (11, 100, 3)])
+def test_language_model_probabilities(groups, most, shards):
     """The predictive probabilities after every context sum to one over the
-    vocabulary and one unknown word, however the tokens are dealt."""
+    vocabulary and one unknown word, however the tokens and the parent are dealt."""
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(12)]
     train = [(i, " ".join(rng.choice(words, 40, p=np.arange(12, 0, -1) / 78)), True) for i in range(50)]
     pairs = [f"{u} {w}" for u in words for w in [*words, "unknown"]] + [*words, "unknown", ""]
     rows = train + [(100 + i, x, False) for i, x in enumerate(pairs)]
-    shared, groups_ = _in_process(rows, groups, most)
+    shared, groups_ = _in_process(rows, groups, most, shards)
     total, once = {}, {}
     for number, group, answers in groups_:
         p, _ = lm._predictive(shared, group, number, answers)
@@ -276,12 +276,19 @@ def test_language_model_probabilities(groups, most):
     assert full == pytest.approx([1.0] * 13)
 
 
+def test_messages_grow_with_the_root():
+    """What the groups send is less than their square: so many messages a round."""
+    assert [lm.shards_of(g) for g in (1, 50, 2_500, 250_000)] == [1, 50, 400, 4_000]
+
+
 def test_language_model_groups_agree(spark):
-    """Scores don't hang on how many groups the tokens are dealt to."""
+    """Scores don't hang on how many groups the tokens are dealt to, nor on the shards of the parent."""
     rng = np.random.default_rng(6)
     words = np.array([f"w{i}" for i in range(300)])
     docs = spark.createDataFrame([(i, " ".join(words[np.minimum(rng.zipf(1.3, 60), 300) - 1])) for i in range(200)], "doc_id long, text string")
-    whole, parts = ({r["doc_id"]: r["score"] for r in lm.score_texts(docs, F.col("doc_id") % 5 != 0, group_tokens=g).collect()} for g in (lm.GROUP_TOKENS, 1500))
+    of = lambda g, n: {r["doc_id"]: r["score"] for r in lm.score_texts(docs, F.col("doc_id") % 5 != 0, group_tokens=g, shards=n).collect()}
+    whole, parts, few = of(lm.GROUP_TOKENS, None), of(1500, None), of(1500, 2)
+    assert all(abs(parts[i] - few[i]) < 0.02 * abs(parts[i]) for i in whole)
     assert all(abs(whole[i] - parts[i]) < 0.02 * abs(whole[i]) for i in whole)
 
 
