@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio, rnd
-from ..operators.vectors import largest, softmax_ranks
+from ..operators.vectors import dot, largest, softmax_ranks
 from ..sources.schemas import EMOTIONS
 
 NEAR_BLACK, SILENCE_DBFS, OCR_LEAST_SCORE, LEAST_CROP_PX, SHOT_FRAMES, HIST_BINS = 16, -50.0, 0.5, 24, 3, 64
@@ -44,7 +44,7 @@ def _picture(rgb: np.ndarray) -> dict:
         "dominant_hue_deg": float(np.median(hue)),
         "is_near_black": bool(high.mean() < NEAR_BLACK),
         "luma": gray.astype(np.float32).ravel().tolist(),
-        "hist": np.histogram(gray, HIST_BINS, (0, 256))[0].astype(float).tolist(),
+        "hist": (np.histogram(gray, HIST_BINS, (0, 256))[0] - gray.size / HIST_BINS).tolist(),
     }
 
 
@@ -73,10 +73,8 @@ _MEASURES = {"brightness": "double", "brightness_std": "double", "saturation": "
 
 
 def _correlation(a: str, b: str) -> Column:
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
-    away = lambda c: F.transform(c, lambda v: v - total(F.col(c)) / F.size(c))
-    product = lambda x, y: total(F.zip_with(x, y, lambda p, q: p * q))
-    return F.try_divide(product(away(a), away(b)), F.sqrt(product(away(a), away(a)) * product(away(b), away(b))))
+    """Of two arrays whose means are zero."""
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
 
 
 #: Samples of a short spectrum and of the step to the next; bins or spectra of the median that tells steady from sudden.
