@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 #: Modules that register queries.
-_MODULES = ("rollups", "joins", "sequences", "shaping", "text", "statistics", "checks", "creative_marts", "detect", "cuts", "beats", "media")
+_MODULES = ("rollups", "joins", "sequences", "shaping", "text", "statistics", "checks", "creative_marts", "detect", "cuts", "beats", "media", "stores")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
