@@ -98,34 +98,33 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stream(edges: dict[tuple[int, int], tuple[int, int]], least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows that lose their lines. The rows of a run's first documents wait
+    """The rows that lose their lines. A run is judged with its batch; the last
+    one may go on in the next, so the rows of its first documents wait there
     until it is known whether enough documents follow."""
-    now, docs, total, top, latest, waiting = None, 0, 0, None, None, []
+    now, docs, top, latest, waiting = None, 0, 0, 0, []
     for b in batches:
         if not b.num_rows:
             continue
-        h1, h2, ids, starts, _ = _runs(b)
-        ends = np.append(starts[1:], len(h1))
-        # A run of one row inside the batch is a line of one document.
-        walk = (ends - starts) > 1
-        walk[[0, -1]] = True
-        lose, rest = [], b.select(["id", "row", "n", "at"])
-        for s, e in zip(starts[walk].tolist(), ends[walk].tolist(), strict=True):
-            key = (int(h1[s]), int(h2[s]))
-            if key != now:
-                now, docs, latest, waiting = key, 0, None, []
-                total, top = edges.get(key) or (0, int(ids[s]))
-            for i in range(s, e):
-                docs, latest = docs + (ids[i] != latest), ids[i]
-                if max(total, docs) >= least:
-                    lose += waiting
-                    waiting = []
-                    if ids[i] != top:
-                        lose.append(rest.slice(i, 1).to_pylist()[0])
-                elif ids[i] != top and not total:
-                    waiting.append(rest.slice(i, 1).to_pylist()[0])
-        if lose:
-            yield pa.RecordBatch.from_pylist(lose, schema=_DROPS)
+        h1, h2, ids, starts, new_doc = _runs(b)
+        first, last = (int(h1[0]), int(h2[0])), (int(h1[-1]), int(h2[-1]))
+        tops, shared = ids[starts], np.add.reduceat(new_doc.astype(np.int64), starts)
+        if first == now:
+            shared[0] += docs - (latest == ids[0])
+            tops[0] = top
+        else:
+            waiting = []
+        docs = int(shared[-1])
+        for j, key in ((0, first), (len(starts) - 1, last)):  # these may reach into other partitions
+            shared[j], tops[j] = edges.get(key, (shared[j], tops[j]))
+        size = np.diff(np.append(starts, len(h1)))
+        rest, other = b.select(_DROPS.names), ids != np.repeat(tops, size)
+        if shared[0] >= least:
+            yield from waiting
+        yield rest.filter(pa.array(other & np.repeat(shared >= least, size)))
+        begun = waiting if first == last and shared[0] < least else []
+        now, top, latest = last, int(tops[-1]), int(ids[-1])
+        at = int(starts[-1])
+        waiting = [*begun, rest.slice(at).filter(pa.array(other[at:]))] if shared[-1] < least and last not in edges else []
 
 
 def keep_bitmap(n_lines: int, dropped: np.ndarray) -> bytes:
