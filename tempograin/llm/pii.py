@@ -36,6 +36,8 @@ from .common import LOWER, cut, guarded, joined, schema_of, slices, word_hashes,
 
 KINDS = ("email", "ip", "card", "phone", "term")
 NEAR, ALPHA, LEAST_JOINT, REMOVE_FROM = 6, 0.9, 3, 0.95
+#: A task adds up its counts of so many terms before it gives them away.
+HELD_TERMS = 1 << 18
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -98,6 +100,14 @@ def _terms(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word_hashes(data, s, e).view(np.int64), s, e
 
 
+def _summed(counts: np.ndarray) -> np.ndarray:
+    """(terms, numbers) -> distinct terms with the sums of their numbers."""
+    terms, place = np.unique(counts[0], return_inverse=True)
+    sums = np.zeros(len(terms), dtype=np.int64)
+    np.add.at(sums, place, counts[1])
+    return np.stack([terms, sums])
+
+
 def _near(text: str, spans: list[tuple[int, int, int]]) -> Iterator[list[int]]:
     """For each span the terms among the ``NEAR`` before and after it, however
     long they are; a term that any span touches is none."""
@@ -142,13 +152,17 @@ def disclosing_terms(docs: DataFrame) -> DataFrame:
     filter_ = spark.sparkContext.broadcast(BlockedBloom.build(terms, "term", terms.count()))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.empty((2, 0), dtype=np.int64)  # what the task has counted since it last gave rows
         for b in slices(batches):
             data, starts = joined(b.column("text"))
             h, s, _ = _terms(LOWER[data])
             hit = filter_.value.might_contain(h)
             both = np.unique(np.stack([h[hit], np.searchsorted(starts, s[hit], side="right")]), axis=1)[0] if hit.any() else h[:0]
-            t, n = np.unique(both, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(n, pa.int64())], names=["term", "n"])
+            held = _summed(np.concatenate([held, np.stack(np.unique(both, return_counts=True))], axis=1))
+            if held.shape[1] > HELD_TERMS:
+                yield pa.RecordBatch.from_arrays([*map(pa.array, held)], names=["term", "n"])
+                held = held[:, :0]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, held)], names=["term", "n"])
 
     df = docs.select("text").mapInArrow(counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("df_term"))
     n = float(docs.count())
