@@ -12,11 +12,53 @@ from pyspark.sql import functions as F
 from ..sources.lineage import cut
 
 
-def islands(rows: DataFrame, keys: list[str], time: str, gap: Column | float, name: str = "span_id") -> DataFrame:
-    """Numbers runs whose neighbours are at most ``gap`` apart, from 1 in each key."""
-    w = Window.partitionBy(*keys).orderBy(time)
-    new = F.when(F.col(time) - F.lag(time).over(w) <= gap, 0).otherwise(1)
-    return rows.withColumn("__new", new).withColumn(name, F.sum("__new").over(w)).drop("__new")
+#: The place of a row's range in the order of all ranges.
+PART = "__part"
+
+
+def in_ranges(rows: DataFrame, keys: list[str], order: list[str], ranges: int | None = None) -> DataFrame:
+    """The rows dealt to sorted ranges of keys and order, with ``PART``. A key may
+    be longer than a task holds; rows alike in keys and order stay together. Ranges come
+    from a sample, so the rows are written before they are used."""
+    n = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(rows.repartitionByRange(n, *keys, *order).withColumn(PART, F.spark_partition_id()))
+
+
+def _with_carried(rows: DataFrame, ends: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with ``__carried`` (of ends: keys, PART, __carried). Only the first key of a
+    range goes on from another, so there is a row for each range at most."""
+    into = ends.select(*(F.col(c).alias(f"__of{i}") for i, c in enumerate([*keys, PART])), "__carried")
+    on = [F.col(c).eqNullSafe(F.col(f"__of{i}")) for i, c in enumerate([*keys, PART])]
+    return rows.join(F.broadcast(into), on, "left").select(*rows.columns, "__carried")
+
+
+def running(dealt: DataFrame, keys: list[str], order: list[str], value: Column, name: str, ties_apart: bool = True) -> DataFrame:
+    """Rows of ``in_ranges`` with the sum of a value along their key up to them;
+    rows alike in the order have one sum unless they are kept apart. Sums inside the ranges
+    are moved by those of the key's ranges before. Order may be another one than
+    that of the ranges if it sorts the key's rows alike."""
+    w = Window.partitionBy(PART, *keys).orderBy(*order)
+    inside = dealt.withColumn("__value", value).withColumn(name, F.sum("__value").over(w.rowsBetween(Window.unboundedPreceding, 0) if ties_apart else w))
+    before = F.sum("__sum").over(Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1))
+    ends = dealt.groupBy(*keys, PART).agg(F.sum(value).alias("__sum")).withColumn("__carried", before).filter("__carried is not null")
+    return _with_carried(inside, ends, keys).withColumn(name, F.coalesce(F.col(name) + F.col("__carried"), name, "__carried")).drop("__value", "__carried")
+
+
+def previous(dealt: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """Rows of ``in_ranges`` with the value of the row before along their key, null for the first."""
+    w = Window.partitionBy(PART, *keys).orderBy(*order)
+    last = dealt.groupBy(*keys, PART).agg(F.max_by(F.struct(value), F.struct(*order)).alias("__last"))
+    ends = last.withColumn("__carried", F.lag("__last").over(Window.partitionBy(*keys).orderBy(PART))).filter("__carried is not null")
+    inside = dealt.withColumn("__first", F.row_number().over(w) == 1).withColumn(name, F.lag(value).over(w))
+    return _with_carried(inside, ends, keys).withColumn(name, F.when(F.col("__first"), F.col("__carried")[value]).otherwise(F.col(name))).drop("__first", "__carried")
+
+
+def islands(rows: DataFrame, keys: list[str], time: str, gap: Column | float, name: str = "span_id", ranges: int | None = None) -> DataFrame:
+    """Numbers runs whose neighbours are at most ``gap`` apart, from 1 in each key.
+    Time before and number are carried from range to range, so no key is one task's work."""
+    timed = previous(in_ranges(rows, keys, [time], ranges), keys, [time], time, "__before")
+    new = F.when(F.col(time) - F.col("__before") <= gap, 0).otherwise(1)
+    return running(timed, keys, [time], new, name, ties_apart=False).drop("__before", PART)
 
 
 def first_in(keys: list[str], order: str) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import rnd, sampled, top_by
-from ..operators.sequences import autoregressive, first_crossing, first_in, global_number, islands, latest_per_key
+from ..operators.sequences import autoregressive, first_crossing, global_number, in_ranges, islands, latest_per_key, previous, running
 from ..registry import query
 from .base import SIGNALS, signals, table
 
@@ -50,8 +50,12 @@ def topk_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FRAMES = f"{SIGNALS}, frames AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS frame_index FROM sig)"
 
 
+_USER, _TIME = ["user_id"], ["t", "event_id"]
+
+
 def frames(signal: DataFrame) -> DataFrame:
-    return signal.withColumn("frame_index", F.row_number().over(Window.partitionBy("user_id").orderBy("t", "event_id")).cast("long"))
+    """Numbers the events of each user; they stay in ranges, as a user may have a third of all."""
+    return running(in_ranges(signal, _USER, _TIME), _USER, _TIME, F.lit(1), "frame_index")
 
 
 @query(f"""WITH {_FRAMES} SELECT user_id, frame_index, ((frame_index - 1) % 4 = 0) AS is_sampled, CASE WHEN (frame_index - 1) % 4 = 0 THEN CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END END AS n_found FROM frames""")
@@ -64,15 +68,15 @@ _SHOTS = f"""{_FRAMES}, shots AS (SELECT *, CAST(sum(CASE WHEN event_type = 'sig
 
 
 def _shots(signal: DataFrame) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("t", "event_id")
-    return frames(signal).withColumn("shot_index", F.sum(F.when(F.col("event_type") == "signup", 1).otherwise(0)).over(w))
+    return running(frames(signal), _USER, _TIME, F.when(F.col("event_type") == "signup", 1).otherwise(0), "shot_index")
 
 
 @query(f"""WITH {_SHOTS} SELECT user_id, frame_index, shot_index, row_number() OVER (PARTITION BY user_id, shot_index ORDER BY frame_index) = 1 AS is_shot_start,
 (row_number() OVER (PARTITION BY user_id, shot_index ORDER BY frame_index) = 1 AND shot_index > 0) AS is_cut FROM shots""")
 def first_in_partition_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = first_in(["user_id", "shot_index"], "frame_index")
-    return _shots(signals(spark, sf_dir)).select("user_id", "frame_index", "shot_index", first.alias("is_shot_start"), (first & (F.col("shot_index") > 0)).alias("is_cut"))
+    numbered = running(_shots(signals(spark, sf_dir)), ["user_id", "shot_index"], ["frame_index"], F.lit(1), "in_shot")
+    first = F.col("in_shot") == 1
+    return numbered.select("user_id", "frame_index", "shot_index", first.alias("is_shot_start"), (first & (F.col("shot_index") > 0)).alias("is_cut"))
 
 
 @query(f"""WITH {_SHOTS}, f AS (SELECT user_id, shot_index, row_number() OVER (PARTITION BY user_id, shot_index ORDER BY frame_index) = 1 AND shot_index > 0 AS is_cut FROM shots)
@@ -84,8 +88,8 @@ def cut_reconstruction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SIGNALS} SELECT event_id, round(abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY t, event_id)), 5) AS motion FROM sig")
 def lag_diff_motion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = F.lag("value").over(Window.partitionBy("user_id").orderBy("t", "event_id"))
-    return signals(spark, sf_dir).select("event_id", rnd(F.abs(F.col("value") - before), 5).alias("motion"))
+    timed = previous(in_ranges(signals(spark, sf_dir), _USER, _TIME), _USER, _TIME, "value", "before")
+    return timed.select("event_id", rnd(F.abs(F.col("value") - F.col("before")), 5).alias("motion"))
 
 
 @query("""SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1""")

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tempograin.functions import columns as C
@@ -68,6 +69,25 @@ def test_as_of_ties_nulls_and_one_hot_key(spark, ranges):
     assert timejoin.asof_backward(p.filter("false"), s, ["k"], "t", "s", ["v"], ranges).count() == 0
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_along_keys_in_ranges(spark, ranges):
+    """One key holds most rows; null keys, times and values, ties in time."""
+    times = [("hot", float(i * i % 97), i) for i in range(300)] + [(None, 1.0, 1000), (None, 5.0, 1001), ("b", None, 1002), ("b", 2.0, None), ("c", 3.0, 1004)]
+    rows = spark.createDataFrame([(k, t, v, i) for i, (k, t, v) in enumerate(times)], "k string, t double, v int, i int").cache()
+    w = Window.partitionBy("k").orderBy("t", "i")
+    want = rows.select("i", F.row_number().over(w).alias("n"), F.lag("v").over(w).alias("p"), F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+    dealt = sequences.in_ranges(rows, ["k"], ["t", "i"], ranges)
+    got = sequences.running(dealt, ["k"], ["t", "i"], F.lit(1), "n")
+    got = sequences.running(sequences.previous(got, ["k"], ["t", "i"], "v", "p"), ["k"], ["t", "i"], F.col("v"), "s").select("i", "n", "p", "s")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    one = Window.partitionBy("k").orderBy("t")
+    new = rows.withColumn("new", F.when(F.col("t") - F.lag("t").over(one) <= 1.0, 0).otherwise(1)).withColumn("x", F.sum("new").over(one))
+    spans = sequences.islands(rows, ["k"], "t", 1.0, "x", ranges)
+    assert sorted((r["i"], r["x"]) for r in spans.collect()) == sorted((r["i"], r["x"]) for r in new.collect())
+    assert spans.columns == ["k", "t", "v", "i", "x"]
+    assert sequences.islands(rows.filter("false"), ["k"], "t", 1.0, "x", ranges).count() == 0
+
+
 def test_sequences(spark):
     rows = spark.createDataFrame([("a", float(t)) for t in (0, 1, 2, 5, 7, 20)] + [("b", 3.0)], "k string, t double")
     assert [r["span"] for r in sequences.islands(rows, ["k"], "t", 2.0, "span").orderBy("k", "t").collect()] == [1, 1, 1, 2, 2, 3, 1]
