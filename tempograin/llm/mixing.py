@@ -122,21 +122,28 @@ def _start(copy: Column | int) -> Column:
 
 def queue_end(queue: DataFrame, copies: int = MOST_COPIES) -> Cut:
     """Sorts the packets of all copies by finish time, in ranges, and truncates
-    them at the budget, the words of all documents."""
-    rows = queue.filter("size > 0").withColumn("start", F.explode(F.array(*map(_start, range(copies))))).filter(F.col("start") <= F.col("latest") * F.col("target"))
-    packets = rows.withColumn("packet", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / PACKET))))
-    packets = packets.select("place", "total", "latest", _finish(F.col("start"), _packet_end(F.col("packet"))).alias("finish"), (_packet_end(F.col("packet")) - F.col("packet") * PACKET).alias("words"))
+    them at the budget, the words of all documents. A copy whose packets all lie in one
+    range is added up whole; packets are rows only where a copy reaches
+    over the end of a range, and in the range of the cut."""
     ranges = min(QUEUE_RANGES, 8 * max(1, -(-queue.count() // RANGE_ROWS)))
     # The queue serves words evenly in virtual time, so equal ranges of it are equal work.
-    packets = packets.withColumn("range", F.floor(F.col("finish") / F.col("latest") * ranges))
-    sums = packets.groupBy("range").agg(F.sum("words").alias("words"), F.max("total").alias("total"))
+    of = lambda f: F.floor(f / F.col("latest") * ranges)
+    finished = lambda packet: _finish(F.col("start"), _packet_end(packet))
+    words = lambda packet: _packet_end(packet) - packet * PACKET
+    rows = queue.filter("size > 0").withColumn("start", F.explode(F.array(*map(_start, range(copies))))).filter(F.col("start") <= F.col("latest") * F.col("target"))
+    rows = rows.withColumns({"packets": F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / PACKET)), "first": of(finished(F.lit(0))), "last": of(_finish(F.col("start"), F.col("size")))})
+    parts = F.transform("packets", lambda p: F.struct(of(finished(p)).alias("range"), words(p).cast("long").alias("words")))
+    whole = F.array(F.struct(F.col("first").alias("range"), F.col("size").alias("words")))
+    shares = rows.select("total", F.explode(F.when(F.col("first") == F.col("last"), whole).otherwise(parts)).alias("s")).select("total", "s.*")
+    sums = shares.groupBy("range").agg(F.sum("words").alias("words"), F.max("total").alias("total"))
     before = lambda *keys: F.coalesce(F.sum("words").over(Window.partitionBy(*keys[:-1]).orderBy(*keys[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     reached = (F.col("before") < F.col("total")) & (F.col("before") + F.col("words") >= F.col("total"))
     last = sums.withColumn("before", before(F.lit(0), ["range"])).filter(reached).first()
     if last is None:
         return Cut(float("inf"), 0, 0)
-    inside = packets.filter(F.col("range") == last["range"]).withColumn("before", F.lit(last["before"]) + before("range", ["finish", "place"]))
-    at = inside.filter(reached).first()
+    near = rows.filter((F.col("first") <= last["range"]) & (F.col("last") >= last["range"])).withColumn("packet", F.explode("packets"))
+    near = near.select("place", "total", finished(F.col("packet")).alias("finish"), words(F.col("packet")).alias("words"), of(finished(F.col("packet"))).alias("range")).filter(F.col("range") == last["range"])
+    at = near.withColumn("before", F.lit(last["before"]) + before("range", ["finish", "place"])).filter(reached).first()
     return Cut(at["finish"], at["place"], at["total"] - at["before"])
 
 
