@@ -7,6 +7,8 @@ modes take the lowest of equally frequent values, texts are joined in order.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ..functions.columns import display_name, first_known, joined_distinct, most
 from ..operators.sequences import first_in, global_number, islands
 from ..operators.timejoin import asof_backward, overlap_flag, points_in_intervals
 
-Raw = dict[str, DataFrame]
+Raw = Mapping[str, DataFrame]
 AXES = ("shot_scale", "setting", "subject", "style")
 #: Seconds of a time bucket for interval joins; intervals are seconds long.
 BUCKET_S = 5.0
@@ -33,7 +35,8 @@ def _position(start: str, digits: int = 4) -> Column:
 
 
 def _with_length(rows: DataFrame, creatives: DataFrame) -> DataFrame:
-    """Rows of known creatives, with the creative's duration as __length."""
+    """Rows of known creatives, with the creative's duration as __length. Of
+    the creatives only this is read, so their raw metadata serve as well as the mart."""
     return rows.join(creatives.select("creative_id", F.col("duration_s").alias("__length")), "creative_id")
 
 
@@ -76,8 +79,8 @@ def shots(raw: Raw, creative: DataFrame) -> DataFrame:
     )
     objects = inside("object_detections", "class_name").agg(F.countDistinct("class_name").alias("n_object_classes"), joined_distinct("class_name").alias("object_classes"))
     text = inside("screen_text_detections", "height_frac").agg(F.count("*").alias("n_text_detections"), rnd(F.max("height_frac"), 4).alias("max_text_height_frac"))
-    facts = creative.select("creative_id", F.col("duration_s").alias("__length"), F.col("n_shots").alias("__n"))
-    whole = raw["shot_boundaries"].select(*keys, "start_s", "end_s", "duration_s").join(facts, "creative_id")
+    n = raw["shot_boundaries"].groupBy("creative_id").agg(F.count("*").alias("__n"))
+    whole = _with_length(raw["shot_boundaries"].select(*keys, "start_s", "end_s", "duration_s"), creative).join(n, "creative_id")
     whole = whole.withColumns({"position_in_ad": rnd(ratio("start_s", "__length"), 4), "is_first_shot": F.col("shot_index") == 0, "is_last_shot": F.col("shot_index") == F.col("__n") - 1}).drop("__length", "__n")
     for part in (tops, visual, audio, faces, objects, text):
         whole = whole.join(part, keys, "left")
@@ -232,17 +235,17 @@ def detail_tables(raw: Raw, creative: DataFrame) -> dict[str, DataFrame]:
 
 def all_marts(raw: Raw) -> dict[str, DataFrame]:
     """Every mart by name, frames and seconds cached for their many readers."""
-    c = creatives(raw)
-    frames = creative_frames(raw, c).cache()
-    seconds, text = creative_seconds(frames, c).cache(), screen_text(raw)
+    c, known = creatives(raw), raw["creative_metadata"]
+    frames = creative_frames(raw, known).cache()
+    seconds, text = creative_seconds(frames, known).cache(), screen_text(raw)
     return {
         "creatives": c,
-        "shots": shots(raw, c),
-        "transcript_segments": transcript_segments(raw, c),
-        "transcript_words": transcript_words(raw, c),
+        "shots": shots(raw, known),
+        "transcript_segments": transcript_segments(raw, known),
+        "transcript_words": transcript_words(raw, known),
         "screen_text": text,
         "creative_frames": frames,
         "creative_seconds": seconds,
         "creative_summary": creative_summary(raw, c, seconds, text),
-        **detail_tables(raw, c),
+        **detail_tables(raw, known),
     }
