@@ -160,7 +160,8 @@ _MAYBE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 def _units(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """Where the units start: texts, and single blanks between characters that
-    surely aren't white space. ``data`` begins with three bytes and ends with one that are of no text."""
+    surely aren't white space. ``data`` begins with three bytes and ends with one that are of no text;
+    the last is a blank, as behind any other text: a blank that ends a text isn't between two characters."""
     at = np.flatnonzero(data[3:-1] == 0x20) + 3
     before, after = data[at - 1], data[at + 1]
     wide = (before >= 0x80) & (_MAYBE[data[at - 2]] | _MAYBE[data[at - 3]])
@@ -172,7 +173,7 @@ def digest(v: Vocabularies, texts: list[bytes]) -> tuple[list[tuple[str, int, in
     place of the text and links of each record, sorted."""
     filled = [i for i, x in enumerate(texts) if x]
     starts = np.cumsum([3, *(len(texts[i]) + 1 for i in filled)])
-    data = np.frombuffer(b"\0\0\0" + b"".join(b" " + texts[i] for i in filled) + b"\0", dtype=np.uint8)
+    data = np.frombuffer(b"\0\0\0" + b"".join(b" " + texts[i] for i in filled) + b" ", dtype=np.uint8)
     at = _units(data, starts[:-1])
     if not len(at):
         return [_NONE] * len(texts), _EMPTY, _EMPTY, _EMPTY

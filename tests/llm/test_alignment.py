@@ -75,6 +75,16 @@ def test_against_plain(spark, limit):
     assert pairs == dict(count)
 
 
+@pytest.mark.parametrize("last", ["a ", "of 漢 e ", "ab " * 300, "a", " ", "x\u3000 "])
+def test_last_text_of_a_slice(last):
+    """A blank that ends the last text is as one that ends any other."""
+    texts = ["two words", last]
+    want, count = plain(texts)
+    found, pair, _, links = alignment.digest(alignment.vocabularies(A, B), [t.encode() for t in texts])
+    assert [(*n, sha) for sha, *n in found] == [(*w[:4], w[6]) for w in want]
+    assert sum(links.tolist()) == sum(count.values()) and set(pair.tolist()) == {b << alignment._ID_BITS | a for b, a in count}
+
+
 def test_encoders_agree_on_every_character():
     """Units are split as the published tokenizer splits them, whatever stands beside a character."""
     a, v = Tokenizer.from_file(A), alignment.vocabularies(A, B)
