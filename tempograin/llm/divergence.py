@@ -38,11 +38,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, joined, release, slices, stored, word_hashes, word_spans
+from .common import LOWER, joined, release, slices, stored, word_spans
 
 LEAST_DOCS, TOP, SCALE = 10, 10, 1_000_000_000
-#: Distinct terms of groups that a task holds before it hands its counts on.
-HELD = 400_000
+#: Counts of terms of groups that a task holds before it adds them up; where more than half are left, it hands them on.
+HELD = 1_000_000
+#: Counts among which a task looks for skybands at a time, at least.
+BANDED = 200_000
 #: Counts of a language's terms that are met at a time, about.
 TERMS = 200_000
 #: Tasks whose skybands are merged at a time.
@@ -61,59 +63,75 @@ def _numbered(b: pa.RecordBatch) -> tuple[np.ndarray, list[tuple[str, str]]]:
 
 
 class _Counts:
-    """Occurrences and documents of each term of each group, for a part of the rows."""
+    """Occurrences and documents of each term of each group, for a part of the rows:
+    columns (group's number, term, occurrences, documents), added up when many are held."""
 
     def __init__(self):
-        self.groups: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.parts: list[tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]] = []
         self.size = 0
 
+    def hold(self, *part: np.ndarray | pa.Array) -> None:
+        self.parts.append(part)
+        self.size += len(part[0])
+
     def add(self, b: pa.RecordBatch) -> None:
         data, starts = joined(b.column("text"))
         low = LOWER[data]
-        s, e = word_spans(_TERM[low])
-        text = np.searchsorted(starts, s, side="right") - 1
+        inside = _TERM[low]
+        s, e = word_spans(inside)
         of, pair = _numbered(b)
-        h, group = word_hashes(low, s, e), of[text]
-        order = np.lexsort((text, h, group))
-        h, group, text = h[order], group[order], text[order]
-        new_doc = np.ones(len(h), dtype=bool)
-        new_doc[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (group[1:] != group[:-1])
-        at = np.flatnonzero(new)
-        n = np.diff(np.append(at, len(h)))
-        docs = np.add.reduceat(new_doc, at, dtype=np.int64) if len(at) else n
-        raw = low.tobytes()
-        for g, i, j, x, d in zip(group[at].tolist(), s[order[at]].tolist(), e[order[at]].tolist(), n.tolist(), docs.tolist(), strict=True):
-            held = self.groups.setdefault(pair[g], {})
-            now = held.get(raw[i:j])
-            if now is None:
-                held[raw[i:j]] = [x, d]
-                self.size += 1
-            else:
-                now[0] += x
-                now[1] += d
-        for p in pair:  # a group without terms is a group
-            self.groups.setdefault(p, {})
+        number = np.array([self.groups.setdefault(g, len(self.groups)) for g in pair], dtype=np.int64)
+        if not len(s):  # a group without terms is a group
+            return
+        text = np.searchsorted(starts, s, side="right") - 1
+        ends = np.concatenate([[0], np.cumsum(e - s)])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(s), [None, pa.py_buffer(ends), pa.py_buffer(low[inside])]).dictionary_encode()
+        distinct = len(words.dictionary)
+        # Group, term and text in one number, all small in a slice: sorted, equal ones lie together.
+        key = (of[text] * distinct + words.indices.to_numpy()) * b.num_rows + text
+        key.sort()
+        new_doc = np.diff(key, prepend=-1) != 0
+        key //= b.num_rows
+        at = np.flatnonzero(np.diff(key, prepend=-1))
+        n, key = np.diff(np.append(at, len(key))), key[at]
+        self.hold(number[key // distinct], words.dictionary.take(pa.array(key % distinct)), n, np.add.reduceat(new_doc, at, dtype=np.int64))
+
+    def add_up(self) -> None:
+        """One row for each term of a group, instead of one for each slice."""
+        if len(self.parts) < 2:
+            return
+        group, n, docs = (np.concatenate([p[c] for p in self.parts]) for c in (0, 2, 3))
+        words = pa.concat_arrays([p[1] for p in self.parts]).dictionary_encode()
+        distinct = len(words.dictionary)
+        key = group * distinct + words.indices.to_numpy()
+        order = np.argsort(key)
+        key = key[order]
+        at = np.flatnonzero(np.diff(key, prepend=-1))
+        key = key[at]
+        self.parts, self.size = [], 0
+        self.hold(key // distinct, words.dictionary.take(pa.array(key % distinct)), np.add.reduceat(n[order], at), np.add.reduceat(docs[order], at))
 
     def batch(self) -> pa.RecordBatch:
         """All counts, and a row without a term for each group."""
-        rows = [(lang, source, None, 0, 0) for lang, source in self.groups]
-        rows += [(lang, source, t, n, d) for (lang, source), held in self.groups.items() for t, (n, d) in held.items()]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        types = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        arrays[2] = arrays[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])
+        self.add_up()
+        many = len(self.groups)
+        none = np.arange(many), pa.nulls(many, pa.large_binary()), np.zeros(many, dtype=np.int64), np.zeros(many, dtype=np.int64)
+        group, term, n, docs = zip(none, *self.parts, strict=True)
+        lang, source = (pa.array([g[c] for g in self.groups], pa.string()).take(pa.array(np.concatenate(group))) for c in (0, 1))
+        columns = [lang, source, pa.concat_arrays(term).cast(pa.binary()).cast(pa.string()), pa.array(np.concatenate(n)), pa.array(np.concatenate(docs))]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
     held = _Counts()
     for b in slices(batches):
         held.add(b)
-        if held.size > HELD:
-            yield held.batch()
-            held = _Counts()
+        if held.size > most:
+            held.add_up()
+            if held.size > most // 2 or len(held.groups) > most:
+                yield held.batch()
+                held = _Counts()
             release()
     yield held.batch()
 
@@ -164,23 +182,32 @@ def skyband(group: np.ndarray, lang: np.ndarray, place: np.ndarray, k: int) -> n
         over = ((x[kept] <= x[block][:, None]) & (y[kept] < y[block][:, None])).sum(axis=1)
         block, over = block[over < k], over[over < k]
         inside = np.tril((x[block] <= x[block][:, None]) & (y[block] < y[block][:, None]), -1)
-        # Only dominators that stay count: k of them are enough, and each of the first k has fewer than k.
-        stay = np.zeros(len(block), dtype=bool)
-        for i in range(len(block)):
-            stay[i] = over[i] + (inside[i] & stay).sum() < k
-        kept = np.append(kept, block[stay])
+        # Dominators that went count no more: the first k of whoever has k or more are all in the skyband.
+        kept = np.append(kept, block[over + inside.sum(axis=1) < k])
     out = np.zeros(len(order), dtype=bool)
     out[order[kept]] = True
     return out
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of so many or more (but the last), without empty ones."""
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.num_rows
+        if size >= rows:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _bands(k: int):
-    """The rows (lang, source, term, n, lang_n) of a batch that are in the skyband of their group there."""
+    """The rows (lang, source, term, n, lang_n) of some batches that are in the skyband of their group there."""
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in _gathered(batches, BANDED):
             terms = b.column("term").cast(pa.binary())
             place = np.empty(b.num_rows, dtype=np.int64)
             place[pc.sort_indices(terms).to_numpy()] = np.arange(b.num_rows)

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tempograin.llm import divergence
@@ -74,6 +75,47 @@ def test_few_at_a_time(spark, monkeypatch):
     assert got(spark, rows, least=2, top=3) == plain(rows, 2, 3)
 
 
+def counted(rows, **limits):
+    """What the batches of a task add up to: occurrences and documents of each term of a group."""
+    out = defaultdict(lambda: [0, 0])
+    text, lang, source = (pa.array(c, pa.string()) for c in zip(*rows, strict=True))
+    batch = pa.RecordBatch.from_arrays([lang, source, text], names=["lang", "source", "text"])
+    made = list(divergence._count(iter([batch.slice(i, 40) for i in range(0, len(rows), 40)]), **limits))
+    for b in made:
+        for r in b.to_pylist():
+            now = out[r["lang"], r["source"], r["term"]]
+            now[0] += r["n"]
+            now[1] += r["docs"]
+    return {k: tuple(v) for k, v in out.items()}, made
+
+
+def counted_plainly(rows):
+    out = defaultdict(lambda: [0, 0])
+    for text, lang, source in rows:
+        out[lang, source, None]
+        for t, n in Counter(TERM.findall((text or "").translate(LOWER))).items():
+            out[lang, source, t][0] += n
+            out[lang, source, t][1] += 1
+    return {k: tuple(v) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("most", [1, 150, 10**6])
+def test_counts_handed_on(most):
+    rows = [(t, x or "", s or "") for t, x, s in corpus(300, 3) + ODD]
+    got, made = counted(rows, most=most)
+    assert got == counted_plainly(rows)
+    if most == 10**6:
+        assert len(made) == 1 and made[0].num_rows == len(got)
+
+
+def test_terms_of_one_hash():
+    """Two words that a polynomial hash modulo 2**64 can't tell apart are two terms."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+    rows = [(one, "en", "s"), (one.translate(str.maketrans("ab", "ba")), "en", "s"), (one + " " + one, "en", "s")]
+    got, _ = counted(rows)
+    assert got == counted_plainly(rows) and len(got) == 3
+
+
 def test_empty(spark):
     assert got(spark, []) == []
 
