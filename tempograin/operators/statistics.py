@@ -39,12 +39,17 @@ def least_squares(rows: DataFrame, y: str, xs: list[str]) -> dict[str, float]:
     return dict(zip(["intercept", *xs], np.linalg.lstsq(left, right, rcond=None)[0].tolist(), strict=True))
 
 
-def d_scores(trials: DataFrame, key: str, congruent: str, time: str, error: str) -> DataFrame:
+def d_scores(trials: DataFrame, key: str, congruent: str, time: str, error: str, order: str | None = None) -> DataFrame:
     """Implicit-association scores: difference of the mean times of incongruent
     and congruent trials without errors, over their pooled deviation. Means and
-    deviation are rounded to one digit before they are divided."""
+    deviation are rounded to one digit before they are divided. With ``order`` the times
+    of a key are added one by one in that order: a mean that lies between two roundings
+    is decided by its sum's last bit, which else depends on how files are split."""
     t = F.col(time)
-    valid = trials.filter(~F.col(error)).groupBy(key).agg(
+    counted = trials.filter(~F.col(error))
+    if order:
+        counted = counted.repartition(key).sortWithinPartitions(key, order)
+    valid = counted.groupBy(key).agg(
         rnd(F.avg(F.when(F.col(congruent), t)), 1).alias("mean_rt_congruent_ms"),
         rnd(F.avg(F.when(~F.col(congruent), t)), 1).alias("mean_rt_incongruent_ms"),
         rnd(F.stddev_samp(time), 1).alias("pooled_sd_ms"),

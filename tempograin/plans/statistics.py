@@ -20,8 +20,8 @@ def groupwise_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 round(stddev_samp(value), 1) AS pooled_sd_ms, count(*) AS n_valid_trials FROM sig WHERE event_type <> 'error' GROUP BY 1)
 SELECT *, round((mean_rt_incongruent_ms - mean_rt_congruent_ms) / nullif(pooled_sd_ms, 0), 4) AS d_score FROM v""")
 def dscore_mean_sd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trials = signals(spark, sf_dir).select("user_id", "value", F.col("event_type").isin("view", "click").alias("congruent"), (F.col("event_type") == "error").alias("error"))
-    return d_scores(trials, "user_id", "congruent", "value", "error")
+    trials = signals(spark, sf_dir).select("user_id", "event_id", "value", F.col("event_type").isin("view", "click").alias("congruent"), (F.col("event_type") == "error").alias("error"))
+    return d_scores(trials, "user_id", "congruent", "value", "error", "event_id")
 
 
 @query("SELECT l_returnflag, round(corr(l_quantity, l_extendedprice), 6) AS r, round(corr(l_discount, l_tax), 6) AS r_rates FROM lineitem GROUP BY 1")

@@ -27,3 +27,21 @@ def test_beats_of_equal_chains(spark, tmp_path):
     events = pa.table({"event_id": np.arange(len(values)), "user_id": np.repeat(np.arange(len(users)), [len(x) for x in users]), "value": pa.array(values, from_pandas=True)})
     got, want = compared(spark, tmp_path, events, "beat_track")
     assert len(want) > 2000 and got == want
+
+
+def test_means_between_roundings(spark, tmp_path):
+    """Times whose mean ends with 5 behind the last digit, over files that tasks read in parts."""
+    rng = np.random.default_rng(2)
+    n = 60_000
+    events = pa.table({"event_id": np.arange(n), "ts": pa.array(np.arange(n), pa.timestamp("us")), "user_id": rng.integers(0, 1500, n), "event_type": np.array(["view", "purchase", "error"])[rng.integers(0, 3, n)], "value": np.round(rng.exponential(50, n), 1)})
+    _, want = compared(spark, tmp_path, events, "dscore_mean_sd")
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "parts" / "events.parquet").mkdir()
+    for i in range(8):
+        pq.write_table(events.slice(n // 8 * i, n // 8), f"{tmp_path}/parts/events.parquet/{i}.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = registry.queries()["dscore_mean_sd"](spark, f"{tmp_path}/parts")
+        assert len(want) == 1500 and sorted(map(tuple, df.collect()), key=repr) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
