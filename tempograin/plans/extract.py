@@ -4,20 +4,27 @@ An extractor turns a creative's bytes into rows of its tables; the model inside
 is the caller's. Extractors run only where the manifest has no success for the
 same bytes and version, and one that fails costs its own rows only. One that
 ``uses`` tables gets the creative's rows of them beside its bytes: both sides are
-grouped by creative, so no table is handed over whole.
+sorted by creative, so no table is handed over whole.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
+import math
+import numbers
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.columns import orientation, rational, ratio, rnd, slug, title_and_label
 from ..sources import manifest
@@ -33,10 +40,13 @@ class Extractor:
     name: str
     version: str
     tables: tuple[str, ...]
-    #: (creative_id, content), and with ``uses`` the rows of those tables -> rows of ``tables``.
-    extract: Callable[..., dict[str, pd.DataFrame]]
+    #: (creative_id, content), and with ``uses`` the rows of those tables -> rows of ``tables``:
+    #: a data frame or, which costs far less for few rows, a list of dicts.
+    extract: Callable[..., dict[str, pd.DataFrame | list[dict]]]
     requires: tuple[str, ...] = field(default=())
     uses: tuple[str, ...] = field(default=())
+    #: Rows of ``uses`` come as Arrow tables, not as data frames.
+    arrow: bool = False
 
 
 def resolve(extractors: list[Extractor], only: list[str] | None = None) -> list[Extractor]:
@@ -84,46 +94,134 @@ def selected(creatives: DataFrame, text: str | None) -> DataFrame:
     return found
 
 
-def _extracted(extractor: Extractor, r: NamedTuple, *used: dict[str, pd.DataFrame]) -> pd.DataFrame:
-    """The run's row, and one for each row that was made."""
-    began, rows, status, error = time.time(), [], "ok", None
-    try:
-        for table, found in extractor.extract(r.creative_id, r.content, *used).items():
-            rows += [(table, x) for x in json.loads(found.to_json(orient="records"))]
-    except Exception as e:  # the run's row says so; other creatives go on
-        rows, status, error = [], "error", f"{type(e).__name__}: {e}"
-    head = {"creative_id": r.creative_id, "creative_sha256": r.creative_sha256, "status": status, "error": error, "rows_written": len(rows), "duration_s": time.time() - began}
-    return pd.DataFrame([{**head, "table": None, "row": None}, *({**head, "table": t, "row": json.dumps({"creative_id": r.creative_id, **x})} for t, x in rows)])
+#: What a row's value may be to go into a column as it is.
+_PLAIN = {"string": {str}, "bigint": {int}, "double": {float, int}, "float": {float, int}, "boolean": {bool}}
+#: So many rows are handed over at once.
+BLOCK = 10_000
+
+
+def _fitting(v: object, kind: str) -> object:
+    """A value of another type as a column's: any as text, whole numbers as such; null if it doesn't fit."""
+    if kind == "string" and v is not None:
+        return (v if isinstance(v, str) else json.dumps(v, default=str)).encode("utf-8", "replace").decode()
+    if kind == "boolean":
+        return bool(v) if type(v).__name__.startswith("bool") else None
+    if not isinstance(v, numbers.Real) or isinstance(v, bool):
+        return None
+    if kind == "bigint":
+        return int(v) if math.isfinite(v) and v == int(v) and -(2**63) <= v < 2**63 else None
+    return float(v)
+
+
+def _column(values: list, kind: str, to: pa.DataType) -> pa.Array:
+    if {type(v) for v in values} - {type(None)} <= _PLAIN.get(kind, set()):
+        with contextlib.suppress(pa.ArrowInvalid, OverflowError, UnicodeError):
+            return pa.array(values, to)
+    return pa.array([_fitting(v, kind) for v in values], to)
+
+
+class _Made:
+    """Runs and rows of creatives, as Arrow batches: a record is either a run or one
+    row of one table, in a column of the table's name."""
+
+    HEAD = StructType([RAW["_manifest"][c] for c in ("creative_id", "creative_sha256", "status", "error", "rows_written", "duration_s")])
+
+    def __init__(self, extractor: Extractor):
+        self.extractor, self.schema = extractor, StructType([*self.HEAD, *(StructField(t, RAW[t]) for t in extractor.tables)])
+        self.types = to_arrow_schema(self.schema)
+        self.heads, self.rows = [], {t: [] for t in extractor.tables}
+
+    def __len__(self) -> int:
+        return len(self.heads) + sum(map(len, self.rows.values()))
+
+    def add(self, creative_id: str, sha: str, content: bytes, *used: dict) -> None:
+        """Extracts; an error is in the run's record, other creatives go on."""
+        began, made, n, status, error = time.time(), {}, 0, "ok", None
+        try:
+            for table, found in self.extractor.extract(creative_id, content, *used).items():
+                rows = json.loads(found.to_json(orient="records")) if isinstance(found, pd.DataFrame) else [{**x} for x in found]
+                made[table], n = rows, n + len(rows)
+        except Exception as e:
+            made, n, status, error = {}, 0, "error", f"{type(e).__name__}: {e}"
+        self.heads.append((creative_id, sha, status, error, n, time.time() - began))
+        for table, rows in made.items():
+            if table in self.rows:
+                for x in rows:
+                    x.setdefault("creative_id", creative_id)
+                self.rows[table] += rows
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        """All that was added since, in batches of bounded length."""
+        yield from self._records([(self.heads, None)])
+        for t, rows in self.rows.items():
+            yield from self._records([(rows, t)])
+        self.heads, self.rows = [], {t: [] for t in self.extractor.tables}
+
+    def _records(self, parts: list) -> Iterator[pa.RecordBatch]:
+        for records, table in parts:
+            for at in range(0, len(records), BLOCK):
+                some = records[at : at + BLOCK]
+                columns = {f.name: pa.nulls(len(some), f.type) for f in self.types}
+                if table is None:
+                    for f, values in zip(self.HEAD, zip(*some, strict=True), strict=True):
+                        columns[f.name] = _column(list(values), f.dataType.simpleString(), self.types.field(f.name).type)
+                else:
+                    to = self.types.field(table).type
+                    fields = [_column([x.get(f.name) for x in some], f.dataType.simpleString(), to.field(f.name).type) for f in RAW[table]]
+                    columns[table] = pa.StructArray.from_arrays(fields, fields=list(to))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), schema=self.types)
 
 
 def run(creatives: DataFrame, extractor: Extractor, folder: str, run_id: str) -> DataFrame:
     """Extracts what is stale, writes the tables' partitions and the manifest;
-    returns the runs. Rows travel as JSON, for one task may fill several tables."""
+    returns the runs. One task may fill several tables, so a record has a column for each.
+    With ``uses``, a creative's rows come sorted before the creative, in one stream."""
     spark = creatives.sparkSession
     work = creatives.select("creative_id", F.col("file_sha256").alias("creative_sha256"), "content", F.lit(extractor.name).alias("extractor"), F.lit(extractor.version).alias("extractor_version"))
-    todo = manifest.stale(work, manifest.latest_runs(spark, folder))
+    todo = manifest.stale(work, manifest.latest_runs(spark, folder)).select("creative_id", "creative_sha256", "content")
+    schema = _Made(extractor).schema
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = _Made(extractor)
+        for b in batches:
+            for creative_id, sha, content in zip(b.column("creative_id").to_pylist(), b.column("creative_sha256").to_pylist(), b.column("content"), strict=True):
+                made.add(creative_id, sha, content.as_py())
+                if len(made) >= BLOCK:
+                    yield from made.blocks()
+        yield from made.blocks()
+
+    def with_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, of = _Made(extractor), object()
+        for b in batches:
+            ids, kinds = b.column("creative_id"), b.column("kind").to_numpy()
+            tables = {t: pa.RecordBatch.from_struct_array(b.column(t)) for t in extractor.uses}
+            other = pc.fill_null(pc.not_equal(ids[1:], ids[:-1]), True).to_numpy(zero_copy_only=False) | (kinds[1:] != kinds[:-1])
+            ends = [*(np.flatnonzero(other) + 1).tolist(), b.num_rows]
+            for start, end in zip([0, *ends], ends, strict=False):
+                if start == end:
+                    continue
+                if (creative_id := ids[start].as_py()) != of:
+                    of, used = creative_id, {t: [] for t in extractor.uses}
+                if kinds[start] < len(tables):
+                    table = extractor.uses[kinds[start]]
+                    used[table].append(tables[table].slice(start, end - start))
+                    continue
+                for i in range(start, end):
+                    given = {t: pa.Table.from_batches(used[t], tables[t].schema) for t in tables}
+                    made.add(creative_id, b.column("creative_sha256")[i].as_py(), b.column("content")[i].as_py(), given if extractor.arrow else {t: x.to_pandas() for t, x in given.items()})
+                if len(made) >= BLOCK:
+                    yield from made.blocks()
+        yield from made.blocks()
 
-    columns = "creative_id string, creative_sha256 string, status string, error string, rows_written long, duration_s double, table string, row string"
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                yield _extracted(extractor, r)
-
-    def with_rows(creative: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
-        used = {t: pd.DataFrame([json.loads(x) for x in given.row[given.table == t]], columns=RAW[t].names) for t in extractor.uses}
-        return pd.concat([_extracted(extractor, r, used) for r in creative.itertuples()]) if len(creative) else pd.DataFrame(columns=columns.replace(" string", "").replace(" long", "").replace(" double", "").split(", "))
-
-    todo = todo.select("creative_id", "creative_sha256", "content")
     if extractor.uses:
-        given = [read_raw(spark, folder, t).select("creative_id", F.lit(t).alias("table"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")) for t in extractor.uses]
-        made = todo.groupBy("creative_id").cogroup(union_by_name(given).groupBy("creative_id")).applyInPandas(with_rows, columns).cache()
+        given = [read_raw(spark, folder, t).select("creative_id", F.lit(i).alias("kind"), F.struct("*").alias(t)) for i, t in enumerate(extractor.uses)]
+        together = union_by_name([todo.withColumn("kind", F.lit(len(given))), *given])
+        made = together.repartition("creative_id").sortWithinPartitions("creative_id", "kind").mapInArrow(with_rows, schema).cache()
     else:
-        made = todo.mapInPandas(each, columns).cache()
+        made = todo.mapInArrow(each, schema).cache()
     for name in extractor.tables:
-        parsed = made.filter(F.col("table") == name).select(F.from_json("row", RAW[name]).alias("r")).select("r.*")
-        conform(parsed, RAW[name]).write.mode("append").option("compression", "zstd").parquet(f"{folder}/{name}")
-    runs = made.filter("table IS NULL").select(
+        conform(made.filter(F.col(name).isNotNull()).select(f"{name}.*"), RAW[name]).write.mode("append").option("compression", "zstd").parquet(f"{folder}/{name}")
+    runs = made.filter("status IS NOT NULL").select(
         "creative_id", "creative_sha256", F.lit(extractor.name).alias("extractor"), F.lit(extractor.version).alias("extractor_version"), "status", "rows_written", F.lit(",".join(extractor.tables)).alias("tables"), F.lit(run_id).alias("run_id"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("finished_at"), rnd("duration_s", 2).alias("duration_s"), "error"
     )
     manifest.append(runs, folder)

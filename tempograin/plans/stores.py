@@ -7,7 +7,7 @@ from __future__ import annotations
 import uuid
 from pathlib import Path
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,19 +95,19 @@ def raw_view_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_REPORT)
 
 
-def _words(creative_id: str, content: bytes) -> dict[str, pd.DataFrame]:
+def _words(creative_id: str, content: bytes) -> dict[str, list[dict]]:
     words = content.decode().split(" ")
     if "BUILDING" in words:
         raise ValueError("not a word")
-    return {"transcript_words": pd.DataFrame({"segment_index": 0, "word_index": range(len(words)), "word": words})}
+    return {"transcript_words": [{"segment_index": 0, "word_index": i, "word": w} for i, w in enumerate(words)]}
 
 
-def _summary(creative_id: str, content: bytes, used: dict[str, pd.DataFrame]) -> dict[str, pd.DataFrame]:
-    return {"transcript_summary": pd.DataFrame({"n_words": [len(used["transcript_words"])]})}
+def _summary(creative_id: str, content: bytes, used: dict[str, pa.Table]) -> dict[str, list[dict]]:
+    return {"transcript_summary": [{"n_words": used["transcript_words"].num_rows}]}
 
 
 #: Words are found for every other customer, then for all, then they are summed up.
-EXTRACTORS = [extract.Extractor("words", "1", ("transcript_words",), _words), extract.Extractor("summary", "1", ("transcript_summary",), _summary, ("words",), ("transcript_words",))]
+EXTRACTORS = [extract.Extractor("words", "1", ("transcript_words",), _words), extract.Extractor("summary", "1", ("transcript_summary",), _summary, ("words",), ("transcript_words",), arrow=True)]
 
 
 def _extracted(spark: SparkSession, sf_dir: str) -> str:
