@@ -178,7 +178,7 @@ def run(creatives: DataFrame, extractor: Extractor, folder: str, run_id: str) ->
     With ``uses``, a creative's rows come sorted before the creative, in one stream."""
     spark = creatives.sparkSession
     work = creatives.select("creative_id", F.col("file_sha256").alias("creative_sha256"), "content", F.lit(extractor.name).alias("extractor"), F.lit(extractor.version).alias("extractor_version"))
-    todo = manifest.stale(work, manifest.latest_runs(spark, folder)).select("creative_id", "creative_sha256", "content")
+    todo = manifest.stale(work, manifest.latest_runs(spark, folder, manifest.STATE)).select("creative_id", "creative_sha256", "content")
     schema = _Made(extractor).schema
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

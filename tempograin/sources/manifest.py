@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from ..operators.sequences import latest_per_key
 from . import snapshot
-from .raw import conform, read_raw, union_by_name
+from .raw import conform, raw_parts, union_by_name
 from .schemas import RAW
 
 
 _MERGED = "_manifest_merged"
+#: A file of the snapshot for each so many bytes that are merged.
+_FILE_BYTES = 64 << 20
 
 
 def append(runs: DataFrame, folder: str) -> None:
@@ -23,14 +25,16 @@ def append(runs: DataFrame, folder: str) -> None:
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
-    """All runs: those of the snapshot and those appended since."""
-    merged, appended = snapshot.read(spark, f"{folder}/{_MERGED}", RAW["_manifest"]), read_raw(spark, folder, "_manifest")
-    return merged.union(appended).distinct()
+    """All runs: those of the snapshot, whose rows differ, and those appended since."""
+    merged, appended = snapshot.read(spark, f"{folder}/{_MERGED}", RAW["_manifest"]), raw_parts(spark, folder, "_manifest")
+    return union_by_name([merged, *appended]).distinct() if appended else merged
 
 
-def latest_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """The last run of each creative and extractor."""
-    return latest_per_key(history(spark, folder), ["creative_id", "extractor"], ["finished_at", "run_id"])
+def latest_runs(spark: SparkSession, folder: str, columns: tuple[str, ...] = tuple(RAW["_manifest"].names)) -> DataFrame:
+    """The last run of each creative and extractor; a run that is in two files is one."""
+    merged, appended = snapshot.read(spark, f"{folder}/{_MERGED}", RAW["_manifest"]), raw_parts(spark, folder, "_manifest")
+    keys, order = ["creative_id", "extractor"], ["finished_at", "run_id"]
+    return latest_per_key(union_by_name([merged, *appended]).select(*dict.fromkeys([*keys, *order, *columns])), keys, order).select(*columns)
 
 
 def compact(spark: SparkSession, folder: str) -> int:
@@ -39,17 +43,24 @@ def compact(spark: SparkSession, folder: str) -> int:
     root = path(f"{folder}/_manifest")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     # Only what is listed now is merged, and only that goes; later files wait for the next time.
-    listed = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().endswith(".parquet")] if fs.exists(root) else []
+    found = [s for s in fs.listStatus(root) if s.getPath().getName().endswith(".parquet")] if fs.exists(root) else []
+    listed = [s.getPath() for s in found]
     if listed:
         appended = [conform(spark.read.parquet(*(p.toString() for p in listed)), RAW["_manifest"])]
         merged = snapshot.read(spark, f"{folder}/{_MERGED}", RAW["_manifest"])
-        snapshot.replace(union_by_name([merged, *appended]).distinct().coalesce(1), f"{folder}/{_MERGED}")
+        now = snapshot.current(spark, f"{folder}/{_MERGED}")
+        size = sum(s.getLen() for s in found) + (fs.getContentSummary(path(f"{folder}/{_MERGED}/{now}")).getLength() if now else 0)
+        snapshot.replace(union_by_name([merged, *appended]).distinct().coalesce(1 + size // _FILE_BYTES), f"{folder}/{_MERGED}")
         for p in listed:
             fs.delete(p, False)
         snapshot.prune(spark, f"{folder}/{_MERGED}")
     return len(listed)
 
 
+#: What of a run tells whether it must be done again.
+STATE = ("creative_id", "creative_sha256", "extractor", "extractor_version", "status")
+
+
 def stale(work: DataFrame, runs: DataFrame) -> DataFrame:
     """The items (creative_id, creative_sha256, extractor, extractor_version)
     whose bytes this version hasn't worked on with success."""

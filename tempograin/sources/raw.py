@@ -32,14 +32,19 @@ def read_raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     physical type of its own, which no common schema reads; so tasks read the
     schemas of the files (one file is one creative's rows), and files are read in
     groups of equal physical schema, cast, and united by name."""
+    tables = raw_parts(spark, folder, name)
+    return union_by_name(tables) if tables else spark.createDataFrame([], RAW[name])
+
+
+def raw_parts(spark: SparkSession, folder: str, name: str) -> list[DataFrame]:
+    """A raw table's groups of files, none if it has no file."""
     schema, root = RAW[name], f"{folder}/{name}"
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema)
+        return []
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
     groups = files.select("path").mapInArrow(_physical, "path string, kind string").groupBy("kind").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    tables = [conform(spark.read.parquet(*g["paths"]), schema) for g in groups.orderBy("kind").collect()]
-    return union_by_name(tables) if tables else spark.createDataFrame([], schema)
+    return [conform(spark.read.parquet(*g["paths"]), schema) for g in groups.orderBy("kind").collect()]
 
 
 def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:

@@ -64,3 +64,19 @@ def test_values_of_other_types(spark, tmp_path):
     for c in ("frame", "dicts"):
         got = sorted(((r["start_s"], r["segment_index"], r["word_index"], r["word"], r["end_s"]) for r in rows if r["creative_id"] == c), key=repr)
         assert got == [(1.0, 1, None, "5", None), (2.0, None, None, "x", 1.5), (3.0, 3, -1, None, None)], c
+
+
+def test_merged_manifest_in_several_files(spark, tmp_path, monkeypatch):
+    """A manifest larger than a file's share is merged into several files, by as many tasks; rows stay equal."""
+    monkeypatch.setattr(manifest, "_FILE_BYTES", 4000)
+    a = extract.Extractor("words", "1", ("transcript_words",), words)
+    extract.run(creatives(spark, [(f"c{i}", str(i).encode()) for i in range(500)]), a, str(tmp_path), "r1")
+    before = sorted(map(repr, manifest.history(spark, str(tmp_path)).collect()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one partition
+    try:
+        manifest.compact(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    after = manifest.history(spark, str(tmp_path))
+    assert len(after.inputFiles()) > 1 and sorted(map(repr, after.collect())) == before and len(before) == 500
+    assert manifest.stale(spark.createDataFrame([("c1", hashlib.sha256(b"1").hexdigest(), "words", "1"), ("c1", "other", "words", "1")], "creative_id string, creative_sha256 string, extractor string, extractor_version string"), manifest.latest_runs(spark, str(tmp_path), manifest.STATE)).count() == 1
